@@ -1,0 +1,8 @@
+"""Streaming surface.
+
+The pipeline this library rebuilds reads every source once and whole: it has
+no watermark, window, state or late-data handling, so there is no streaming
+operator to match.  Every operator here takes and returns a batch DataFrame;
+the same functions apply unchanged to the micro-batch DataFrame handed to a
+``foreachBatch`` sink, which is how a caller would run them on a stream.
+"""
