@@ -1 +1,4 @@
+"""Query plans: stage functions and the registry of named queries."""
 
+from . import queries  # noqa: F401  (registers the panel queries)
+from . import report_queries  # noqa: F401  (registers model and report queries)
