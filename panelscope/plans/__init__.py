@@ -2,3 +2,4 @@
 
 from . import queries  # noqa: F401  (registers the panel queries)
 from . import report_queries  # noqa: F401  (registers model and report queries)
+from . import stats_queries  # noqa: F401  (registers inference queries)
