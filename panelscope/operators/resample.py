@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import checked_join
+
 
 def md5_int(*parts: Column | str) -> Column:
     """Non-negative 60-bit integer from the md5 of ``parts`` joined by ':'."""
@@ -63,12 +65,17 @@ def bootstrap_diff(df: DataFrame, stratum: str, group: str, id_col: str, value:
         F.sum(x).alias("_sx"), F.count(x).alias("_cx"),
         F.sum(x * w).alias("_swx"), F.sum(w).alias("_sw"))
     per_id = per_id.join(idx, [stratum, group, id_col])
-    draws = (idx.select(stratum, group, F.col("idx").alias("_slot"), "n")
+    # the slot table is small next to the B x n draws it expands into: spread
+    # it over the shuffle-partition count first (AQE would otherwise coalesce
+    # it into a single task and the whole expansion would run there)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = (idx.select(stratum, group, F.col("idx").alias("_slot"), "n").repartition(parts)
              .withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))))
              .withColumn("idx", F.pmod(md5_int(str(seed), F.col(stratum), F.col(group), F.col("replicate"),
                                                F.col("_slot")), F.col("n")))
              .select(stratum, group, "replicate", "idx"))
-    sums = (draws.join(per_id.select(stratum, group, "idx", "_sx", "_cx", "_swx", "_sw"), [stratum, group, "idx"])
+    per_id = per_id.select(stratum, group, "idx", "_sx", "_cx", "_swx", "_sw")
+    sums = (checked_join(draws, per_id, [stratum, group, "idx"])
             .groupBy(stratum, "replicate").agg(
                 *[F.sum(F.when(F.col(group) == g, F.col(c))).alias(f"{c}_{i}")
                   for i, g in enumerate(groups) for c in ("_sx", "_cx", "_swx", "_sw")]))

@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def aggregate_panel(rows: DataFrame, keys: Sequence[str], measure: str, out: str = "measure") -> DataFrame:
+def aggregate_panel(rows: DataFrame, keys: Sequence[str], measure: str, out: str = "measure",
+                    extra: dict | None = None) -> DataFrame:
     """Sum plan-level rows to one row per key (A1).
 
     A grouped sum, so Spark combines map-side before the shuffle: a hot key
     costs one partial row per task, not its row count.  Rows with a null key
-    are dropped, as pandas ``groupby`` does."""
+    are dropped, as pandas ``groupby`` does.  ``extra`` adds named
+    aggregates computed in the same pass."""
     keep = rows
     for k in keys:
         keep = keep.filter(F.col(k).isNotNull())
-    return keep.groupBy(*keys).agg(F.sum(measure).cast("bigint").alias(out))
+    aggs = [F.sum(measure).cast("bigint").alias(out)] + [c.alias(n) for n, c in (extra or {}).items()]
+    return keep.groupBy(*keys).agg(*aggs)
 
 
 def share_weights(panel: DataFrame, group: Sequence[str], measure: str = "measure",

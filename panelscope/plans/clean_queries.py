@@ -92,7 +92,7 @@ SELECT COUNT(*) AS total, COUNT(rating) AS non_null, COUNT(*) - COUNT(rating) AS
 FROM ratings""", ["share"])
 def q_completeness(spark, d):
     """Total, non-null, null and share of the rating column."""
-    return cat.completeness(tb.ratings(spark, d), "rating")
+    return cat.completeness(P.ratings(spark, d), "rating")
 
 
 @register("panel_rows_by_period", W("panel") + "SELECT period, COUNT(*) AS rows FROM panel GROUP BY 1")

@@ -22,9 +22,20 @@ RATE_LAG = 1          # a period uses the unit rate of the period before (J1)
 RURAL_CUT = 4         # ordinal code >= 4 flags the unit (P22)
 
 
+def unit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entity x period x unit measure plus row counts, one pass (A1)."""
+    return wt.aggregate_panel(tb.fact_rows(spark, sf_dir), [tb.ENTITY, tb.PERIOD, tb.UNIT], "qty", tb.MEASURE,
+                              extra=tb.fact_counts())
+
+
 def unit_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """entity x period x unit measure (A1)."""
-    return wt.aggregate_panel(tb.fact_rows(spark, sf_dir), [tb.ENTITY, tb.PERIOD, tb.UNIT], "qty", tb.MEASURE)
+    return unit_counts(spark, sf_dir).select(tb.ENTITY, tb.PERIOD, tb.UNIT, tb.MEASURE)
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating per entity-period, from the same unit-level aggregate."""
+    return tb.ratings_from_counts(unit_counts(spark, sf_dir))
 
 
 def share_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +87,7 @@ def score_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rating_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings with the lagged exposure."""
-    return th.rating_base(tb.ratings(spark, sf_dir), rate_exposure(spark, sf_dir), KEYS)
+    return th.rating_base(ratings(spark, sf_dir), rate_exposure(spark, sf_dir), KEYS)
 
 
 def near_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +110,7 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     All sides are keyed by (entity, period): Spark hash-partitions each side
     once on that key and the chain of joins shares the partitioning."""
-    s = tb.ratings(spark, sf_dir).filter(F.col("rating").isNotNull())
+    s = ratings(spark, sf_dir).filter(F.col("rating").isNotNull())
     p = rate_exposure(spark, sf_dir).select(*KEYS, "rate_exposure")
     r = static_exposure(spark, sf_dir).select(*KEYS, "static_exposure")
     h = score_exposure(spark, sf_dir).select(*KEYS, "score_exposure")
