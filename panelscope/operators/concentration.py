@@ -28,6 +28,17 @@ def top_k_sum(df: DataFrame, keys: Sequence[str], value: str, tiebreak: str, k:
     return top.groupBy(*keys).agg(F.sum(value).alias(out))
 
 
+def concentration_aggs(weight: str = "weight") -> list:
+    """HHI, entropy, top-1 share and unit count over positive weights, as
+    aggregate expressions (shareable with other per-key aggregates)."""
+    w = F.col(weight).cast("double")
+    pos = w > 0
+    return [F.sum(F.when(pos, w * w)).alias("hhi"),
+            (-F.sum(F.when(pos, w * F.log(w))) + F.lit(0.0)).alias("entropy"),
+            F.max(F.when(pos, w)).alias("top1_share"),
+            F.count(F.when(pos, w)).alias("n_units")]
+
+
 def concentration(weights: DataFrame, keys: Sequence[str], weight: str = "weight",
                   unit: str = "unit_code", k: int = 5, salt_buckets: int = 16) -> DataFrame:
     """Per key: HHI = sum w^2, entropy = -sum w ln w, top-1 share, top-k

@@ -41,6 +41,30 @@ def attach_unit_values(weights: DataFrame, values: DataFrame, value_cols: Sequen
     return joined.drop(*drop).withColumn(MATCHED, F.coalesce(F.col(MATCHED), F.lit(0)))
 
 
+def exposure_parts(value: str, out: str, weight: str = "weight", missing: str = "renormalize",
+                   matched: str = MATCHED) -> tuple[list, list]:
+    """(aggregate expressions, final projections) of one exposure, so several
+    exposures over the same join can share a single grouped aggregate."""
+    v, w = F.col(value), F.col(weight)
+    t = f"_{out}"
+    if missing == "renormalize":
+        aggs = [F.sum(F.when(v.isNotNull(), w * v).otherwise(F.lit(0.0))).alias(f"{t}_num"),
+                F.sum(F.when(v.isNotNull(), w).otherwise(F.lit(0.0))).alias(f"{t}_den")]
+        den = F.col(f"{t}_den")
+        final = [F.when(den > 0, F.col(f"{t}_num") / den).alias(out),
+                 den.alias("coverage_weight_share"),
+                 F.when(den == 0, 1).otherwise(0).cast("int").alias("out_of_scope")]
+        return aggs, final
+    if missing == "zero":
+        hit = F.col(matched) == 1
+        aggs = [F.sum(w * F.coalesce(v, F.lit(0.0))).alias(out),
+                F.sum(F.when(hit, w).otherwise(F.lit(0.0))).alias("matched_weight_share"),
+                F.count(F.lit(1)).alias("units_total"),
+                F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias("units_matched")]
+        return aggs, [F.col(out), F.col("matched_weight_share"), F.col("units_total"), F.col("units_matched")]
+    raise ValueError(f"unknown missing policy: {missing}")
+
+
 def exposure(joined: DataFrame, keys: Sequence[str], value: str, out: str,
              weight: str = "weight", total: str | None = "total_measure",
              missing: str = "renormalize") -> DataFrame:
@@ -51,29 +75,11 @@ def exposure(joined: DataFrame, keys: Sequence[str], value: str, out: str,
     with a value, ``out_of_scope`` is 1 when it is zero.
     ``missing="zero"``: absent or null values count as 0, no rescaling;
     returns the matched weight share and unit counts."""
-    v, w = F.col(value), F.col(weight)
-    if missing == "renormalize":
-        aggs = [
-            F.sum(F.when(v.isNotNull(), w * v).otherwise(F.lit(0.0))).alias("_num"),
-            F.sum(F.when(v.isNotNull(), w).otherwise(F.lit(0.0))).alias("_den"),
-        ]
-        if total:
-            aggs.insert(0, F.max(total).alias("total_measure"))
-        out_cols = ([F.col("total_measure")] if total else []) + [
-            F.when(F.col("_den") > 0, F.col("_num") / F.col("_den")).alias(out),
-            F.col("_den").alias("coverage_weight_share"),
-            F.when(F.col("_den") == 0, 1).otherwise(0).cast("int").alias("out_of_scope"),
-        ]
-        return joined.groupBy(*keys).agg(*aggs).select(*keys, *out_cols)
-    if missing == "zero":
-        hit = F.col(MATCHED) == 1
-        return joined.groupBy(*keys).agg(
-            F.sum(w * F.coalesce(v, F.lit(0.0))).alias(out),
-            F.sum(F.when(hit, w).otherwise(F.lit(0.0))).alias("matched_weight_share"),
-            F.count(F.lit(1)).alias("units_total"),
-            F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias("units_matched"),
-        )
-    raise ValueError(f"unknown missing policy: {missing}")
+    aggs, final = exposure_parts(value, out, weight, missing)
+    if missing == "renormalize" and total:
+        aggs = [F.max(total).alias("total_measure")] + aggs
+        final = [F.col("total_measure")] + final
+    return joined.groupBy(*keys).agg(*aggs).select(*keys, *final)
 
 
 def missing_share(joined: DataFrame, keys: Sequence[str], weight: str = "weight") -> DataFrame:

@@ -105,9 +105,47 @@ def entity_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conc.entity_size(share_weights(spark, sf_dir), KEYS)
 
 
+def unit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every per-entity-period feature in one grouped aggregate (A2, A4,
+    A12, A22): the weights are joined to the three unit tables (dimensions,
+    joined without a shuffle of the weights when measured small) and then
+    shuffled once on (entity, period).  Only the top-5 share needs its own
+    (salted) ranking pass."""
+    w = share_weights(spark, sf_dir)
+    w = ex.attach_unit_values(w, tb.period_rates(spark, sf_dir), ["rate"], unit=tb.UNIT, period=tb.PERIOD,
+                              lag=RATE_LAG).withColumnRenamed(ex.MATCHED, "_m_rate")
+    w = ex.attach_unit_values(w, unit_codes(spark, sf_dir), ["code_flag"], unit=tb.UNIT,
+                              period=None).withColumnRenamed(ex.MATCHED, "_m_code")
+    scores = unit_scores(spark, sf_dir).filter(F.col("unit_score").isNotNull())
+    w = ex.attach_unit_values(w, scores, ["unit_score"], unit=tb.UNIT, period=None)
+    a_rate, f_rate = ex.exposure_parts("rate", "rate_exposure")
+    a_code, f_code = ex.exposure_parts("code_flag", "static_exposure")
+    a_score, f_score = ex.exposure_parts("unit_score", "score_exposure", missing="zero")
+    aggs = a_rate + a_code + a_score + conc.concentration_aggs() + [
+        F.max(F.col("total_measure").cast("double")).alias("total_size")]
+    g = w.groupBy(*KEYS).agg(*aggs).select(
+        *KEYS, f_rate[0], f_code[0], f_score[0], "hhi", "entropy", "top1_share",
+        F.col("n_units").cast("double").alias("n_units"), "total_size")
+    top = conc.top_k_sum(w.filter(F.col("weight") > 0), KEYS, "weight", tb.UNIT, k=5, out="top5_share")
+    return g.join(top, KEYS, "left")
+
+
+FRAME_COLS = [tb.ENTITY, tb.PERIOD, "rating", "rate_exposure", "static_exposure", "score_exposure", "hhi",
+              "entropy", "top1_share", "top5_share", "n_units", "total_size"]
+
+
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating plus every feature, one row per rated entity-period.
 
+    The features come from one fused aggregate (``unit_features``), so the
+    frame is the ratings left-joined once on (entity, period)."""
+    s = ratings(spark, sf_dir).filter(F.col("rating").isNotNull())
+    return s.join(unit_features(spark, sf_dir), KEYS, "left").select(*FRAME_COLS)
+
+
+def model_frame_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating plus every feature, one row per rated entity-period.
+
     All sides are keyed by (entity, period): Spark hash-partitions each side
     once on that key and the chain of joins shares the partitioning."""
     s = ratings(spark, sf_dir).filter(F.col("rating").isNotNull())
