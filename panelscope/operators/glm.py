@@ -10,6 +10,7 @@ sum f (y-p)^2 x x' is one more aggregate at the optimum.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,9 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .ordinal import sorted_levels
+from .ordinal import param_row, sorted_levels
 
-Z95 = 1.959963984540054  # fixed value: two-sided 95% normal quantile (the reference rounds it to 1.96)
 
 
 @dataclass
@@ -69,24 +69,27 @@ def fit_logit(df: DataFrame, outcome: str, features: Sequence[str], categorical:
     X, terms = design(df, features, categorical)
     k = len(terms)
     f = F.col(weight).cast("double") if weight else F.lit(1.0)
-    data = materialize(X.select(F.col(outcome).cast("double").alias("_y"), f.alias("_f"),
-                                *[F.col(f"_x{i}") for i in range(k)]))
-    xs = [F.col(f"_x{i}") for i in range(k)]
+    data = materialize(X.select(F.col(outcome).cast("double").alias("_y"), f.alias("_f"), F.lit(0).alias("_k"),
+                                *[F.col(f"_x{i}") for i in range(k)]), "logit")
+    spark = df.sparkSession
+    xs = [f"_x{i}" for i in range(k)]
+    eta = " + ".join(f"_q{i} * {x}" for i, x in enumerate(xs))
     beta = np.zeros(k)
 
     def moments(b: np.ndarray, meat: bool = False):
-        eta = F.lit(0.0)
-        for i in range(k):
-            eta = eta + F.lit(float(b[i])) * xs[i]
-        step = data.select("_y", "_f", *xs, (F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))).alias("_p"))
-        r = F.col("_y") - F.col("_p")
-        wcol = (F.col("_f") * r * r) if meat else (F.col("_f") * F.col("_p") * (F.lit(1.0) - F.col("_p")))
-        step = step.select(*[F.col(f"_x{i}") for i in range(k)], (F.col("_f") * r).alias("_g"), wcol.alias("_w"),
-                           "_f")
-        aggs = [F.count(F.lit(1)).alias("n"), F.sum("_f").alias("sf")]
-        aggs += [F.sum(F.col("_g") * xs[i]).alias(f"g{i}") for i in range(k)]
-        aggs += [F.sum(F.col("_w") * xs[i] * xs[j]).alias(f"h{i}_{j}") for i in range(k) for j in range(i, k)]
-        row = step.agg(*aggs).first()
+        # parameters arrive as columns of a one-row table and every
+        # expression is SQL text: one JVM call per step, same generated code
+        step = param_row(data, list(b)).selectExpr("_y", "_f", *xs, f"1D / (1D + exp(-({eta}))) AS _p")
+        wexpr = "_f * (_y - _p) * (_y - _p)" if meat else "_f * _p * (1D - _p)"
+        step = step.selectExpr(*xs, "_f * (_y - _p) AS _g", f"{wexpr} AS _w", "_f")
+        sums = ["count(1) AS n", "sum(_f) AS sf"] + [f"sum(_g * {x}) AS g{i}" for i, x in enumerate(xs)]
+        sums += [f"sum(_w * {xs[i]} * {xs[j]}) AS h{i}_{j}" for i in range(k) for j in range(i, k)]
+        view = f"_panelscope_logit_{uuid.uuid4().hex}"
+        step.createOrReplaceTempView(view)
+        try:
+            row = spark.sql(f"SELECT {', '.join(sums)} FROM {view}").first()
+        finally:
+            spark.catalog.dropTempView(view)
         g = np.array([row[f"g{i}"] for i in range(k)])
         H = np.zeros((k, k))
         for i in range(k):

@@ -12,6 +12,7 @@ checkpointed once before iterating.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -56,7 +57,7 @@ def model_sample(frame: DataFrame, outcome: str, core: Sequence[str], size: str,
     if checkpoint:
         # the sample is read by the level lookups, every Newton step and the
         # decomposition: materialise it once in the shared checkpoint folder
-        df = materialize(df)
+        df = materialize(df, "model_sample")
     levels = sorted_levels(df, outcome, MAX_LEVELS)
     if len(levels) < min_levels:
         raise ValueError(f"need at least {min_levels} outcome levels, found {levels}")
@@ -135,52 +136,74 @@ def _class_expr(y: Column, values: Sequence[float], default: float) -> Column:
     return F.lit(default) if e is None else e.otherwise(F.lit(default))
 
 
+def param_row(data: DataFrame, values: Sequence[float], prefix: str = "_q") -> DataFrame:
+    """``data`` with the current parameters attached as columns from a
+    one-row broadcast table (a join on a constant key; the build side is
+    exactly one row).  Unlike literals, parameter columns leave the
+    generated code identical from one Newton step to the next, so Spark's
+    code cache is hit instead of recompiling every step."""
+    spark = data.sparkSession
+    names = [f"{prefix}{i}" for i in range(len(values))]
+    schema = ", ".join(["_k int"] + [f"{n} double" for n in names])
+    one = spark.createDataFrame([tuple([0] + [float(v) for v in values])], schema)
+    return data.join(F.broadcast(one), "_k")
+
+
 def _step_frame(data: DataFrame, z: Sequence[str], K: int, theta: np.ndarray, beta: np.ndarray) -> DataFrame:
     """Per-row log-likelihood derivatives, built in layers of projections so
-    each quantity is computed once per row (a single expression tree
-    repeated inside every sum would explode code generation)."""
-    yc = F.col("y")
-    eta = F.lit(0.0)
-    for c, b in zip(z, beta):
-        eta = eta + F.lit(float(b)) * F.col(c)
-    l1 = data.select("y", *z, eta.alias("_eta"))
-    up = _class_expr(yc, list(theta), 0.0) - F.col("_eta")              # theta_y - eta
-    lo = _class_expr(yc - 1, list(theta), 0.0) - F.col("_eta")          # theta_{y-1} - eta
-    l2 = l1.select("y", *z, up.alias("_up"), lo.alias("_lo"))
-    top, bottom = yc == K - 1, yc == 0
-    Fa = F.when(top, F.lit(1.0)).otherwise(sigmoid(F.col("_up")))
-    Fb = F.when(bottom, F.lit(0.0)).otherwise(sigmoid(F.col("_lo")))
+    each quantity is computed once per row.  Expressions are SQL text (one
+    call per layer, parsed in the JVM) over parameter columns ``_q*`` from a
+    one-row table, so building a step costs the same whatever p is and the
+    generated code does not change between steps.  ``data`` carries a
+    constant ``_k`` column for the parameter join."""
+    p = len(z)
+    withp = param_row(data, list(theta) + list(beta))
+    q = [f"_q{j}" for j in range(K - 1 + p)]
+    zs = list(z)
+    eta = " + ".join(f"{q[K - 1 + i]} * {c}" for i, c in enumerate(zs)) or "0D"
+
+    def at(idx: str) -> str:
+        return "CASE " + " ".join(f"WHEN {idx} = {j} THEN {q[j]}" for j in range(K - 1)) + " ELSE 0D END"
+
+    sig = "(1D / (1D + exp(-({x}))))"
+    l1 = withp.selectExpr("y", *zs, f"{eta} AS _eta", *q[:K - 1])
+    l2 = l1.selectExpr("y", *zs, f"{at('y')} - _eta AS _up", f"{at('y - 1')} - _eta AS _lo")
+    fa = f"CASE WHEN y = {K - 1} THEN 1D ELSE {sig.format(x='_up')} END"
+    fb = f"CASE WHEN y = 0 THEN 0D ELSE {sig.format(x='_lo')} END"
     # probability of the observed class, written to avoid 1 - 1 cancellation
-    P = (F.when(top & bottom, F.lit(1.0)).when(top, sigmoid(-F.col("_lo")))
-         .when(bottom, sigmoid(F.col("_up"))).otherwise(Fa - Fb))
-    l3 = l2.select("y", *z, Fa.alias("_Fa"), Fb.alias("_Fb"), F.greatest(P, F.lit(1e-300)).alias("_P"))
-    Fa, Fb, P = F.col("_Fa"), F.col("_Fb"), F.col("_P")
-    fa, fb = Fa * (F.lit(1.0) - Fa), Fb * (F.lit(1.0) - Fb)
-    l4 = l3.select("y", *z, Fa, Fb, P, (fa / P).alias("_ga"), (-fb / P).alias("_gb"))
-    ga, gb = F.col("_ga"), F.col("_gb")
-    haa = ga * (F.lit(1.0) - F.lit(2.0) * Fa) - ga * ga
-    hbb = gb * (F.lit(1.0) - F.lit(2.0) * Fb) - gb * gb
-    hab = -ga * gb
-    l5 = l4.select("y", *z, F.log(P).alias("_ll"), ga, gb, haa.alias("_haa"), hbb.alias("_hbb"), hab.alias("_hab"))
-    haa, hbb, hab = F.col("_haa"), F.col("_hbb"), F.col("_hab")
-    return l5.select("y", *z, "_ll", "_ga", "_gb", "_haa", "_hbb", "_hab",
-                     (-(ga + gb)).alias("_gx"), (-(haa + hab)).alias("_ca"), (-(hab + hbb)).alias("_cb"),
-                     (haa + F.lit(2.0) * hab + hbb).alias("_cbb"))
-
-
-def _step_aggregates(z: Sequence[str]) -> list[Column]:
-    """Sums of the per-row derivatives (grouped by class)."""
-    c = F.col
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum("_ll").alias("ll"),
-            F.sum("_ga").alias("ga"), F.sum("_gb").alias("gb"),
-            F.sum("_haa").alias("haa"), F.sum("_hbb").alias("hbb"), F.sum("_hab").alias("hab")]
+    pr = (f"CASE WHEN y = {K - 1} AND y = 0 THEN 1D WHEN y = {K - 1} THEN {sig.format(x='-_lo')} "
+          f"WHEN y = 0 THEN {sig.format(x='_up')} ELSE ({fa}) - ({fb}) END")
+    l3 = l2.selectExpr("y", *zs, f"{fa} AS _Fa", f"{fb} AS _Fb", f"greatest({pr}, 1e-300D) AS _P")
+    l4 = l3.selectExpr("y", *zs, "_Fa", "_Fb", "_P", "_Fa * (1D - _Fa) / _P AS _ga", "-(_Fb * (1D - _Fb)) / _P AS _gb")
+    l5 = l4.selectExpr("y", *zs, "ln(_P) AS _ll", "_ga", "_gb",
+                       "_ga * (1D - 2D * _Fa) - _ga * _ga AS _haa",
+                       "_gb * (1D - 2D * _Fb) - _gb * _gb AS _hbb",
+                       "-_ga * _gb AS _hab")
+    return l5.selectExpr("y", *zs, "_ll", "_ga", "_gb", "_haa", "_hbb", "_hab",
+                         "-(_ga + _gb) AS _gx", "-(_haa + _hab) AS _ca", "-(_hab + _hbb) AS _cb",
+                         "_haa + 2D * _hab + _hbb AS _cbb")
+
+
+def _step_aggregates(z: Sequence[str]) -> list[str]:
+    """Sums of the per-row derivatives (grouped by class), as SQL text."""
+    exprs = ["count(1) AS n", "sum(_ll) AS ll", "sum(_ga) AS ga", "sum(_gb) AS gb",
+             "sum(_haa) AS haa", "sum(_hbb) AS hbb", "sum(_hab) AS hab"]
     for i, zi in enumerate(z):
-        aggs.append(F.sum(c("_gx") * c(zi)).alias(f"g_{i}"))
-        aggs.append(F.sum(c("_ca") * c(zi)).alias(f"ha_{i}"))
-        aggs.append(F.sum(c("_cb") * c(zi)).alias(f"hb_{i}"))
-        for j in range(i, len(z)):
-            aggs.append(F.sum(c("_cbb") * c(zi) * c(z[j])).alias(f"h_{i}_{j}"))
-    return aggs
+        exprs += [f"sum(_gx * {zi}) AS g_{i}", f"sum(_ca * {zi}) AS ha_{i}", f"sum(_cb * {zi}) AS hb_{i}"]
+        exprs += [f"sum(_cbb * {zi} * {z[j]}) AS h_{i}_{j}" for j in range(i, len(z))]
+    return exprs
+
+
+def _step_sums(frame: DataFrame, z: Sequence[str]) -> list:
+    """Run the grouped sums as one SQL statement over the step frame (one
+    call into the JVM however many sums there are)."""
+    view = f"_panelscope_step_{uuid.uuid4().hex}"
+    frame.createOrReplaceTempView(view)
+    try:
+        return frame.sparkSession.sql(
+            f"SELECT y, {', '.join(_step_aggregates(z))} FROM {view} GROUP BY y").collect()
+    finally:
+        frame.sparkSession.catalog.dropTempView(view)
 
 
 def _assemble(rows, K: int, p: int):
@@ -230,8 +253,9 @@ def fit_ordered_logit(sample: DataFrame, outcome_index: str, features: Sequence[
     sd = np.array([stats[f"s_{i}"] or 1.0 for i in range(p)], dtype=float)
     sd[sd == 0] = 1.0
     z = [f"_z{i}" for i in range(p)]
-    zdata = data.select("y", *[((F.col(c) - F.lit(float(mu[i]))) / F.lit(float(sd[i]))).alias(z[i])
-                               for i, c in enumerate(features)])
+    zdata = data.select("y", F.lit(0).alias("_k"),
+                        *[((F.col(c) - F.lit(float(mu[i]))) / F.lit(float(sd[i]))).alias(z[i])
+                          for i, c in enumerate(features)])
     counts = {r["y"]: r["count"] for r in data.groupBy("y").count().collect()}
     n = sum(counts.values())
     cum = np.cumsum([counts.get(k, 0) for k in range(K)])[:-1] / n
@@ -240,7 +264,7 @@ def fit_ordered_logit(sample: DataFrame, outcome_index: str, features: Sequence[
     beta = np.zeros(p)
 
     def evaluate(th, be):
-        rows = _step_frame(zdata, z, K, th, be).groupBy("y").agg(*_step_aggregates(z)).collect()
+        rows = _step_sums(_step_frame(zdata, z, K, th, be), z)
         return _assemble(rows, K, p)
 
     ll, g, H = evaluate(theta, beta)

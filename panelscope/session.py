@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage before an iterative job (a model fit reads the same frame
-    once per Newton step).  Reliable checkpoint into the shared folder so a
-    lost executor does not force a replay of the whole upstream plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage before a frame is read many times (a model fit reads its
+    sample once per Newton step): write it once as Parquet into the shared
+    checkpoint folder and read it back.  One pass over the plan (an RDD
+    checkpoint would compute it twice), and a lost executor afterwards
+    re-reads files instead of replaying the upstream plan."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/panelscope/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
