@@ -43,7 +43,8 @@ def sorted_levels(df: DataFrame, col: str, limit: int) -> list:
 
 
 def model_sample(frame: DataFrame, outcome: str, core: Sequence[str], size: str, period: str,
-                 min_levels: int = 3, checkpoint: bool = True) -> tuple[DataFrame, list, list]:
+                 min_levels: int = 3, checkpoint: bool = True,
+                 index_levels: bool = True) -> tuple[DataFrame, list | None, list | None]:
     """The reference's model-row rule (M14):
     drop rows missing the outcome or a core feature; size: null -> 1, floor
     1, natural log; outcome -> index of its sorted level (P31); inf -> null
@@ -58,6 +59,8 @@ def model_sample(frame: DataFrame, outcome: str, core: Sequence[str], size: str,
         # the sample is read by the level lookups, every Newton step and the
         # decomposition: materialise it once in the shared checkpoint folder
         df = materialize(df, "model_sample")
+    if not index_levels:            # scoring at given parameters needs no level lookup
+        return df, None, None
     levels = sorted_levels(df, outcome, MAX_LEVELS)
     if len(levels) < min_levels:
         raise ValueError(f"need at least {min_levels} outcome levels, found {levels}")

@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import near_flag, report_band, residual_bucket
-
-STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-
+from .quantiles import exact_quantiles
 
 def near_slices(df: DataFrame, rating: str = "rating",
                 slices: Sequence[tuple[str, float, float]] = (("3.0-3.9", 3.0, 3.9), ("3.5-3.9", 3.5, 3.9))) -> DataFrame:
@@ -38,15 +36,27 @@ def ranked(df: DataFrame, order: Sequence[str], n: int, rating: str = "rating",
     key unique), first ``n`` overall (O3) or per ``per_group`` (H14)."""
     s = df.filter(F.col(rating).between(lo, hi))
     if per_group:
-        from pyspark.sql import Window
-        w = Window.partitionBy(per_group).orderBy(*order)
-        s = s.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-        return s.select(*(cols or s.columns))
+        return top_n_per_group(s, per_group, order, n).select(*(cols or s.columns))
     # sort + limit plans as TakeOrderedAndProject: each task keeps its own
     # top n, only n rows per task reach the final merge
     return s.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n).select(*(cols or s.columns))
 
 
+def top_n_per_group(df: DataFrame, group: str, order: Sequence[str], n: int, salt_buckets: int = 16) -> DataFrame:
+    """First ``n`` rows of each group by ``order`` (ascending, last key
+    unique), skew-safe: rank inside ``salt_buckets`` hash sub-groups first,
+    keep n of each (the group's first n are always among them), then rank
+    the at most ``n * salt_buckets`` candidates per group."""
+    from pyspark.sql import Window
+    keys = [F.col(c).asc_nulls_last() for c in order]
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salt_buckets))
+    w1 = Window.partitionBy(group, "_salt").orderBy(*keys)
+    cand = (df.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(w1))
+            .filter(F.col("_rn") <= n).drop("_salt"))
+    w2 = Window.partitionBy(group).orderBy(*keys)
+    return cand.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= n).drop("_rn")
+
+
 def display_slice(top: DataFrame, order: Sequence[str], n: int = 15,
                   formats: dict[str, str] | None = None) -> DataFrame:
     """First ``n`` rows of a ranked list with display formatting."""
@@ -58,38 +68,41 @@ def display_slice(top: DataFrame, order: Sequence[str], n: int = 15,
     return s.select(*cols)
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def summary_stats(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
     """``describe()``: count, mean, std (n-1), min, 25/50/75% (exact, linear)
-    and max per column, one row per statistic (A19).  One aggregate pass,
-    then a ``stack`` of its single row."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.lit(0.25)).alias(f"{c}__25"), F.percentile(x, F.lit(0.5)).alias(f"{c}__50"),
-                 F.percentile(x, F.lit(0.75)).alias(f"{c}__75"), F.max(x).alias(f"{c}__max")]
-    one = df.agg(*aggs)
-    keys = ["count", "mean", "std", "min", "25", "50", "75", "max"]
-    rows = []
-    for stat, k in zip(STATS, keys):
-        rows.append(F.struct(F.lit(stat).alias("stat"), *[F.col(f"{c}__{k}").alias(c) for c in cols]))
-    return one.select(F.inline(F.array(*rows)))
-
-
-def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
+    and max per column, one row per statistic (A19).
+
+    The columns are unpivoted to (column, value) once, so every statistic is
+    one grouped aggregate keyed by column name and the quartiles are one
+    ``exact_quantiles`` call; the small result is pivoted back to one column
+    per input column."""
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v"))
+                                         for c in cols])))
+    v = F.col("_v")
+    moments = long.groupBy("_col").agg(
+        F.count(v).cast("double").alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    stats_long = moments.select("_col", F.inline(F.array(*[
+        F.struct(F.lit(s).alias("stat"), F.col(s).alias("_v")) for s in ("count", "mean", "std", "min", "max")])))
+    qs = exact_quantiles(long, "_v", [0.25, 0.5, 0.75], by=["_col"], method=method)
+    names = F.array(F.lit("25%"), F.lit("50%"), F.lit("75%"))
+    q_long = qs.select("_col", names[F.col("p_index")].alias("stat"), F.col("q").alias("_v"))
+    out = stats_long.unionByName(q_long).groupBy("stat").pivot("_col", list(cols)).agg(F.first("_v"))
+    return out.select("stat", *cols)
+
+
+def box_stats(df: DataFrame, value: str, by: str, method: str = "auto") -> DataFrame:
     """Five-number summary per group: quartiles (exact, linear) and whiskers
     at the most extreme values within 1.5 IQR of the box (A23)."""
-    q = df.groupBy(by).agg(
-        F.count(value).alias("n"),
-        F.percentile(value, F.lit(0.25)).alias("q1"),
-        F.percentile(value, F.lit(0.5)).alias("median"),
-        F.percentile(value, F.lit(0.75)).alias("q3"),
-    )
+    qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], by=[by], method=method)
+    q = (qs.groupBy(by).agg(*[F.max(F.when(F.col("p_index") == i, F.col("q"))).alias(n)
+                              for i, n in enumerate(("q1", "median", "q3"))])
+         .join(df.groupBy(by).agg(F.count(value).alias("n")), by))
     iqr = F.col("q3") - F.col("q1")
     fences = q.select(by, "n", "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("_lo"),
                       (F.col("q3") + 1.5 * iqr).alias("_hi"))
     v = F.col(value)
+    # the fences table has one row per group: it is joined to the rows
     w = (df.join(fences.select(by, "_lo", "_hi"), by)
          .groupBy(by).agg(F.min(F.when(v >= F.col("_lo"), v)).alias("whisker_low"),
                           F.max(F.when(v <= F.col("_hi"), v)).alias("whisker_high"),

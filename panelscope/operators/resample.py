@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import checked_join
 
 
@@ -55,7 +56,10 @@ def bootstrap_diff(df: DataFrame, stratum: str, group: str, id_col: str, value:
     fewer than ``min_ids`` distinct ids is skipped.  Weighted means are null
     when the drawn weight sums to zero; unweighted means skip null values."""
     a, b = groups
-    data = df.filter(F.col(group).isin(a, b))
+    # the sample is read three times (id index, per-id sums, size check):
+    # write it once to the shared checkpoint folder
+    data = materialize(df.filter(F.col(group).isin(a, b)).select(stratum, group, id_col, value, weight),
+                       "bootstrap_sample")
     idx = dense_index(data, [stratum, group], id_col, buckets)
     ok = (idx.select(stratum, group, "n").distinct().groupBy(stratum)
           .agg(F.count_if(F.col("n") >= min_ids).alias("_k")).filter(F.col("_k") == 2).select(stratum))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ordinal as od
+from ..session import materialize
 from ..sources import tables as tb
 from . import panel as P
 
@@ -45,7 +46,7 @@ def decomposition(spark: SparkSession, sf_dir: str, model: od.OrderedLogit | Non
     """Fitted decomposition (M12): observed, expected, residual, features."""
     s, levels, feats = sample(spark, sf_dir)
     m = model or od.fit_ordered_logit(s, "level_index", feats, levels)
-    return od.decompose(s, m, "rating", [tb.ENTITY, tb.PERIOD]).select(*OUT_COLS)
+    return materialize(od.decompose(s, m, "rating", [tb.ENTITY, tb.PERIOD]).select(*OUT_COLS), "decomposition")
 
 
 def fixed_eta_model() -> od.OrderedLogit:
@@ -54,7 +55,8 @@ def fixed_eta_model() -> od.OrderedLogit:
 
 def fixed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model rows (M14) with the fixed period effect as a column."""
-    s, _, _ = od.model_sample(P.model_frame(spark, sf_dir), "rating", CORE, "total_size", tb.PERIOD)
+    s, _, _ = od.model_sample(P.model_frame(spark, sf_dir), "rating", CORE, "total_size", tb.PERIOD,
+                              checkpoint=False, index_levels=False)
     eff = F.lit(0.0)
     for p, v in FIXED_PERIOD_EFFECTS.items():
         eff = F.when(F.col(tb.PERIOD) == p, F.lit(v)).otherwise(eff)
@@ -71,4 +73,7 @@ def decomposition_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decomposition at the fixed parameters: the input of every report
     query, so those are value-checked end to end."""
     s = fixed_sample(spark, sf_dir)
-    return od.decompose(s, fixed_model(), "rating", [tb.ENTITY, tb.PERIOD]).select(*OUT_COLS)
+    # written once, as the reference persists its decomposition table: every
+    # report reads it, several of them more than once
+    return materialize(od.decompose(s, fixed_model(), "rating", [tb.ENTITY, tb.PERIOD]).select(*OUT_COLS),
+                       "decomposition")
