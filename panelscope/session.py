@@ -40,14 +40,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is set (local
-    tests) take a fresh scratch folder."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Read from the session; when it is unset, the SparkContext's checkpoint
+    directory is used, and only when neither exists (local tests) a fresh
+    scratch folder is taken.  ``spark.checkpoint.dir`` is a core setting that
+    cannot be changed on a running session, so nothing here tries to."""
+    sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="panelscope-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return current
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    scratch = tempfile.mkdtemp(prefix="panelscope-ckpt-")
+    sc.setCheckpointDir(scratch)
+    return scratch
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
