@@ -29,6 +29,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local inputs: let AQE keep several post-shuffle partitions
+        # instead of coalescing each shuffle into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                os.environ.get("PANELSCOPE_MIN_PARTITION_SIZE", "1MB"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("PANELSCOPE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
