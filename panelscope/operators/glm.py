@@ -61,26 +61,38 @@ def design(df: DataFrame, features: Sequence[str], categorical: Sequence[str] =
 
 def fit_logit(df: DataFrame, outcome: str, features: Sequence[str], categorical: Sequence[str] = (),
               weight: str | None = None, max_iter: int = 50, tol: float = 1e-10,
-              hc1_n: str = "rows") -> LogitFit:
-    """Maximum-likelihood logit; ``weight`` is a frequency weight.  HC1
-    covariance: bread = inverse information, meat = sum f (y-p)^2 x x'
-    (equal to repeating each row f times), scaled by n/(n-k) with n the
-    physical row count (``hc1_n="rows"``) or the weight total (``"weights"``)."""
-    X, terms = design(df, features, categorical)
+              hc1: str = "score_rows") -> LogitFit:
+    """Maximum-likelihood logit; ``weight`` is a frequency weight f.
+
+    HC1 covariance = bread . meat . bread x correction, bread the inverse
+    information sum f p(1-p) x x'.  Two conventions for weighted fits (they
+    agree when f = 1):
+
+    * ``"score_rows"`` (default): each row's score f (y-p) x is one
+      observation, meat = sum f^2 (y-p)^2 x x', correction n_rows / (sum f - k)
+      -- the per-row-score convention of the GLM library the reference used;
+    * ``"replicate"``: meat = sum f (y-p)^2 x x', correction
+      sum f / (sum f - k) -- identical to repeating each row f times."""
+    # the model rows are written once; the level lookup and every Newton
+    # step read them
+    keep = [outcome, *features, *categorical] + ([weight] if weight else [])
+    rows = materialize(df.select(*dict.fromkeys(keep)).dropna(subset=[*features, *categorical]), "logit")
+    X, terms = design(rows, features, categorical)
     k = len(terms)
     f = F.col(weight).cast("double") if weight else F.lit(1.0)
-    data = materialize(X.select(F.col(outcome).cast("double").alias("_y"), f.alias("_f"), F.lit(0).alias("_k"),
-                                *[F.col(f"_x{i}") for i in range(k)]), "logit")
+    data = X.select(F.col(outcome).cast("double").alias("_y"), f.alias("_f"), F.lit(0).alias("_k"),
+                    *[F.col(f"_x{i}") for i in range(k)])
     spark = df.sparkSession
     xs = [f"_x{i}" for i in range(k)]
     eta = " + ".join(f"_q{i} * {x}" for i, x in enumerate(xs))
     beta = np.zeros(k)
 
-    def moments(b: np.ndarray, meat: bool = False):
+    def moments(b: np.ndarray, meat: str | None = None):
         # parameters arrive as columns of a one-row table and every
         # expression is SQL text: one JVM call per step, same generated code
         step = param_row(data, list(b)).selectExpr("_y", "_f", *xs, f"1D / (1D + exp(-({eta}))) AS _p")
-        wexpr = "_f * (_y - _p) * (_y - _p)" if meat else "_f * _p * (1D - _p)"
+        wexpr = {"score_rows": "_f * _f * (_y - _p) * (_y - _p)", "replicate": "_f * (_y - _p) * (_y - _p)",
+                 None: "_f * _p * (1D - _p)"}[meat]
         step = step.selectExpr(*xs, "_f * (_y - _p) AS _g", f"{wexpr} AS _w", "_f")
         sums = ["count(1) AS n", "sum(_f) AS sf"] + [f"sum(_g * {x}) AS g{i}" for i, x in enumerate(xs)]
         sums += [f"sum(_w * {xs[i]} * {xs[j]}) AS h{i}_{j}" for i in range(k) for j in range(i, k)]
@@ -107,10 +119,12 @@ def fit_logit(df: DataFrame, outcome: str, features: Sequence[str], categorical:
         if np.max(np.abs(delta)) < tol * (1 + np.max(np.abs(beta))):
             converged = True
             break
+    if hc1 not in ("score_rows", "replicate"):
+        raise ValueError(f"unknown HC1 convention: {hc1}")
     bread = np.linalg.pinv(H)
-    _, meat, _, _ = moments(beta, meat=True)
-    nn = n if hc1_n == "rows" else sf
-    cov = bread @ meat @ bread * (nn / (nn - k))
+    _, meat, _, _ = moments(beta, meat=hc1)
+    correction = (n if hc1 == "score_rows" else sf) / (sf - k)
+    cov = bread @ meat @ bread * correction
     return LogitFit(terms, beta, cov, int(n), float(sf), it, converged, float(np.max(np.abs(g))))
 
 
