@@ -11,7 +11,6 @@ checkpointed once before iterating.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -132,13 +131,6 @@ class OrderedLogit:
         return rows
 
 
-def _class_expr(y: Column, values: Sequence[float], default: float) -> Column:
-    e = None
-    for j, v in enumerate(values):
-        e = F.when(y == j, F.lit(float(v))) if e is None else e.when(y == j, F.lit(float(v)))
-    return F.lit(default) if e is None else e.otherwise(F.lit(default))
-
-
 def param_row(data: DataFrame, values: Sequence[float], prefix: str = "_q") -> DataFrame:
     """``data`` with the current parameters attached as columns from a
     one-row broadcast table (a join on a constant key; the build side is
@@ -324,7 +316,3 @@ def decompose(sample: DataFrame, model: OrderedLogit, outcome: str, keep: Sequen
 def fixed_model(levels: Sequence[float], thresholds: Sequence[float], slopes: dict[str, float]) -> OrderedLogit:
     """A model at given parameters (scoring without a fit)."""
     return OrderedLogit(list(levels), list(slopes), list(thresholds), list(slopes.values()))
-
-
-def logit(p: float) -> float:
-    return math.log(p / (1 - p))

@@ -49,10 +49,6 @@ def decomposition(spark: SparkSession, sf_dir: str, model: od.OrderedLogit | Non
     return materialize(od.decompose(s, m, "rating", [tb.ENTITY, tb.PERIOD]).select(*OUT_COLS), "decomposition")
 
 
-def fixed_eta_model() -> od.OrderedLogit:
-    return od.fixed_model(FIXED_LEVELS, FIXED_THRESHOLDS, dict(FIXED_SLOPES))
-
-
 def fixed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model rows (M14) with the fixed period effect as a column."""
     s, _, _ = od.model_sample(P.model_frame(spark, sf_dir), "rating", CORE, "total_size", tb.PERIOD,

@@ -141,21 +141,3 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame is the ratings left-joined once on (entity, period)."""
     s = ratings(spark, sf_dir).filter(F.col("rating").isNotNull())
     return s.join(unit_features(spark, sf_dir), KEYS, "left").select(*FRAME_COLS)
-
-
-def model_frame_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rating plus every feature, one row per rated entity-period.
-
-    All sides are keyed by (entity, period): Spark hash-partitions each side
-    once on that key and the chain of joins shares the partitioning."""
-    s = ratings(spark, sf_dir).filter(F.col("rating").isNotNull())
-    p = rate_exposure(spark, sf_dir).select(*KEYS, "rate_exposure")
-    r = static_exposure(spark, sf_dir).select(*KEYS, "static_exposure")
-    h = score_exposure(spark, sf_dir).select(*KEYS, "score_exposure")
-    g = concentration(spark, sf_dir).select(*KEYS, "hhi", "entropy", "top1_share", "top5_share",
-                                            F.col("n_units").cast("double").alias("n_units"))
-    e = entity_size(spark, sf_dir)
-    out = s
-    for side in (p, r, h, g, e):
-        out = out.join(side, KEYS, "left")
-    return out
