@@ -60,7 +60,7 @@ COLS = ", ".join(OUT)
 SELECT entity_id, period, rating, CAST(DENSE_RANK() OVER (ORDER BY rating) - 1 AS INTEGER) AS level_index,
        total_size, log_size FROM sample""", ["rating", "total_size", "log_size"])
 def q_model_sample(spark, d):
-    s, _, _ = od.model_sample(M.P.model_frame(spark, d), "rating", CORE, "total_size", tb.PERIOD, checkpoint=False)
+    s, _, _ = od.model_sample(M.P.model_frame(spark, d), "rating", CORE, "total_size", tb.PERIOD)
     return s.select(tb.ENTITY, tb.PERIOD, "rating", "level_index", "total_size", "log_size")
 
 
@@ -68,7 +68,7 @@ def q_model_sample(spark, d):
 SELECT rating, CAST(DENSE_RANK() OVER (ORDER BY rating) - 1 AS INTEGER) AS level_index
 FROM (SELECT DISTINCT rating FROM sample)""", ["rating"])
 def q_levels_index(spark, d):
-    s, _, _ = od.model_sample(M.P.model_frame(spark, d), "rating", CORE, "total_size", tb.PERIOD, checkpoint=False)
+    s, _, _ = od.model_sample(M.P.model_frame(spark, d), "rating", CORE, "total_size", tb.PERIOD)
     return s.select("rating", "level_index").distinct()
 
 
@@ -79,8 +79,7 @@ SELECT period, CAST(DENSE_RANK() OVER (ORDER BY period) - 1 AS INTEGER) AS dummy
 def q_period_dummies(spark, d):
     """Dummy coding of the period (P30): index of each level, the lowest
     level is the dropped baseline; the row count per level."""
-    s, _, periods = od.model_sample(M.P.model_frame(spark, d), "rating", CORE, "total_size", tb.PERIOD,
-                                    checkpoint=False)
+    s, _, periods = od.model_sample(M.P.model_frame(spark, d), "rating", CORE, "total_size", tb.PERIOD)
     s, names = od.period_dummies(s, tb.PERIOD, periods)
     idx = F.array_position(F.array(*[F.lit(p) for p in periods]), F.col(tb.PERIOD)) - 1
     base = F.when(sum((F.col(n) for n in names), F.lit(0.0)) == 0, 1).otherwise(0)
@@ -288,3 +287,23 @@ def q_ordered_logit(spark, d):
 def q_decomposition(spark, d):
     """Observed = expected + residual at the fitted parameters."""
     return M.decomposition(spark, d)
+
+
+# ------------------------------------------------------------------ reports at the fitted model (rows-only)
+
+@register("bucket_summary_fitted")
+def q_bucket_summary_fitted(spark, d):
+    """Bucket summary over the fitted decomposition (M16 after M8)."""
+    return rp.bucket_summary(M.decomposition(spark, d), tb.PERIOD, means=BUCKET_MEANS)
+
+
+@register("decile_effect_score_fitted")
+def q_decile_score_fitted(spark, d):
+    """Score-exposure decile table over the fitted decomposition (M15 after M8)."""
+    return bn.decile_table(M.decomposition(spark, d), "score_exposure", "Score exposure", tb.PERIOD)
+
+
+@register("opportunity_top50_fitted")
+def q_opportunity_fitted(spark, d):
+    """Ranked 3.5-3.9 list over the fitted decomposition (O3 after M8)."""
+    return rp.ranked(M.decomposition(spark, d), [tb.PERIOD, "residual", tb.ENTITY], 50, cols=RANK_COLS)
