@@ -111,8 +111,8 @@ def unit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined without a shuffle of the weights when measured small) and then
     shuffled once on (entity, period).  Only the top-5 share needs its own
     (salted) ranking pass."""
-    w = share_weights(spark, sf_dir)
-    w = ex.attach_unit_values(w, tb.period_rates(spark, sf_dir), ["rate"], unit=tb.UNIT, period=tb.PERIOD,
+    base = share_weights(spark, sf_dir)          # weights are positive by construction (W1)
+    w = ex.attach_unit_values(base, tb.period_rates(spark, sf_dir), ["rate"], unit=tb.UNIT, period=tb.PERIOD,
                               lag=RATE_LAG).withColumnRenamed(ex.MATCHED, "_m_rate")
     w = ex.attach_unit_values(w, unit_codes(spark, sf_dir), ["code_flag"], unit=tb.UNIT,
                               period=None).withColumnRenamed(ex.MATCHED, "_m_code")
@@ -126,7 +126,9 @@ def unit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = w.groupBy(*KEYS).agg(*aggs).select(
         *KEYS, f_rate[0], f_code[0], f_score[0], "hhi", "entropy", "top1_share",
         F.col("n_units").cast("double").alias("n_units"), "total_size")
-    top = conc.top_k_sum(w.filter(F.col("weight") > 0), KEYS, "weight", tb.UNIT, k=5, out="top5_share")
+    # ranked on the plain weights: the same subtree as above, so its
+    # exchanges are reused instead of re-running the fact and unit joins
+    top = conc.top_k_sum(base, KEYS, "weight", tb.UNIT, k=5, out="top5_share")
     return g.join(top, KEYS, "left")
 
 
