@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from .panel import RURAL_CUT
 from .queries import register
 from ..functions.clean import to_number
 from ..operators.ordinal import sorted_levels
 from ..session import ensure_checkpoint_dir
+from ..operators import exposure as ex
 from ..sources import files as fs
 from ..sources import tables as tb
 
@@ -64,3 +66,25 @@ def q_json_rows(spark, d):
     frames = {p: fs.read_header_rows_json(spark, f"{path}/{tb.PERIOD}={p}") for p in periods}
     raw = fs.read_by_year(frames, tb.PERIOD)
     return raw.select(tb.PERIOD, F.col("UNIT").alias(tb.UNIT), to_number("RATE").alias("rate"))
+
+
+@register("csv_attributes_roundtrip", O.with_ctes("unit_codes") + """
+SELECT unit_code, state, unit_name, code, population, code_flag FROM unit_codes""")
+def q_csv_attributes_roundtrip(spark, d):
+    """Long attribute rows landed as a single-byte encoded CSV with numeric
+    codes (leading zeros lost, as a typed export does), read back with a
+    declared schema and re-padded codes (S3, S4, S13), then pivoted (A10)."""
+    long = tb.unit_attributes_long(spark, d)
+    path = _landing(spark, "attributes_csv")
+    fs.write_csv(long.select(F.col(tb.UNIT).cast("int").alias("FIPS"), F.col("state").alias("State"),
+                             F.col("unit_name").alias("County_Name"), F.col("attribute").alias("Attribute"),
+                             F.col("value").alias("Value")), path, encoding="ISO-8859-1")
+    schema = "FIPS int, State string, County_Name string, Attribute string, Value string"
+    raw = fs.read_csv_typed(spark, path, schema, pad={"FIPS": 5}, encoding="ISO-8859-1")
+    rows = raw.select(F.col("FIPS").alias(tb.UNIT), F.col("State").alias("state"),
+                      F.col("County_Name").alias("unit_name"), F.col("Attribute").alias("attribute"),
+                      F.col("Value").alias("value"))
+    wide = ex.pivot_attributes(rows, tb.UNIT, {"code": ("CODE", "int"), "population": ("POP", "bigint")},
+                               carry=["state", "unit_name"])
+    return ex.add_ordinal_flag(wide, "code", "code_flag", RURAL_CUT).select(
+        tb.UNIT, "state", "unit_name", "code", "population", "code_flag")

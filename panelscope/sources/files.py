@@ -26,10 +26,10 @@ def read_csv_strings(spark: SparkSession, paths: str | Sequence[str], na_tokens:
     return df
 
 
-def read_csv_typed(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
+def read_csv_typed(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str,
                    pad: Mapping[str, int] | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """Header CSV with a declared schema (S3); codes that a typed read would
-    turn into numbers are re-padded (P12)."""
+    """Header CSV with a declared schema (a StructType or DDL string) (S3);
+    codes that a typed read would turn into numbers are re-padded (P12)."""
     df = (spark.read.option("header", True).option("encoding", encoding).schema(schema)
           .csv(list(paths) if not isinstance(paths, str) else paths))
     for c, width in (pad or {}).items():
@@ -89,11 +89,12 @@ def read_by_year(frames: Mapping[int, DataFrame], col: str = "year") -> DataFram
     return out
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, sep: str = ",") -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, sep: str = ",",
+              encoding: str = "UTF-8") -> None:
     """Header CSV sink (S13, S14).  ``single_file`` coalesces to one part and
     is meant for report-sized tables only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    out.write.mode("overwrite").option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
 
 
 def save_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
