@@ -50,23 +50,26 @@ def to_number(col: str | Column) -> Column:
 
 
 def to_int(col: str | Column) -> Column:
-    """Integer parse going through double, truncating toward zero."""
-    return to_number(col).cast("bigint")
+    """Integer parse going through double, truncating toward zero; null
+    when unparsable or out of the bigint range."""
+    return to_number(col).try_cast("bigint")
 
 
 def clean_measure(col: str | Column) -> Column:
     """Suppressed-count parse (P10): null, blank, ``*`` or unparsable -> 0,
     else the number truncated toward zero."""
     d = to_number(col)
-    finite = d.isNotNull() & (F.abs(d) < F.lit(float("inf")))
-    return F.when(finite, d.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    # inf, nan and values beyond the bigint range are not counts: 0, like
+    # the other unusable cells (an ANSI cast would raise on them)
+    in_range = d.isNotNull() & (F.abs(d) < F.lit(9.2e18))
+    return F.when(in_range, d.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
 def normalize_code(col: str | Column, width: int = 5) -> Column:
     """Digits only, keep the last ``width``, left-pad with zeros.
     Null or digit-free input becomes all zeros."""
     digits = F.regexp_replace(F.coalesce(_c(col).cast("string"), F.lit("")), r"[^0-9]", "")
-    tail =F.when(F.length(digits) > width, F.substring(digits, -width, width)).otherwise(digits)
+    tail = F.when(F.length(digits) > width, F.substring(digits, -width, width)).otherwise(digits)
     return F.lpad(tail, width, "0")
 
 

@@ -29,7 +29,7 @@ NUM_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 @register("clean_measure", RAW_SQL + f"""
 SELECT event_id,
        CASE WHEN regexp_matches(s, '{NUM_RE}') THEN TRY_CAST(s AS DOUBLE) END AS parsed_value,
-       CASE WHEN regexp_matches(s, '{NUM_RE}') AND isfinite(TRY_CAST(s AS DOUBLE))
+       CASE WHEN regexp_matches(s, '{NUM_RE}') AND abs(TRY_CAST(s AS DOUBLE)) < 9.2e18
             THEN CAST(trunc(TRY_CAST(s AS DOUBLE)) AS BIGINT) ELSE CAST(0 AS BIGINT) END AS measure
 FROM parsed""", ["parsed_value"])
 def q_clean_measure(spark, d):

@@ -6,6 +6,7 @@ DataFrames; no schema inference on data paths.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,7 @@ def read_csv_banner(spark: SparkSession, paths: str | Sequence[str], skip: int =
     header = lines.filter(F.col("pos") == skip).select("line").first()
     if header is None:
         raise ValueError("no header line found")
-    names = [h.strip().strip('"') for h in header["line"].split(",")]
+    names = [h.strip() for h in next(csv.reader([header["line"]]))]
     ddl = ", ".join(f"`{n}` STRING" for n in names)
     body = lines.filter((F.col("pos") > skip) & (F.length("line") > 0) & (F.col("line") != header["line"]))
     parsed = body.select(F.from_csv("line", ddl).alias("r")).select("r.*")

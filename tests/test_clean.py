@@ -9,8 +9,8 @@ def _one(spark, values, expr):
 
 
 def test_clean_measure_edge_rows(spark):
-    vals = [None, "", " ", "*", "abc", " 12 ", "12.9", "1e3", "-5", "1,234", "1d", "inf", "1_000", "-3.9"]
-    want = [0, 0, 0, 0, 0, 12, 12, 1000, -5, 0, 0, 0, 0, -3]
+    vals = [None, "", " ", "*", "abc", " 12 ", "12.9", "1e3", "-5", "1,234", "1d", "inf", "1_000", "-3.9", "1e30"]
+    want = [0, 0, 0, 0, 0, 12, 12, 1000, -5, 0, 0, 0, 0, -3, 0]
     assert _one(spark, vals, cl.clean_measure) == want
 
 

@@ -20,7 +20,7 @@ def py_measure(s):
     if not NUM.match(t):
         return 0
     v = float(t)
-    return int(v) if math.isfinite(v) and abs(v) < 2 ** 63 else 0
+    return int(v) if math.isfinite(v) and abs(v) < 9.2e18 else 0
 
 
 def py_code(s):

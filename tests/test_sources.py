@@ -19,10 +19,10 @@ def test_banner_csv(spark, tmp):
     for year in (2024, 2025):
         with open(os.path.join(tmp, f"r{year}.csv"), "w") as fh:
             fh.write(f"Report generated {year}, do not edit\n")
-            fh.write("Contract Number,Overall\n")
+            fh.write('Contract Number,"Overall, stars"\n')
             fh.write(f"H1,4.5\nH2,{year}\nH3,Not enough data\n")
     df = fs.read_csv_banner(spark, [os.path.join(tmp, "r2024.csv"), os.path.join(tmp, "r2025.csv")])
-    assert df.columns == ["Contract Number", "Overall"]
+    assert df.columns == ["Contract Number", "Overall, stars"]
     assert sorted(tuple(r) for r in df.collect()) == sorted(
         [("H1", "4.5"), ("H2", "2024"), ("H3", "Not enough data")] * 1
         + [("H1", "4.5"), ("H2", "2025"), ("H3", "Not enough data")])
