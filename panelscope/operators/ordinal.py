@@ -60,10 +60,16 @@ def model_sample(frame: DataFrame, outcome: str, core: Sequence[str], size: str,
         df = materialize(df, "model_sample")
     if not index_levels:            # scoring at given parameters needs no level lookup
         return df, None, None
-    levels = sorted_levels(df, outcome, MAX_LEVELS)
+    # both level lists from one distinct job (bounded: levels x periods rows)
+    pairs = df.select(outcome, period).distinct().limit(MAX_LEVELS * MAX_PERIODS + 1).collect()
+    if len(pairs) > MAX_LEVELS * MAX_PERIODS:
+        raise ValueError("too many outcome x period levels")
+    levels = sorted({r[0] for r in pairs})
+    periods = sorted({r[1] for r in pairs if r[1] is not None})
+    if len(levels) > MAX_LEVELS:
+        raise ValueError(f"{outcome} has more than {MAX_LEVELS} levels")
     if len(levels) < min_levels:
         raise ValueError(f"need at least {min_levels} outcome levels, found {levels}")
-    periods = sorted_levels(df, period, MAX_PERIODS)
     idx = F.array_position(F.array(*[F.lit(float(v)) for v in levels]), F.col(outcome).cast("double")) - 1
     return df.withColumn("level_index", idx.cast("int")), levels, periods
 
@@ -242,16 +248,22 @@ def fit_ordered_logit(sample: DataFrame, outcome_index: str, features: Sequence[
     data = sample.select(F.col(outcome_index).alias("y"), *[F.col(c).cast("double").alias(c) for c in features])
     if checkpoint:
         data = materialize(data)
-    stats = data.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(features)],
-                     *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(features)]).first()
-    mu = np.array([stats[f"m_{i}"] for i in range(p)], dtype=float)
-    sd = np.array([stats[f"s_{i}"] or 1.0 for i in range(p)], dtype=float)
-    sd[sd == 0] = 1.0
+    # class counts and feature scaling from one grouped job; the scaling only
+    # conditions the Newton system, the optimum does not depend on it
+    per_class = data.groupBy("y").agg(F.count(F.lit(1)).alias("n"),
+                                      *[F.sum(c).alias(f"s1_{i}") for i, c in enumerate(features)],
+                                      *[F.sum(F.col(c) * F.col(c)).alias(f"s2_{i}") for i, c in enumerate(features)]
+                                      ).collect()
+    counts = {r["y"]: r["n"] for r in per_class}
+    n_all = float(sum(counts.values()))
+    mu = np.array([sum(r[f"s1_{i}"] for r in per_class) / n_all for i in range(p)], dtype=float)
+    var = np.array([sum(r[f"s2_{i}"] for r in per_class) / n_all for i in range(p)], dtype=float) - mu * mu
+    sd = np.sqrt(np.clip(var, 0.0, None))
+    sd[~(sd > 1e-12 * np.maximum(1.0, np.abs(mu)))] = 1.0
     z = [f"_z{i}" for i in range(p)]
     zdata = data.select("y", F.lit(0).alias("_k"),
                         *[((F.col(c) - F.lit(float(mu[i]))) / F.lit(float(sd[i]))).alias(z[i])
                           for i, c in enumerate(features)])
-    counts = {r["y"]: r["count"] for r in data.groupBy("y").count().collect()}
     n = sum(counts.values())
     cum = np.cumsum([counts.get(k, 0) for k in range(K)])[:-1] / n
     cum = np.clip(cum, 1e-6, 1 - 1e-6)
