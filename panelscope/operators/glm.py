@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .ordinal import param_row, sorted_levels
+from .ordinal import sorted_levels, sql_double
 
 
 
@@ -80,17 +80,17 @@ def fit_logit(df: DataFrame, outcome: str, features: Sequence[str], categorical:
     X, terms = design(rows, features, categorical)
     k = len(terms)
     f = F.col(weight).cast("double") if weight else F.lit(1.0)
-    data = X.select(F.col(outcome).cast("double").alias("_y"), f.alias("_f"), F.lit(0).alias("_k"),
+    data = X.select(F.col(outcome).cast("double").alias("_y"), f.alias("_f"),
                     *[F.col(f"_x{i}") for i in range(k)])
     spark = df.sparkSession
     xs = [f"_x{i}" for i in range(k)]
-    eta = " + ".join(f"_q{i} * {x}" for i, x in enumerate(xs))
     beta = np.zeros(k)
 
     def moments(b: np.ndarray, meat: str | None = None):
-        # parameters arrive as columns of a one-row table and every
-        # expression is SQL text: one JVM call per step, same generated code
-        step = param_row(data, list(b)).selectExpr("_y", "_f", *xs, f"1D / (1D + exp(-({eta}))) AS _p")
+        # every expression is SQL text with the parameters as exact
+        # literals: building a step is one JVM call however many terms
+        eta = " + ".join(f"{sql_double(v)} * {x}" for v, x in zip(b, xs))
+        step = data.selectExpr("_y", "_f", *xs, f"1D / (1D + exp(-({eta}))) AS _p")
         wexpr = {"score_rows": "_f * _f * (_y - _p) * (_y - _p)", "replicate": "_f * (_y - _p) * (_y - _p)",
                  None: "_f * _p * (1D - _p)"}[meat]
         step = step.selectExpr(*xs, "_f * (_y - _p) AS _g", f"{wexpr} AS _w", "_f")

@@ -137,29 +137,19 @@ class OrderedLogit:
         return rows
 
 
-def param_row(data: DataFrame, values: Sequence[float], prefix: str = "_q") -> DataFrame:
-    """``data`` with the current parameters attached as columns from a
-    one-row broadcast table (a join on a constant key; the build side is
-    exactly one row).  Unlike literals, parameter columns leave the
-    generated code identical from one Newton step to the next, so Spark's
-    code cache is hit instead of recompiling every step."""
-    spark = data.sparkSession
-    names = [f"{prefix}{i}" for i in range(len(values))]
-    schema = ", ".join(["_k int"] + [f"{n} double" for n in names])
-    one = spark.createDataFrame([tuple([0] + [float(v) for v in values])], schema)
-    return data.join(F.broadcast(one), "_k")
+def sql_double(v: float) -> str:
+    """A double literal for SQL text that round-trips exactly."""
+    return f"CAST({float(v)!r} AS DOUBLE)"
 
 
 def _step_frame(data: DataFrame, z: Sequence[str], K: int, theta: np.ndarray, beta: np.ndarray) -> DataFrame:
     """Per-row log-likelihood derivatives, built in layers of projections so
-    each quantity is computed once per row.  Expressions are SQL text (one
-    call per layer, parsed in the JVM) over parameter columns ``_q*`` from a
-    one-row table, so building a step costs the same whatever p is and the
-    generated code does not change between steps.  ``data`` carries a
-    constant ``_k`` column for the parameter join."""
+    each quantity is computed once per row.  Expressions are SQL text with
+    the current parameters as exact literals (one call per layer, parsed in
+    the JVM), so building a step costs the same whatever p is."""
     p = len(z)
-    withp = param_row(data, list(theta) + list(beta))
-    q = [f"_q{j}" for j in range(K - 1 + p)]
+    withp = data
+    q = [sql_double(v) for v in list(theta) + list(beta)]
     zs = list(z)
     eta = " + ".join(f"{q[K - 1 + i]} * {c}" for i, c in enumerate(zs)) or "0D"
 
@@ -167,7 +157,7 @@ def _step_frame(data: DataFrame, z: Sequence[str], K: int, theta: np.ndarray, be
         return "CASE " + " ".join(f"WHEN {idx} = {j} THEN {q[j]}" for j in range(K - 1)) + " ELSE 0D END"
 
     sig = "(1D / (1D + exp(-({x}))))"
-    l1 = withp.selectExpr("y", *zs, f"{eta} AS _eta", *q[:K - 1])
+    l1 = withp.selectExpr("y", *zs, f"{eta} AS _eta")
     l2 = l1.selectExpr("y", *zs, f"{at('y')} - _eta AS _up", f"{at('y - 1')} - _eta AS _lo")
     fa = f"CASE WHEN y = {K - 1} THEN 1D ELSE {sig.format(x='_up')} END"
     fb = f"CASE WHEN y = 0 THEN 0D ELSE {sig.format(x='_lo')} END"
@@ -261,7 +251,7 @@ def fit_ordered_logit(sample: DataFrame, outcome_index: str, features: Sequence[
     sd = np.sqrt(np.clip(var, 0.0, None))
     sd[~(sd > 1e-12 * np.maximum(1.0, np.abs(mu)))] = 1.0
     z = [f"_z{i}" for i in range(p)]
-    zdata = data.select("y", F.lit(0).alias("_k"),
+    zdata = data.select("y",
                         *[((F.col(c) - F.lit(float(mu[i]))) / F.lit(float(sd[i]))).alias(z[i])
                           for i, c in enumerate(features)])
     n = sum(counts.values())

@@ -64,11 +64,21 @@ def quantiles_by_sort(df: DataFrame, value: str, probs: Sequence[float], by: Seq
     targets = targets.withColumn("_k0", F.floor("_h").cast("long")).withColumn("_k1", F.ceil("_h").cast("long"))
     ranks = targets.select(*[F.col(c).alias(f"_r_{c}") for c in by],
                            F.explode(F.array_distinct(F.array("_k0", "_k1"))).alias("_rank"))
-    # (partition, group) slices that hold a wanted rank: a small x small join
-    cond = (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_c"))
-    for c in by:
-        cond = cond & (F.col(c) == F.col(f"_r_{c}"))
-    slices = counts.join(ranks, cond).select("_pid", *by, "_off", "_rank")
+    # (partition, group) slices that hold a wanted rank
+    if by:
+        # small x small equi-join on the group, range condition on the offsets
+        cond = (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_c"))
+        for c in by:
+            cond = cond & (F.col(c) == F.col(f"_r_{c}"))
+        slices = counts.join(ranks, cond).select("_pid", *by, "_off", "_rank")
+    else:
+        # one group: the sorted offsets (one per range partition) reach the
+        # ranks as a scalar subquery; the slice is the last offset <= rank
+        offs = counts.agg(F.array_sort(F.collect_list(F.struct("_off", "_pid"))).alias("_o")).scalar()
+        with_offs = ranks.withColumn("_o", offs)
+        at = F.size(F.filter("_o", lambda o: o["_off"] <= F.col("_rank"))) - 1
+        slices = with_offs.select(F.col("_o")[at]["_pid"].alias("_pid"), F.col("_o")[at]["_off"].alias("_off"),
+                                  "_rank")
     need = slices.select("_pid", *by, "_off").distinct()
     part = ranged.join(F.broadcast(need), ["_pid", *by], "left_semi") if by else ranged.join(
         F.broadcast(need.select("_pid")), ["_pid"], "left_semi")
