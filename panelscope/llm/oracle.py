@@ -57,3 +57,33 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM (SELECT *, row_number() OVER w AS rn, first_value(page_id) OVER w AS first_id FROM digest
       WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST))
 """
+
+# windows of three as rows, counted by the whole text of the window
+OP2_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+win AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+        FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS c FROM win) WHERE c > 1),
+rep AS (SELECT rid, count(DISTINCT i + o)::BIGINT AS n FROM twice, (VALUES (0), (1), (2)) v(o) GROUP BY rid),
+f AS (
+  SELECT d.doc_id, d.t, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN rep ON d.rid = rep.rid),
+g AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             length(regexp_replace(t, '[^\p{L}]+', '', 'g')) AS letters,
+             length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) AS capitals,
+             len(regexp_extract_all(t, '(?:\.\.\.|…)[ \t]*(?:\n|$)')) AS ellipsis,
+             len(regexp_extract_all(t, '(?:^|\n)[ \t]*[•●‣–-][ \t]')) AS bullets
+      FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 2 * n_dup_lines > n_lines OR 10 * letters < 6 * word_chars OR 2 * capitals > letters
+            OR 10 * ellipsis > 3 * n_lines OR 10 * bullets > 9 * n_lines) AS kept
+FROM g
+"""

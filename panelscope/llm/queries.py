@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import mixing, sharding, warc
-from panelscope.llm.oracle import OP3_SQL, OP10_SQL
+from panelscope.llm import mixing, quality, sharding, warc
+from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP10_SQL
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -25,6 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_quality_rules", OP2_SQL)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and verdict of every document."""
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
 @query("op3_mixing", OP3_SQL)
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
