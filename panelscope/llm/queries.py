@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import mixing, quality, sharding, warc
+from panelscope.llm import mixing, pii, quality, sharding, warc
 from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP10_SQL
 
 QUERIES: dict = {}
@@ -48,6 +48,19 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts, base digest, all spans."""
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def of(kind: str):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[of(kind) for kind in pii.KINDS], F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))
+
+
 @query("op10_warc", OP10_SQL)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of all pages, written to archives and read back."""
