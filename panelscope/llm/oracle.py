@@ -87,3 +87,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 10 * ellipsis > 3 * n_lines OR 10 * bullets > 9 * n_lines) AS kept
 FROM g
 """
+
+# whole dialogues by one running sum, cut where a message starts 65536
+# characters further; no two messages of a turn exist in the given tables
+OP7_SQL = r"""
+WITH m AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+p AS (SELECT DISTINCT conv_id, role AS participant FROM m),
+s AS (SELECT m.*, p.participant, role = participant AS mine,
+             '<|im_start|>' || CASE WHEN role = participant THEN 'assistant' ELSE 'user name=' || role END || chr(10)
+               || text || '<|im_end|>' || chr(10) AS segment
+      FROM m JOIN p ON m.conv_id IS NOT DISTINCT FROM p.conv_id),
+r AS (SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, role, text
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM s),
+q AS (SELECT *, (pos // 65536)::INTEGER AS part FROM r),
+o AS (SELECT *, pos - min(pos) OVER (PARTITION BY conv_id, participant, part) AS place FROM q)
+SELECT conv_id, participant, part, count(*)::INTEGER AS n_messages, string_agg(segment, '' ORDER BY pos) AS rendered,
+       coalesce(string_agg((place + length(segment) - 11 - length(text))::BIGINT || ':' || (place + length(segment) - 11)::BIGINT, ','
+                  ORDER BY pos) FILTER (WHERE mine), '') AS masks
+FROM o GROUP BY conv_id, participant, part
+"""

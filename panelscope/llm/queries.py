@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import mixing, pii, quality, sharding, warc
-from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP10_SQL
+from panelscope.llm import chat, mixing, pii, quality, sharding, warc
+from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP7_SQL, OP10_SQL
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -48,6 +48,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op7_chat_formatting", OP7_SQL)
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered for each of its participants; masks as
+    ``start:end`` in characters, comma-joined."""
+    parts = chat.rotate(table(spark, sf_dir, "conversations"))
+    masks = F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+    return parts.select("conv_id", "participant", "part", "n_messages", "rendered", masks.alias("masks"))
+
+
 @query("op9_pii")
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base counts, base digest, all spans."""
