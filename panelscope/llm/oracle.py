@@ -106,3 +106,21 @@ SELECT conv_id, participant, part, count(*)::INTEGER AS n_messages, string_agg(s
                   ORDER BY pos) FILTER (WHERE mine), '') AS masks
 FROM o GROUP BY conv_id, participant, part
 """
+
+# all links by counting shared shingles, then everything that a link reaches
+OP8_SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) END) AS sh FROM d),
+n AS MATERIALIZED (SELECT doc_id, len(sh)::BIGINT AS n FROM s),
+x AS MATERIALIZED (SELECT doc_id, hash(sh) AS h FROM (SELECT doc_id, unnest(sh) AS sh FROM s)),
+common AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+both_ways AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a)
+SELECT n.doc_id, n.n AS n_shingles, min(r.b) AS component_id, n.doc_id = min(r.b) AS kept
+FROM n JOIN reach r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
+"""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import chat, mixing, pii, quality, sharding, warc
-from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP7_SQL, OP10_SQL
+from panelscope.llm import chat, mixing, near_dup, pii, quality, sharding, warc
+from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP10_SQL
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -57,6 +57,13 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("conv_id", "participant", "part", "n_messages", "rendered", masks.alias("masks"))
 
 
+@query("op8_minhash_near_dedup", OP8_SQL)
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document, on sets of 4-word shingles."""
+    docs = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4)
+    return docs.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op9_pii")
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base counts, base digest, all spans."""
