@@ -70,6 +70,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_VALUE = mix(np.arange(1, 257, dtype=U64) * _BASE)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Separators of letter runs: every ASCII byte that is no letter.
+NOT_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
+#: Separators of runs of letters and digits.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _powers = np.ones(1, dtype=U64)
@@ -126,17 +130,18 @@ class Words:
     in the joined buffer) of every word, and ``offset`` (len + 1) of each text's
     first word."""
 
-    def __init__(self, texts: list[bytes], lower: bool = True):
+    def __init__(self, texts: list[bytes], lower: bool = True, separator: np.ndarray = _SPACE):
         buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
         if lower:
             buf = _LOWER[buf]
         self.buf = buf
-        space = _SPACE[buf]
+        space = separator[buf]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if not space[0]:
             edge = np.concatenate(([0], edge))
         self.start, self.end = edge[0::2], edge[1::2]
-        self.hash = range_hash(prefix_hash(buf), self.start, self.end) if len(edge) else np.zeros(0, U64)
+        self.prefix = prefix_hash(buf)
+        self.hash = range_hash(self.prefix, self.start, self.end) if len(edge) else np.zeros(0, U64)
         self.text_start = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
         self.offset = np.searchsorted(self.start, self.text_start)
 

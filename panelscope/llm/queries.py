@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import chat, mixing, near_dup, pii, quality, sharding, warc
+from panelscope.llm import chat, decontaminate, mixing, near_dup, pii, quality, sharding, toxicity, warc
 from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP10_SQL
 
 QUERIES: dict = {}
@@ -40,6 +40,24 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cover a benchmark item, with the items."""
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    leaks = found.select("doc_id", F.explode("leaks").alias("leak"))
+    return leaks.select("doc_id", "leak.*", F.lit(True).alias("contaminated"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; a third of the ids is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), learnable=~held_out)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query("op6_sharding")
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document on the ring, balanced by bytes."""
