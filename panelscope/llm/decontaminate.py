@@ -139,7 +139,7 @@ class Items:
         if np.count_nonzero(np.cumsum(seeded)[:-1]) < threshold * len(target):
             return None
         # the stretches of the text that are covered by seeds, kept apart
-        cut = np.flatnonzero(np.diff(wheres) > 1)
+        cut = np.flatnonzero(np.diff(wheres) > k)
         starts, ends = wheres[np.append(0, cut + 1)], wheres[np.append(cut, len(wheres) - 1)] + k
         parts = []
         for n, (s, e) in enumerate(zip(starts, ends)):

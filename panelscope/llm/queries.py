@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import chat, decontaminate, mixing, near_dup, pii, quality, sharding, toxicity, warc
+from panelscope.llm import chat, decontaminate, mixing, near_dup, pii, quality, sharding, suffix_dedup, toxicity, warc
 from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP10_SQL
 
 QUERIES: dict = {}
@@ -25,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat in strings of 200 bytes."""
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_quality_rules", OP2_SQL)
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and verdict of every document."""
