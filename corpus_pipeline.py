@@ -30,11 +30,8 @@ def detoxify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of every near-duplicate group (five-word shingles,
-    similarity 0.8): the one with the smallest id, of rows that repeat that id
-    in the group any one.  Documents without words all stay."""
-    found = near_dup.near_duplicates(docs).filter("kept")
-    linked = found.filter("n_shingles > 0").dropDuplicates(["component_id"])
-    return linked.unionByName(found.filter("n_shingles = 0")).select(*docs.columns)
+    similarity 0.8), of smallest id; documents without words all stay."""
+    return near_dup.near_duplicates(docs).filter("representative").select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

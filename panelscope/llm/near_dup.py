@@ -177,21 +177,25 @@ def components(links: DataFrame, name: str = "comp") -> DataFrame:
 def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, rounds: int = 2) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` (smallest key that the
-    row's links reach, its own included) and ``kept`` (key = component_id);
+    row's links reach, its own included), ``kept`` (key = component_id) and
+    ``representative`` (true for one row of each component, one that is kept);
     columns of these names are replaced.
 
     A null text, an empty one and one without words have no shingles and are
     linked with nothing; a text of fewer words than a shingle is one shingle.
     A null key is larger than every other; a row with a null key and no links
     has a null component and is kept.  Rows that repeat a key and text are
-    links of each other and share its verdict.  An empty table gives an empty
-    result."""
-    names = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")]
+    links of each other and share its verdict, but one of them represents
+    them; every row without shingles represents itself.  An empty table gives
+    an empty result."""
+    names = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept", "representative")]
     body, own_key = f"c{names.index(text)}", f"c{names.index(key)}"
-    signed = stage_table(signatures(docs.select(*names), text, shingle, bands, rows), "signed")
+    signed = stage_table(signatures(docs.select(*names), text, shingle, bands, rows).withColumn(
+        "seat", F.monotonically_increasing_id()), "signed")
     nodes = signed.filter("node is not null")
     # copies meet before the shuffle: a group of them leaves each task as one row
-    unique = stage_table(nodes.groupBy("node").agg(F.min(own_key).alias("first"), F.first("buckets").alias("buckets")), "nodes")
+    seat = F.struct(F.col(own_key).isNull().alias("none"), F.col(own_key).alias("id"), "seat")
+    unique = stage_table(nodes.groupBy("node").agg(F.min(seat).alias("first"), F.first("buckets").alias("buckets")), "nodes")
     buckets = unique.select(F.explode("buckets").alias("bucket"), "node")
     # buckets of one member have nothing to compare
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
@@ -212,12 +216,13 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
 
     # equal sets share a node; nodes without links are their own component
     group = unique.select("node", "first").join(comp, "node", "left").select("node", "first", F.coalesce("comp", "node").alias("comp"))
-    lowest = group.groupBy("comp").agg(F.min("first").alias("component_id"))
-    place = group.join(lowest, "comp").select("node", "component_id")
+    lowest = group.groupBy("comp").agg(F.min("first").alias("lowest"))
+    place = group.join(lowest, "comp").select("node", "lowest")
     out = signed.drop("buckets").join(place, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col(own_key)).otherwise(F.col("component_id"))
+    component = F.when(F.col("node").isNull(), F.col(own_key)).otherwise(F.col("lowest.id"))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "n_shingles",
-                      component.alias("component_id"), F.col(own_key).eqNullSafe(component).alias("kept"))
+                      component.alias("component_id"), F.col(own_key).eqNullSafe(component).alias("kept"),
+                      F.coalesce(F.col("seat") == F.col("lowest.seat"), F.lit(True)).alias("representative"))
 
 
 def _leftover_stars(members: DataFrame, salt: int) -> DataFrame:
