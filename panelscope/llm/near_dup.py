@@ -7,9 +7,10 @@ and an empty bin copies the bin that a per-bin sequence of hashes reaches first
 
 Candidates are stars: every member of a bucket is paired with one centre, so a
 bucket of n members gives n - 1 pairs, never all of them.  Pairs are confirmed
-on the full shingle sets.  Later rounds go over the buckets again with the
-links so far: members that are not yet connected to their bucket's centre get
-another centre, chosen by another order.
+on the full shingle sets.  Further rounds go over the buckets again with the
+links so far: members that are not connected to their bucket's centre get
+another one, drawn anew in each bucket, until a round finds no link or
+``rounds`` are done.
 
 Texts with equal shingle sets are one node (their link needs no pair).  The
 components of the confirmed links are found by label propagation with pointer
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from panelscope.llm.common import U64, Words, mix, slices, stage_table, texts_of
 
-BANDS, ROWS, SHINGLE, THRESHOLD = 30, 5, 5, 0.8
+BANDS, ROWS, SHINGLE, THRESHOLD, ROUNDS = 30, 5, 5, 0.8, 4
 
 
 def shingle_sets(texts: list[bytes], k: int):
@@ -107,14 +108,14 @@ def signatures(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, band
     return own.mapInArrow(sign, f"{schema}, n_shingles long, node binary, buckets array<bigint>")
 
 
-def _order(salt: int):
-    return F.xxhash64("node", F.lit(salt))
-
-
-def stars(members: DataFrame, salt: int) -> DataFrame:
+def stars(members: DataFrame, salt: int | None = None) -> DataFrame:
     """(centre, node) pairs: each member of a bucket (bucket, node, comp) with
-    the bucket's centre, if they are not connected yet."""
-    centre = members.groupBy("bucket").agg(F.min(F.struct(_order(salt).alias("o"), "node", "comp")).alias("c"), F.count("*").alias("n"))
+    the bucket's centre, if they are not connected yet.  Without ``salt`` all
+    buckets rank their members alike, so a group of copies has one centre in
+    all of its buckets; with one each bucket has an order of its own, and a
+    member meets as many centres as it has buckets."""
+    rank = F.xxhash64("node") if salt is None else F.xxhash64("node", "bucket", F.lit(salt))
+    centre = members.groupBy("bucket").agg(F.min(F.struct(rank.alias("o"), "node", "comp")).alias("c"), F.count("*").alias("n"))
     centre = centre.filter("n > 1").select("bucket", F.col("c.node").alias("centre"), F.col("c.comp").alias("ccomp"))
     return members.join(centre, "bucket").filter("comp != ccomp").select("centre", "node").distinct()
 
@@ -175,7 +176,7 @@ def components(links: DataFrame, name: str = "comp") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
-                    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, rounds: int = 2) -> DataFrame:
+                    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` (smallest key that the
     row's links reach, its own included), ``kept`` (key = component_id) and
     ``representative`` (true for one row of each component, one that is kept);
@@ -203,15 +204,17 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     texts = stage_table(nodes.groupBy("node").agg(F.min(body).alias("body")).join(
         members.select("node").distinct(), "node", "left_semi"), "texts")
 
-    comp, links = None, None
-    for salt in range(rounds):
-        known = members.withColumn("comp", F.col("node")) if comp is None else members.join(comp, "node", "left").select(
-            "bucket", "node", F.coalesce("comp", "node").alias("comp"))
-        pairs = stars(known, 0) if comp is None else _leftover_stars(known, salt)
+    comp = links = None
+    for turn in range(rounds):
+        if comp is None:
+            pairs = stars(members.withColumn("comp", F.col("node")))
+        else:
+            known = members.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+            pairs = stars(known, turn)
         found = stage_table(confirm(pairs, texts, shingle, threshold), "links")
-        links = found if links is None else links.unionByName(found)
         if comp is not None and not found.limit(1).count():
-            break
+            break  # all that share a bucket with a centre are connected or apart
+        links = found if links is None else links.unionByName(found)
         comp = components(links)
 
     # equal sets share a node; nodes without links are their own component
@@ -223,15 +226,3 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "n_shingles",
                       component.alias("component_id"), F.col(own_key).eqNullSafe(component).alias("kept"),
                       F.coalesce(F.col("seat") == F.col("lowest.seat"), F.lit(True)).alias("representative"))
-
-
-def _leftover_stars(members: DataFrame, salt: int) -> DataFrame:
-    """Pairs of a later round: members not connected to their bucket's first
-    centre meet a centre of another order, first among all members, then
-    among themselves."""
-    first = members.groupBy("bucket").agg(F.min(F.struct(_order(0).alias("o"), "node", "comp")).alias("c"),
-                                          F.min(F.struct(_order(salt).alias("o"), "node", "comp")).alias("d"))
-    first = first.select("bucket", F.col("c.comp").alias("ccomp"), F.col("d.node").alias("centre"), F.col("d.comp").alias("dcomp"))
-    rest = members.join(first, "bucket").filter("comp != ccomp")
-    others = rest.filter("comp != dcomp").select("centre", "node")
-    return others.unionByName(stars(rest.select("bucket", "node", "comp"), salt)).distinct()

@@ -38,14 +38,17 @@ PREFIXES = range(4, 10)
 MAX_ROWS, MAX_FEATURES, THRESHOLD = 12_000, 1000, 0.7
 
 
-def features(texts: list[bytes]) -> list[np.ndarray]:
-    """For each text the sorted hashes of its words and word beginnings."""
+def features(texts: list[bytes], plain: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each text the sorted hashes of its words and word beginnings; the
+    words ``plain`` (identity terms) count as whole words alone, so a swap
+    exchanges all there is of them."""
     out = []
     for first, last in slices(texts):
         w = Words(texts[first:last], separator=NOT_LETTER)
         values, owner = [w.hash], [np.repeat(np.arange(last - first), np.diff(w.offset))]
+        cut = np.isin(w.hash, plain, invert=True) if plain is not None else True
         for n in PREFIXES:
-            at = np.flatnonzero(w.end - w.start > n)
+            at = np.flatnonzero((w.end - w.start > n) & cut)
             if len(at):
                 values.append(mix(range_hash(w.prefix, w.start[at], w.start[at] + n) + U64(n)))
                 owner.append(owner[0][at])
@@ -71,6 +74,7 @@ class Model:
     names: np.ndarray
     weights: np.ndarray
     bias: float
+    plain: np.ndarray | None = None
     info: dict = field(default_factory=dict)
 
     def margin(self, found: np.ndarray) -> float:
@@ -80,7 +84,7 @@ class Model:
         return self.bias + float(self.weights[at[hit]].sum())
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        m = np.array([self.margin(f) for f in features(texts)])
+        m = np.array([self.margin(f) for f in features(texts, self.plain)])
         return 1 / (1 + np.exp(-np.clip(m, -30, 30)))
 
 
@@ -93,7 +97,7 @@ def fit(docs: list[np.ndarray], y: np.ndarray, pairs: np.ndarray, names: np.ndar
     strength / 2 * mean over pairs of (w[out] - w[in])^2 times the number of
     documents; minimised by Nesterov steps."""
     n, d = len(docs), len(names)
-    length = np.array([len(x) for x in docs])
+    length = np.array([len(x) for x in docs], dtype=np.int64)
     flat = np.concatenate([*docs, np.zeros(0, np.int64)]).astype(np.int64)
     owner = np.repeat(np.arange(n), length)
     prior = (y.sum() + 0.5) / (n + 1.0)
@@ -118,7 +122,7 @@ def fit(docs: list[np.ndarray], y: np.ndarray, pairs: np.ndarray, names: np.ndar
         momentum = t / (t + 3)
         look, lookb = w + momentum * (w - last), bias + momentum * (bias - lastb)
         last, lastb = w, bias
-    return Model(names, w, bias, {"rows": n, "positives": int(y.sum()), "pairs": len(pairs)})
+    return Model(names, w, bias, info={"rows": n, "positives": int(y.sum()), "pairs": len(pairs)})
 
 
 def _sentences(text: bytes) -> list[bytes]:
@@ -145,18 +149,19 @@ def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str =
     # max_rows rows, but for the spread of sampling by hash
     chosen = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(known), "k").select("t", "y")
     swap = swaps(identity)
+    terms = np.array(sorted(swap), dtype=U64)
 
     def extract(batches):
         for batch in batches:
             texts = texts_of(batch.column(0))
-            named = []
-            for t, found in zip(texts, features(texts)):
+            named, all_found = [], features(texts, terms)
+            for t, found in zip(texts, all_found):
                 own = [int(f) for f in found if int(f) in swap] if len(found) else []
                 # sentences are looked at one by one only where a term occurs
                 rows = [int(f) for s in features(_sentences(t)) for f in s if int(f) in swap] if own else []
                 named.append(np.array(rows, dtype=U64).view(np.int64))
             yield pa.RecordBatch.from_arrays([
-                pa.array([f.view(np.int64) for f in features(texts)], pa.list_(pa.int64())),
+                pa.array([f.view(np.int64) for f in all_found], pa.list_(pa.int64())),
                 pa.array(named, pa.list_(pa.int64())), batch.column(1)], names=["f", "identity", "y"])
 
     rows = stage_table(chosen.mapInArrow(extract, "f array<bigint>, identity array<bigint>, y int"), "toxicity")
@@ -167,7 +172,6 @@ def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str =
     # the features that tell the labels apart best, and all identity terms
     best = counts.withColumn("chi", (F.col("p") - expected) * F.abs(F.col("p") - expected) / spread) \
         .orderBy(F.abs("chi").desc(), "f").limit(max_features).select("f").collect()
-    terms = np.array(sorted(swap), dtype=U64)
     names = np.union1d(np.array([r["f"] for r in best], dtype=np.int64).view(U64), terms)
     signed = F.lit([int(x) for x in names.view(np.int64)])
     small = rows.select(F.array_intersect("f", signed).alias("f"), "identity", "y").toArrow()  # max_rows rows of max_features at most
@@ -179,7 +183,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str =
             pairs += [(np.searchsorted(names, a), np.searchsorted(names, U64(b))) for b in swap[int(a)]]
     y = np.array(small.column("y").to_pylist(), dtype=float)
     order = sorted(range(len(y)), key=lambda i: (docs_[i].tobytes(), y[i]))  # the same sums on every run
-    return fit([docs_[i] for i in order], y[order], np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2), names, strength=strength)
+    model = fit([docs_[i] for i in order], y[order], np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2), names, strength=strength)
+    model.plain = terms
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
