@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 # Text that pandas' CSV reader turns into a missing value when
 # a column is read as strings.
-NA_TOKENS = ["", "NA", "N/A", "n/a", "NULL", "null", "NaN", "nan", "None", "<NA>", "#N/A", "-NaN", "-nan"]
+NA_TOKENS = ["", "NA", "N/A", "n/a", "NULL", "null", "NaN", "nan", "None", "<NA>", "#N/A", "-NaN", "-nan",
+             "#NA", "#N/A N/A", "1.#IND", "1.#QNAN", "-1.#IND", "-1.#QNAN"]
 
 # A decimal number as Python's float() accepts it for the inputs we meet:
 # optional sign, digits with an optional fraction, optional exponent.
@@ -24,8 +25,8 @@ def _c(col: str | Column) -> Column:
 
 def strip_ws(col: str | Column) -> Column:
     """Python ``str.strip()``: remove every leading/trailing whitespace char,
-    not only blanks (P5)."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    the Unicode ones and the separators 0x1C-0x1F too (P5)."""
+    return F.regexp_replace(_c(col), r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
 
 
 def na_to_null(col: str | Column) -> Column:

@@ -31,7 +31,7 @@ def band_counts(near: DataFrame, by: str, band: str = "threshold_band", size: st
     """Rows and summed size per period and band."""
     return near.groupBy(by, band).agg(
         F.count(F.lit(1)).alias("entities"),
-        F.sum(size).cast("bigint").alias("total_size"),
+        F.sum(size).alias("total_size"),
     )
 
 

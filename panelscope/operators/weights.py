@@ -19,7 +19,7 @@ def aggregate_panel(rows: DataFrame, keys: Sequence[str], measure: str, out: str
     keep = rows
     for k in keys:
         keep = keep.filter(F.col(k).isNotNull())
-    aggs = [F.sum(measure).cast("bigint").alias(out)] + [c.alias(n) for n, c in (extra or {}).items()]
+    aggs = [F.sum(measure).alias(out)] + [c.alias(n) for n, c in (extra or {}).items()]
     return keep.groupBy(*keys).agg(*aggs)
 
 
@@ -34,7 +34,7 @@ def share_weights(panel: DataFrame, group: Sequence[str], measure: str = "measur
     skew handling when one group holds a large share of rows.  A window
     partitioned by the group would put a hot group into one task."""
     pos = panel.filter(F.col(measure).isNotNull() & (F.col(measure) > 0))
-    totals = pos.groupBy(*group).agg(F.sum(measure).cast("bigint").alias(total))
+    totals = pos.groupBy(*group).agg(F.sum(measure).alias(total))
     return (
         pos.join(totals, list(group))
         .withColumn(weight, F.col(measure).cast("double") / F.col(total).cast("double"))

@@ -8,6 +8,7 @@ from . import oracle as O
 from . import panel as P
 from .queries import register
 from ..functions import clean as cl
+from ..operators import weights as wt
 from ..sources import catalog as cat
 from ..sources import tables as tb
 
@@ -16,11 +17,11 @@ W = O.with_ctes
 RAW_SQL = """
 WITH raw AS (
   SELECT event_id, user_id,
-         CASE WHEN event_id % 17 = 0 THEN '*' WHEN event_id % 19 = 0 THEN ''
-              ELSE ' ' || CAST(value AS VARCHAR) || ' ' END AS raw_value
+         CASE WHEN value < 2.0 THEN '*' WHEN event_type = 'error' THEN ''
+              ELSE ' ' || chr(9) || CAST(value AS VARCHAR) || chr(160) END AS raw_value
   FROM events
 ), parsed AS (
-  SELECT *, regexp_replace(raw_value, '^\\s+|\\s+$', '', 'g') AS s FROM raw
+  SELECT *, trim(raw_value, ' ' || chr(9) || chr(160)) AS s FROM raw
 )
 """
 NUM_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -43,17 +44,15 @@ def q_clean_measure(spark, d):
 CODE_SQL = """
 WITH raw AS (
   SELECT c_custkey, c_nationkey,
-         CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'n/a'
-              ELSE 'US-' || CAST(c_nationkey * 1000 + c_custkey % 1000 AS VARCHAR) END AS raw_code
+         CASE WHEN c_acctbal < 0 THEN NULL WHEN c_mktsegment = 'FURNITURE' THEN 'n/a' ELSE c_name END AS raw_code
   FROM customer
 ), digits AS (
-  SELECT *, regexp_replace(COALESCE(raw_code, ''), '[^0-9]', '', 'g') AS dg FROM raw
+  SELECT *, array_to_string(regexp_extract_all(COALESCE(raw_code, ''), '[0-9]'), '') AS dg FROM raw
 )
-SELECT c_custkey, raw_code,
-       LPAD(CASE WHEN length(dg) > 5 THEN right(dg, 5) ELSE dg END, 5, '0') AS unit_code,
-       LPAD(CAST(c_nationkey AS VARCHAR), 5, '0') AS padded_code,
-       LPAD(CAST(c_nationkey AS VARCHAR), 2, '0') || LPAD(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS composed_code,
-       CAST(length(LPAD(CASE WHEN length(dg) > 5 THEN right(dg, 5) ELSE dg END, 5, '0')) = 5 AS BOOLEAN) AS valid_length
+SELECT c_custkey, raw_code, right('00000' || dg, 5) AS unit_code,
+       right('00000' || c_nationkey, 5) AS padded_code,
+       right('00' || c_nationkey, 2) || right('000' || (c_custkey % 1000), 3) AS composed_code,
+       length(right('00000' || dg, 5)) = 5 AS valid_length
 FROM digits"""
 
 
@@ -61,10 +60,9 @@ FROM digits"""
 def q_normalize_code(spark, d):
     """Unit codes: digits only, last five, zero-padded (P11); padded from a
     number (P12); composed from two parts (P13); length check (P14)."""
-    cu = tb.read(spark, d, "customer").select("c_custkey", "c_nationkey")
-    raw = (F.when(F.col("c_custkey") % 13 == 0, F.lit(None).cast("string"))
-           .when(F.col("c_custkey") % 7 == 0, F.lit("n/a"))
-           .otherwise(F.concat(F.lit("US-"), (F.col("c_nationkey") * 1000 + F.col("c_custkey") % 1000).cast("string"))))
+    cu = tb.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_name", "c_acctbal", "c_mktsegment")
+    raw = F.when(F.col("c_acctbal") < 0, F.lit(None).cast("string")).when(
+        F.col("c_mktsegment") == "FURNITURE", F.lit("n/a")).otherwise(F.col("c_name"))
     df = cu.withColumn("raw_code", raw).withColumn("unit_code", cl.normalize_code("raw_code"))
     return df.select("c_custkey", "raw_code", "unit_code", cl.pad_code("c_nationkey").alias("padded_code"),
                      cl.compose_code("c_nationkey", F.col("c_custkey") % 1000).alias("composed_code"),
@@ -72,17 +70,13 @@ def q_normalize_code(spark, d):
 
 
 @register("normalize_key", """
-SELECT s_suppkey, CASE WHEN k = '' THEN NULL ELSE k END AS entity_key
-FROM (SELECT s_suppkey,
-             upper(regexp_replace(CASE WHEN s_suppkey % 9 = 0 THEN ' ' ELSE chr(9) || ' ' || lower(s_name) || '  ' END,
-                                  '^\\s+|\\s+$', '', 'g')) AS k
-      FROM supplier)""")
+SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN upper(s_name) END AS entity_key FROM supplier""")
 def q_normalize_key(spark, d):
-    """Entity keys trimmed of all whitespace and upper-cased; blank -> null
-    (P5, P6, H8)."""
-    su = tb.read(spark, d, "supplier").select("s_suppkey", "s_name")
-    raw = F.when(F.col("s_suppkey") % 9 == 0, F.lit(" ")).otherwise(
-        F.concat(F.lit("\t "), F.lower("s_name"), F.lit("  ")))
+    """Entity keys trimmed of all whitespace (no-break spaces too) and
+    upper-cased; blank -> null (P5, P6, H8)."""
+    su = tb.read(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    raw = F.when(F.col("s_acctbal") < 0, F.lit(" \u00a0")).otherwise(
+        F.concat(F.lit("\t\u00a0 "), F.lower("s_name"), F.lit("  ")))
     return su.select("s_suppkey", cl.normalize_key(raw).alias("entity_key"))
 
 
@@ -112,16 +106,17 @@ def q_distinct_units(spark, d):
 
 
 @register("sample_entity_weights", W("weights") + """
-SELECT entity_id, period, unit_code, measure, weight FROM weights
-WHERE entity_id = (SELECT MIN(entity_id) FROM weights)
-  AND period = (SELECT MIN(period) FROM weights WHERE entity_id = (SELECT MIN(entity_id) FROM weights))
+SELECT entity_id, period, unit_code, measure, weight
+FROM weights QUALIFY dense_rank() OVER (ORDER BY entity_id, period) = 1
 ORDER BY weight DESC, unit_code LIMIT 20""", ["weight"])
 def q_sample_entity_weights(spark, d):
-    """Heaviest 20 units of one entity-period chosen by scalar subqueries
-    (J9, O2); an ordered choice instead of an unordered LIMIT 1 (H20)."""
-    w = P.share_weights(spark, d)
-    first_entity = w.agg(F.min(tb.ENTITY)).scalar()
-    first_period = w.filter(F.col(tb.ENTITY) == first_entity).agg(F.min(tb.PERIOD)).scalar()
-    return (w.filter((F.col(tb.ENTITY) == first_entity) & (F.col(tb.PERIOD) == first_period))
-            .orderBy(F.col("weight").desc(), F.col(tb.UNIT)).limit(20)
+    """Heaviest 20 units of the first entity-period, chosen by a scalar
+    subquery over the facts (J9, O2); an ordered choice instead of an
+    unordered LIMIT 1 (H20)."""
+    rows = tb.fact_rows(spark, d).filter((F.col("qty") > 0) & F.col(tb.UNIT).isNotNull())
+    first = rows.filter(F.col(tb.ENTITY).isNotNull() & F.col(tb.PERIOD).isNotNull()).agg(
+        F.min(F.struct(tb.ENTITY, tb.PERIOD))).scalar()
+    mine = rows.filter(F.struct(tb.ENTITY, tb.PERIOD) == first)
+    panel = wt.aggregate_panel(mine, [*P.KEYS, tb.UNIT], "qty", tb.MEASURE)
+    return (wt.share_weights(panel, P.KEYS, tb.MEASURE).orderBy(F.col("weight").desc(), F.col(tb.UNIT)).limit(20)
             .select(tb.ENTITY, tb.PERIOD, tb.UNIT, "measure", "weight"))

@@ -21,8 +21,8 @@ FEATURES = CORE + ["log_size"]
 FIXED_LEVELS = [2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0]
 FIXED_THRESHOLDS = [-3.6, -1.9, -0.6, 0.5, 1.6, 3.0]
 FIXED_SLOPES = {
-    "rate_exposure": 0.02, "static_exposure": -0.3, "score_exposure": 0.01, "hhi": 1.5,
-    "entropy": 0.4, "top1_share": -2.0, "top5_share": 1.0, "n_units": -0.05, "log_size": 0.1,
+    "rate_exposure": 0.02, "static_exposure": -0.3, "score_exposure": 0.05, "hhi": 1.5,
+    "entropy": 0.2, "top1_share": -2.0, "top5_share": 1.0, "n_units": -0.02, "log_size": 0.1,
 }
 FIXED_PERIOD_EFFECTS = {1997: 0.1, 1998: -0.1, 1999: 0.2, 2000: -0.2, 2001: 0.05}
 

@@ -20,6 +20,7 @@ from ..sources import tables as tb
 KEYS = [tb.ENTITY, tb.PERIOD]
 RATE_LAG = 1          # a period uses the unit rate of the period before (J1)
 RURAL_CUT = 4         # ordinal code >= 4 flags the unit (P22)
+AREA_TYPE = "High"    # the type of scored area that counts, in any case (P18)
 
 
 def unit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,10 +71,11 @@ def static_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Designated scored areas reduced to one score per unit."""
+    """Designated scored areas of one type, in the states numbered 1 to 56,
+    reduced to one score per unit (A20, P16, P17, P18)."""
     rows = tb.scored_areas(spark, sf_dir)
-    keep = (equals_or_blank("status", "Designated") & contains_ci("area_type", "geographic")
-            & F.col(tb.UNIT).isNotNull() & F.col("score").isNotNull())
+    keep = (equals_or_blank("status", "Designated") & contains_ci("area_type", AREA_TYPE)
+            & F.col("state").between(1, 56) & F.col(tb.UNIT).isNotNull() & F.col("score").isNotNull())
     return ex.unit_score(rows.filter(keep), tb.UNIT, "score", "population")
 
 

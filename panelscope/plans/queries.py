@@ -66,10 +66,9 @@ def q_share_weights(spark, d):
     return P.share_weights(spark, d).select(*K, tb.UNIT, "measure", "total_measure", "weight")
 
 
-@register("weight_sum_qc", WITH("weights") + """
-SELECT period, COUNT(*) AS groups_checked, AVG(wsum) AS avg_weight_sum,
-       MIN(wsum) AS min_weight_sum, MAX(wsum) AS max_weight_sum
-FROM (SELECT entity_id, period, SUM(weight) AS wsum FROM weights GROUP BY 1, 2)
+@register("weight_sum_qc", WITH("portfolios") + """
+SELECT period, count(*) AS groups_checked, avg(one) AS avg_weight_sum, min(one) AS min_weight_sum, max(one) AS max_weight_sum
+FROM (SELECT period, list_sum(list_transform(units, lambda u: u.m / total)) AS one FROM portfolios)
 GROUP BY period""", ["avg_weight_sum", "min_weight_sum", "max_weight_sum"])
 def q_weight_sum_qc(spark, d):
     return wt.weight_sum_qc(P.share_weights(spark, d), K, tb.PERIOD)
@@ -85,37 +84,32 @@ def q_lagged_exposure(spark, d):
 
 
 @register("missing_share", WITH("rate_joined") + """
-SELECT entity_id, period, SUM(weight * (1 - matched)) AS missing_share,
-       CAST(SUM(matched) AS BIGINT) AS matched_rows
-FROM rate_joined GROUP BY 1, 2""", ["missing_share"])
+SELECT entity_id, period, coalesce(sum(weight) FILTER (matched = 0), 0) AS missing_share,
+       count(*) FILTER (matched = 1) AS matched_rows
+FROM rate_joined GROUP BY entity_id, period""", ["missing_share"])
 def q_missing_share(spark, d):
     return ex.missing_share(P.rate_joined(spark, d), K)
 
 
 @register("out_of_scope", WITH("rate_joined") + """
-SELECT w.entity_id, w.period, SUM(w.weight) AS missing_share
-FROM rate_joined w
-WHERE NOT EXISTS (SELECT 1 FROM rate_joined m
-                  WHERE m.entity_id = w.entity_id AND m.period = w.period AND m.matched = 1)
-GROUP BY 1, 2""", ["missing_share"])
+SELECT entity_id, period, sum(weight) AS missing_share FROM rate_joined
+GROUP BY entity_id, period HAVING max(matched) = 0""", ["missing_share"])
 def q_out_of_scope(spark, d):
     return ex.fully_unmatched(P.rate_joined(spark, d), K)
 
 
 @register("match_rate", WITH("rate_joined") + """
-SELECT period, COUNT(*) AS weight_rows,
-       CAST(SUM(CASE WHEN matched = 0 THEN 1 ELSE 0 END) AS BIGINT) AS missing_rows,
-       1.0::DOUBLE - SUM(CASE WHEN matched = 0 THEN 1 ELSE 0 END) * 1.0::DOUBLE / COUNT(*) AS match_rate
-FROM rate_joined GROUP BY 1""", ["match_rate"])
+SELECT period, count(*) AS weight_rows, count(*) - sum(matched)::BIGINT AS missing_rows, avg(matched) AS match_rate
+FROM rate_joined GROUP BY period""", ["match_rate"])
 def q_match_rate(spark, d):
     return ex.match_rate(P.rate_joined(spark, d), tb.PERIOD)
 
 
 @register("coverage_summary", WITH("rate_exposure") + """
-SELECT period, COUNT(*) AS groups, CAST(SUM(out_of_scope) AS BIGINT) AS out_of_scope_count,
-       AVG(coverage_weight_share) AS avg_coverage, MIN(coverage_weight_share) AS min_coverage,
-       MAX(coverage_weight_share) AS max_coverage
-FROM rate_exposure GROUP BY 1""", ["avg_coverage", "min_coverage", "max_coverage"])
+SELECT period, len(c) AS groups, len(list_filter(c, lambda x: x = 0))::BIGINT AS out_of_scope_count,
+       list_avg(c) AS avg_coverage, list_min(c) AS min_coverage, list_max(c) AS max_coverage
+FROM (SELECT period, list(coverage_weight_share) AS c FROM rate_exposure GROUP BY period)""",
+          ["avg_coverage", "min_coverage", "max_coverage"])
 def q_coverage_summary(spark, d):
     return ex.coverage_summary(P.rate_exposure(spark, d), tb.PERIOD)
 
@@ -139,9 +133,7 @@ def q_pivot_attributes(spark, d):
 
 
 @register("code_distribution", WITH("unit_codes") + """
-SELECT code, COUNT(*) AS units,
-       CAST(SUM(CASE WHEN code IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_code
-FROM unit_codes GROUP BY 1""")
+SELECT code, count(*) AS units, if(code IS NULL, count(*), 0) AS missing_code FROM unit_codes GROUP BY code""")
 def q_code_distribution(spark, d):
     return P.unit_codes(spark, d).groupBy("code").agg(
         F.count(F.lit(1)).alias("units"),
@@ -207,30 +199,25 @@ def q_near_threshold(spark, d):
 
 
 @register("band_counts", WITH("near") + """
-SELECT period, threshold_band, COUNT(*) AS entities, CAST(SUM(total_measure) AS BIGINT) AS total_size
-FROM near GROUP BY 1, 2""")
+SELECT period, threshold_band, count(*) AS entities, sum(total_measure) AS total_size FROM near GROUP BY ALL""")
 def q_band_counts(spark, d):
     return th.band_counts(P.near_threshold(spark, d), tb.PERIOD)
 
 
 @register("band_means", WITH("near") + """
-SELECT period, threshold_band, AVG(rate_exposure) AS mean_value,
-       SUM(rate_exposure * total_measure) / NULLIF(SUM(total_measure), 0) AS weighted_mean_value
-FROM near GROUP BY 1, 2""", ["mean_value", "weighted_mean_value"])
+SELECT period, threshold_band, list_avg(x) AS mean_value, list_dot_product(x, t) / list_sum(t) AS weighted_mean_value
+FROM (SELECT period, threshold_band, list(rate_exposure ORDER BY entity_id) AS x, list(total_measure ORDER BY entity_id) AS t
+      FROM near GROUP BY ALL)""", ["mean_value", "weighted_mean_value"])
 def q_band_means(spark, d):
     return th.band_means(P.near_threshold(spark, d), tb.PERIOD, "rate_exposure")
 
 
 BAND_DIFF_SQL = WITH("near") + """
-, agg AS (
-  SELECT period, threshold_band,
-         SUM(rate_exposure * total_measure) / NULLIF(SUM(total_measure), 0) AS ew_mean
-  FROM near GROUP BY 1, 2
-)
-SELECT a.period, a.ew_mean AS ew_mean_low, b.ew_mean AS ew_mean_high,
-       a.ew_mean - b.ew_mean AS diff_low_minus_high
-FROM agg a JOIN agg b ON a.period = b.period
-WHERE a.threshold_band = '3.5-3.9' AND b.threshold_band = '4.0-4.5'"""
+SELECT period, lo AS ew_mean_low, hi AS ew_mean_high, lo - hi AS diff_low_minus_high
+FROM (SELECT period, sum(rate_exposure * total_measure) FILTER (rating < 4) / sum(total_measure) FILTER (rating < 4) AS lo,
+             sum(rate_exposure * total_measure) FILTER (rating >= 4) / sum(total_measure) FILTER (rating >= 4) AS hi
+      FROM near GROUP BY period)
+WHERE lo + hi IS NOT NULL"""
 
 
 @register("band_difference", BAND_DIFF_SQL, ["ew_mean_low", "ew_mean_high", "diff_low_minus_high"])

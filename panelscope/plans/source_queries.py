@@ -76,11 +76,11 @@ def q_csv_attributes_roundtrip(spark, d):
     declared schema and re-padded codes (S3, S4, S13), then pivoted (A10)."""
     long = tb.unit_attributes_long(spark, d)
     path = _landing(spark, "attributes_csv")
-    fs.write_csv(long.select(F.col(tb.UNIT).cast("int").alias("FIPS"), F.col("state").alias("State"),
+    fs.write_csv(long.select(F.col(tb.UNIT).cast("bigint").alias("FIPS"), F.col("state").alias("State"),
                              F.col("unit_name").alias("County_Name"), F.col("attribute").alias("Attribute"),
                              F.col("value").alias("Value")), path, encoding="ISO-8859-1")
-    schema = "FIPS int, State string, County_Name string, Attribute string, Value string"
-    raw = fs.read_csv_typed(spark, path, schema, pad={"FIPS": 5}, encoding="ISO-8859-1")
+    schema = "FIPS bigint, State string, County_Name string, Attribute string, Value string"
+    raw = fs.read_csv_typed(spark, path, schema, pad={"FIPS": tb.UNIT_WIDTH}, encoding="ISO-8859-1")
     rows = raw.select(F.col("FIPS").alias(tb.UNIT), F.col("State").alias("state"),
                       F.col("County_Name").alias("unit_name"), F.col("Attribute").alias("attribute"),
                       F.col("Value").alias("value"))

@@ -25,14 +25,14 @@ W = O.with_ctes
 
 @register("band_sizes", W("near") + """
 SELECT period, threshold_band, COUNT(DISTINCT entity_id) AS entities, COUNT(*) AS rows,
-       CAST(SUM(total_measure) AS BIGINT) AS total_size
+       SUM(total_measure) AS total_size
 FROM near WHERE threshold_band IN ('3.5-3.9', '4.0-4.5') GROUP BY 1, 2""")
 def q_band_sizes(spark, d):
     """Distinct ids, rows and summed size per period and band."""
     n = P.near_threshold(spark, d).filter(F.col("threshold_band").isin(BAND_LOW, BAND_HIGH))
     return n.groupBy(tb.PERIOD, "threshold_band").agg(
         F.count_distinct(tb.ENTITY).alias("entities"), F.count(F.lit(1)).alias("rows"),
-        F.sum("total_measure").cast("bigint").alias("total_size"))
+        F.sum("total_measure").alias("total_size"))
 
 
 BOOT_SQL = W("near") + f"""

@@ -17,14 +17,12 @@ ENTITY, PERIOD, UNIT, MEASURE = "entity_id", "period", "unit_code", "measure"
 
 # Fixed values of the stand-in mapping (FIXTURES.md section 4).
 URGENT_PRIORITY = "1-URGENT"
-RATE_LEFT_OUT_MOD8 = 7      # nations with key % 8 = 7 have no rate row
-RATE_NULL_MOD8 = 6          # nations with key % 8 = 6 have a null rate
-CODE_LEFT_OUT_MOD10 = 9     # nations with key % 10 = 9 have no attribute rows
-SCORE_ZERO_POP_MOD5 = 0     # nations with key % 5 = 0 have population 0
-SCORE_WITHDRAWN_MOD3 = 2    # nations with key % 3 = 2 are not designated
-RATING_NULL_MOD11 = 0       # suppliers with key % 11 = 0 have no rating
-RAW_STAR_MOD17 = 0          # events with id % 17 = 0 carry '*'
-RAW_BLANK_MOD19 = 0         # events with id % 19 = 0 carry ''
+PENDING_STATUS = "P"        # orders that do not count towards a rate
+MIN_RATED_ROWS = 60         # an entity-period with fewer rows has no rating
+UNIT_WIDTH = 10             # characters of a unit code
+CODE_STEP = 1250            # width of a band of the static code
+SCORE_STEP, SCORE_MAX = 20_000, 25
+SUPPRESSED_BELOW = 2.0      # raw measures under this are published as '*'
 
 
 # Declared schemas of the provided tables (no inference on data paths: a
@@ -50,18 +48,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: entity, period, unit, quantity and flag.
-
-    These are the 'plan rows' that A1 sums to entity x period x unit.  The
-    two order-side tables are joined first, so the largest table (line
-    items) is shuffled once, on the order key, and its join output is not
-    re-shuffled for the customer lookup."""
+    """One row per line item: entity, period, unit (the ordering customer),
+    quantity and flag.  These are the 'plan rows' that A1 sums."""
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_returnflag")
-    od = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    cu = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    orders = od.join(cu, od.o_custkey == cu.c_custkey).select(
-        "o_orderkey", F.year("o_orderdate").alias(PERIOD), pad_code("c_nationkey").alias(UNIT))
-    return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
+    od = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias(PERIOD), pad_code("o_custkey", UNIT_WIDTH).alias(UNIT))
+    return li.join(od, li.l_orderkey == od.o_orderkey).select(
         F.col("l_suppkey").alias(ENTITY), PERIOD, UNIT,
         F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"))
 
@@ -76,66 +68,68 @@ def ratings_from_counts(counts: DataFrame) -> DataFrame:
     the unit-level row counts (so it shares the fact scan and join).
 
     rating = 2.0 + 0.5 * clamp(((100 * R) div n - 19) div 4, 0, 6), R the
-    returned rows; null for entities with key % 11 = 0."""
+    returned rows; null where the entity-period has too few rows to rate."""
     per = counts.groupBy(ENTITY, PERIOD).agg(F.sum("rows").alias("n"), F.sum("returned").alias("r"))
     step = F.least(F.greatest(F.expr("((100 * r) div n - 19) div 4"), F.lit(0)), F.lit(6))
-    rating = F.when(F.col(ENTITY) % 11 != RATING_NULL_MOD11, F.lit(2.0) + F.lit(0.5) * step.cast("double"))
+    rating = F.when(F.col("n") >= MIN_RATED_ROWS, F.lit(2.0) + F.lit(0.5) * step.cast("double"))
     return per.select(ENTITY, PERIOD, rating.alias("rating"))
 
 
 def period_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Period-varying unit rate (the lagged indicator): per nation and year,
-    100 x share of orders with urgent priority."""
-    od = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority")
-    cu = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    agg = (
-        od.join(cu, od.o_custkey == cu.c_custkey)
-        .filter(F.col("c_nationkey") % 8 != RATE_LEFT_OUT_MOD8)
-        .groupBy(F.col("c_nationkey").alias("nk"), F.year("o_orderdate").alias(PERIOD))
-        .agg(F.avg(F.when(F.col("o_orderpriority") == URGENT_PRIORITY, 1.0).otherwise(0.0)).alias("share"))
-    )
-    rate = F.when(F.col("nk") % 8 != RATE_NULL_MOD8, F.lit(100.0) * F.col("share"))
-    return agg.select(PERIOD, pad_code("nk").alias(UNIT), rate.alias("rate"))
+    """Period-varying unit rate (the lagged indicator): per customer and
+    year, 100 x share of urgent orders among those not pending.  A customer
+    without orders in a year has no row, one with pending orders alone a
+    null rate."""
+    od = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    settled = F.col("o_orderstatus") != PENDING_STATUS
+    urgent = F.when(F.col("o_orderpriority") == URGENT_PRIORITY, 1.0).otherwise(0.0)
+    return (od.groupBy(F.year("o_orderdate").alias(PERIOD), pad_code("o_custkey", UNIT_WIDTH).alias(UNIT))
+            .agg((F.lit(100.0) * F.avg(F.when(settled, urgent))).alias("rate")))
 
 
 def unit_attributes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long attribute rows per unit, values as text (input of the pivot A10):
-    (CODE, key % 9 + 1) and (POP, customer count); key % 10 = 9 left out."""
-    na = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    cu = read(spark, sf_dir, "customer").select("c_nationkey")
-    pop = cu.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("pop"))
-    base = (na.filter(F.col("n_nationkey") % 10 != CODE_LEFT_OUT_MOD10)
-            .join(pop, na.n_nationkey == pop.c_nationkey, "left"))
+    CODE, the band of a balance that is not negative, and POP, the number of
+    orders of a customer that has any."""
+    cu = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    pop = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("pop"))
+    base = cu.join(pop, cu.c_custkey == pop.o_custkey, "left")
+    code = F.when(F.col("c_acctbal") >= 0, (F.floor(F.col("c_acctbal") / CODE_STEP) + 1).cast("string"))
     rows = F.array(
-        F.struct(F.lit("CODE").alias("attribute"), (F.col("n_nationkey") % 9 + 1).cast("string").alias("value")),
-        F.struct(F.lit("POP").alias("attribute"), F.coalesce(F.col("pop"), F.lit(0)).cast("string").alias("value")),
+        F.struct(F.lit("CODE").alias("attribute"), code.alias("value")),
+        F.struct(F.lit("POP").alias("attribute"), F.col("pop").cast("string").alias("value")),
     )
     return base.select(
-        pad_code("n_nationkey").alias(UNIT),
-        F.col("n_regionkey").cast("string").alias("state"),
-        F.col("n_name").alias("unit_name"),
-        F.inline(rows),
+        pad_code("c_custkey", UNIT_WIDTH).alias(UNIT),
+        F.col("c_nationkey").cast("string").alias("state"),
+        F.translate("c_name", "uo#", "üö°").alias("unit_name"),
+        F.inline(F.filter(rows, lambda r: r["value"].isNotNull())),
     )
 
 
 def scored_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored-area rows (many per unit) for the weighted score with fallback."""
-    cu = read(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal", "c_mktsegment")
-    nk = F.col("c_nationkey")
-    return cu.select(
-        pad_code(nk).alias(UNIT),
+    """Scored-area rows (the orders of a unit) for the weighted score with
+    fallback: finished orders are designated, open ones withdrawn, pending
+    ones have no status; a negative balance is no population."""
+    od = read(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    cu = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
+    status = F.when(F.col("o_orderstatus") == "F", "Designated").when(F.col("o_orderstatus") == "O", "Withdrawn")
+    return od.join(cu, od.o_custkey == cu.c_custkey).select(
+        pad_code("o_custkey", UNIT_WIDTH).alias(UNIT),
         F.col("c_mktsegment").alias("area_class"),
-        F.when(nk % 3 != SCORE_WITHDRAWN_MOD3, F.lit("Designated")).otherwise(F.lit("Withdrawn")).alias("status"),
-        F.lit("Geographic").alias("area_type"),
-        (F.floor(F.abs(F.col("c_acctbal"))) % 26).cast("double").alias("score"),
-        F.when(nk % 5 == SCORE_ZERO_POP_MOD5, F.lit(0.0)).otherwise(F.col("c_acctbal")).alias("population"),
+        status.alias("status"),
+        F.col("o_orderpriority").alias("area_type"),
+        F.col("c_nationkey").alias("state"),
+        F.least(F.lit(SCORE_MAX), F.floor(F.col("o_totalprice") / SCORE_STEP)).cast("double").alias("score"),
+        F.col("c_acctbal").alias("population"),
     )
 
 
 def raw_text_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measure as raw text with suppressed ('*') and blank cells, for cleaning."""
-    ev = read(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    raw = (F.when(F.col("event_id") % 17 == RAW_STAR_MOD17, F.lit("*"))
-           .when(F.col("event_id") % 19 == RAW_BLANK_MOD19, F.lit(""))
-           .otherwise(F.concat(F.lit(" "), F.col("value").cast("string"), F.lit(" "))))
+    """Measure as raw text for cleaning: small values suppressed ('*'),
+    those of errors blank, all others between spaces and a tab."""
+    ev = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    raw = (F.when(F.col("value") < SUPPRESSED_BELOW, F.lit("*"))
+           .when(F.col("event_type") == "error", F.lit(""))
+           .otherwise(F.concat(F.lit(" \t"), F.col("value").cast("string"), F.lit("\u00a0"))))
     return ev.select("event_id", "user_id", raw.alias("raw_value"))
