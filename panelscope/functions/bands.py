@@ -21,6 +21,10 @@ BUCKET_NEAR = "Near expectation (within ±0.25)"
 REPORT_BANDS = ["3.0-3.4", "3.5-3.9", "4.0+", "<3.0"]
 
 
+#: Fixed value: the band of ratings below every named one.
+OTHER_BAND = "<3.0"
+
+
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -58,7 +62,7 @@ def report_band(col: str | Column) -> Column:
     return (F.when((c >= 3.0) & (c < 3.5), F.lit("3.0-3.4"))
             .when((c >= 3.5) & (c <= 3.9), F.lit("3.5-3.9"))
             .when(c >= 4.0, F.lit("4.0+"))
-            .otherwise(F.lit("<3.0")))
+            .otherwise(F.lit(OTHER_BAND)))
 
 
 def near_flag(col: str | Column, low: float = 3.0, high: float = 3.9) -> Column:

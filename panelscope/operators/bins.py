@@ -11,16 +11,15 @@ from pyspark.sql import functions as F
 from .quantiles import exact_quantiles
 
 
-def quantile_edges(df: DataFrame, col: str, q: int = 10, method: str = "auto") -> Column:
+def quantile_edges(df: DataFrame, col: str, q: int = 10) -> Column:
     """Exact pooled quantile edges 0, 1/q, .., 1 (linear interpolation, as
     ``pd.qcut`` computes them), with tied edges collapsed.
 
-    The edges come from ``exact_quantiles`` (one-pass ``percentile`` under a
-    measured size, a range-partitioned sort above it) and are returned as a
+    The edges come from ``exact_quantiles`` and are returned as a
     scalar-subquery Column: Catalyst runs it once and hands the small array
     to every task, so no cross join and no driver round trip."""
     probs = [i / q for i in range(q + 1)]
-    qs = exact_quantiles(df, col, probs, method=method)
+    qs = exact_quantiles(df, col, probs)
     ordered = F.array_sort(F.collect_list(F.struct("p_index", "q")))
     edges = qs.agg(F.array_distinct(F.transform(ordered, lambda s: s["q"])).alias("e"))
     return edges.scalar()
@@ -32,10 +31,10 @@ def assign_bin(value: Column, edges: Column) -> Column:
     return F.greatest(F.lit(1), F.size(F.filter(edges, lambda e: e < value))).cast("int")
 
 
-def quantile_bins(df: DataFrame, col: str, q: int = 10, out: str = "decile", method: str = "auto") -> DataFrame:
+def quantile_bins(df: DataFrame, col: str, q: int = 10, out: str = "decile") -> DataFrame:
     """``pd.qcut(x, q, labels=False, duplicates='drop') + 1`` over all rows
     pooled; rows with a null value are dropped (W4)."""
-    edges = quantile_edges(df, col, q, method)
+    edges = quantile_edges(df, col, q)
     # the scalar subquery is projected first: it may not sit inside a lambda
     return (df.filter(F.col(col).isNotNull()).withColumn("_edges", edges)
             .withColumn(out, assign_bin(F.col(col), F.col("_edges"))).drop("_edges"))

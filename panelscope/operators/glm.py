@@ -35,13 +35,15 @@ class LogitFit:
     max_score: float
 
     def table(self, spark: SparkSession, z: float = 1.96) -> DataFrame:
-        """(term, estimate, std_error, z_value, odds_ratio, ci_low, ci_high) (M7)."""
+        """(term, estimate, std_error, z_value, odds_ratio, ci_low, ci_high)
+        and the state of the fit: converged, iterations, max_score (M7)."""
         se = np.sqrt(np.clip(np.diag(self.cov), 0, None))
         rows = [(t, float(b), float(s), float(b / s) if s > 0 else None, float(np.exp(b)),
-                 float(np.exp(b - z * s)), float(np.exp(b + z * s)))
+                 float(np.exp(b - z * s)), float(np.exp(b + z * s)), self.converged, self.iterations, self.max_score)
                 for t, b, s in zip(self.terms, self.coef, se)]
         return spark.createDataFrame(rows, "term string, estimate double, std_error double, z_value double, "
-                                           "odds_ratio double, ci_low double, ci_high double")
+                                           "odds_ratio double, ci_low double, ci_high double, "
+                                           "converged boolean, iterations int, max_score double")
 
 
 def design(df: DataFrame, features: Sequence[str], categorical: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
@@ -53,7 +55,7 @@ def design(df: DataFrame, features: Sequence[str], categorical: Sequence[str] =
         cols.append(F.col(f).cast("double").alias(f"_x{len(terms)}"))
         terms.append(f)
     for c in categorical:
-        for lv in sorted_levels(df, c, 1000)[1:]:
+        for lv in sorted_levels(df, c)[1:]:
             cols.append(F.when(F.col(c) == lv, 1.0).otherwise(0.0).alias(f"_x{len(terms)}"))
             terms.append(f"C({c})[T.{lv}]")
     return df.select("*", *cols), terms
@@ -61,18 +63,17 @@ def design(df: DataFrame, features: Sequence[str], categorical: Sequence[str] =
 
 def fit_logit(df: DataFrame, outcome: str, features: Sequence[str], categorical: Sequence[str] = (),
               weight: str | None = None, max_iter: int = 50, tol: float = 1e-10,
-              hc1: str = "score_rows") -> LogitFit:
+              hc1: str = "replicate") -> LogitFit:
     """Maximum-likelihood logit; ``weight`` is a frequency weight f.
 
     HC1 covariance = bread . meat . bread x correction, bread the inverse
     information sum f p(1-p) x x'.  Two conventions for weighted fits (they
     agree when f = 1):
 
-    * ``"score_rows"`` (default): each row's score f (y-p) x is one
-      observation, meat = sum f^2 (y-p)^2 x x', correction n_rows / (sum f - k)
-      -- the per-row-score convention of the GLM library the reference used;
-    * ``"replicate"``: meat = sum f (y-p)^2 x x', correction
-      sum f / (sum f - k) -- identical to repeating each row f times."""
+    * ``"replicate"`` (default): meat = sum f (y-p)^2 x x', correction
+      sum f / (sum f - k) -- identical to repeating each row f times;
+    * ``"score_rows"``: each row's score f (y-p) x is one observation,
+      meat = sum f^2 (y-p)^2 x x', correction n_rows / (sum f - k)."""
     # the model rows are written once; the level lookup and every Newton
     # step read them
     keep = [outcome, *features, *categorical] + ([weight] if weight else [])
@@ -114,6 +115,8 @@ def fit_logit(df: DataFrame, outcome: str, features: Sequence[str], categorical:
     while it < max_iter:
         it += 1
         delta = np.linalg.lstsq(H, g, rcond=None)[0]
+        # step control: no term of the linear predictor moves by more than 10 a step
+        delta = delta * min(1.0, 10.0 / max(float(np.max(np.abs(delta))), 1e-300))
         beta = beta + delta
         g, H, n, sf = moments(beta)
         if np.max(np.abs(delta)) < tol * (1 + np.max(np.abs(beta))):

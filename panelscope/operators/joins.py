@@ -1,24 +1,15 @@
-"""Join helpers with an explicit, measured broadcast decision."""
+"""A join that builds its hash table on a named side."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# a side is broadcast only when it is measured at or under this many rows
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def checked_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``big`` to ``small``, broadcasting ``small`` only when a count
-    shows it under ``max_rows``; otherwise a shuffle-hash join built on
-    ``small``.  Either way ``big`` is never the broadcast side, whatever the
-    optimizer estimates for it (a generator's output, for instance, is
-    estimated from its much smaller input)."""
-    n = small.count()
-    if n <= max_rows:
-        return big.join(F.broadcast(small), list(on), how)
-    return big.hint("shuffle_hash").join(small.hint("shuffle_hash"), list(on), how)
+def join_building_on(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Shuffled hash join with the table on ``small``, whatever the optimizer
+    estimates for ``big`` (a generator's output, for instance, is estimated
+    from its much smaller input).  Both sides are shuffled, so neither has to
+    fit in a task whole."""
+    return big.join(small.hint("shuffle_hash"), list(on), how)

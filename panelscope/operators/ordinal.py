@@ -22,23 +22,16 @@ from pyspark.sql import functions as F
 from ..functions.clean import clip_lower, inf_to_null
 from ..session import materialize
 
-MAX_LEVELS = 64          # an ordinal outcome, not a continuous one
-MAX_PERIODS = 1000       # period dummies are model columns
-
-
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
 # ------------------------------------------------------------------ sample
 
-def sorted_levels(df: DataFrame, col: str, limit: int) -> list:
-    """Distinct sorted values of a low-cardinality column (O6, U3).  The
-    distinct runs distributed; at most ``limit + 1`` values reach the driver."""
-    vals = [r[0] for r in df.select(col).distinct().orderBy(col).limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"{col} has more than {limit} levels")
-    return vals
+def sorted_levels(df: DataFrame, col: str) -> list:
+    """Distinct sorted values of a column whose levels become model columns
+    (O6, U3): the levels alone reach the driver."""
+    return [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
 
 
 def model_sample(frame: DataFrame, outcome: str, core: Sequence[str], size: str, period: str,
@@ -60,14 +53,10 @@ def model_sample(frame: DataFrame, outcome: str, core: Sequence[str], size: str,
         df = materialize(df, "model_sample")
     if not index_levels:            # scoring at given parameters needs no level lookup
         return df, None, None
-    # both level lists from one distinct job (bounded: levels x periods rows)
-    pairs = df.select(outcome, period).distinct().limit(MAX_LEVELS * MAX_PERIODS + 1).collect()
-    if len(pairs) > MAX_LEVELS * MAX_PERIODS:
-        raise ValueError("too many outcome x period levels")
+    # both level lists from one distinct job: each level becomes a model column
+    pairs = df.select(outcome, period).distinct().collect()
     levels = sorted({r[0] for r in pairs})
     periods = sorted({r[1] for r in pairs if r[1] is not None})
-    if len(levels) > MAX_LEVELS:
-        raise ValueError(f"{outcome} has more than {MAX_LEVELS} levels")
     if len(levels) < min_levels:
         raise ValueError(f"need at least {min_levels} outcome levels, found {levels}")
     idx = F.array_position(F.array(*[F.lit(float(v)) for v in levels]), F.col(outcome).cast("double")) - 1
@@ -281,8 +270,10 @@ def fit_ordered_logit(sample: DataFrame, outcome_index: str, features: Sequence[
                     break
             t /= 2.0
             if t < 1e-10:
-                th_new, be_new, ll_new, g_new, H_new = theta, beta, ll, g, H
                 break
+        if t < 1e-10:       # no step along this direction improves: report where it stands
+            converged = bool(np.max(np.abs(g)) < 1e-6)
+            break
         done = abs(ll_new - ll) <= tol * max(1.0, abs(ll)) and np.max(np.abs(g_new)) < 1e-6
         theta, beta, ll, g, H = th_new, be_new, ll_new, g_new, H_new
         if done or np.max(np.abs(g)) < 1e-10:

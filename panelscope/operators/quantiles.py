@@ -1,21 +1,19 @@
 """Exact quantiles with linear interpolation, per group.
 
-Spark's exact ``percentile`` keeps a value -> count map per group and merges
-it in one task per group, so its final task holds every distinct value of
-the largest group.  Beyond a measured size this module takes the few order
-statistics it needs from a range-partitioned sort instead:
-
-1. one range shuffle on (group, value), written once to the checkpoint
-   folder with the partition id (so every later read agrees on it);
-2. row counts per (partition, group) -> cumulative offsets (a small table);
-3. for each wanted probability p: position h = (n - 1) p, ranks floor(h) and
-   ceil(h) -> the (partition, group) slices holding them;
-4. only those slices are ranked (each at most one range partition), the two
-   values picked and interpolated exactly as ``percentile`` does:
+One way for every size:
+
+1. rows are counted by (group, value), so ties and repeated values combine in
+   the tasks that read them and a value that fills a group is one row;
+2. one range shuffle of the counted values on (group, value), written once to
+   the checkpoint folder with the partition id (so every later read agrees);
+3. rows per (partition, group) give cumulative offsets (a small table);
+4. for each wanted probability p: position h = (n - 1) p, ranks floor(h) and
+   ceil(h), and the (partition, group) slices that hold them;
+5. those slices alone are summed up, the two values picked and interpolated:
    (ceil(h) - h) * x_lo + (h - floor(h)) * x_hi.
 
-No task ever holds more than one range partition; nothing reaches the
-driver.
+No task holds more than one range partition; nothing reaches the driver.
+Groups are compared as structs, so a null group is a group like any other.
 """
 
 from __future__ import annotations
@@ -27,88 +25,32 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# groups up to this many rows use the one-pass exact ``percentile`` aggregate
-PERCENTILE_MAX_ROWS = 5_000_000
-
-
-def _pcol(probs: Sequence[float]):
-    return F.array(*[F.lit(float(p)) for p in probs])
-
-
-def quantiles_by_percentile(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """One aggregate: (by..., p_index, p, q)."""
-    g = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.percentile(F.col(value).cast("double"), _pcol(probs)).alias("_q"))
-    return g.select(*by, F.posexplode("_q").alias("p_index", "q")).withColumn(
-        "p", _pcol(probs)[F.col("p_index")])
-
-
-def quantiles_by_sort(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                      partitions: int | None = None) -> DataFrame:
-    """Range-partitioned exact quantiles: (by..., p_index, p, q)."""
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by = list(by)
-    d = df.select(*by, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    ranged = materialize(d.repartitionByRange(parts, *by, "_x").withColumn("_pid", F.spark_partition_id()),
-                         "quantile_sort")
-    counts = ranged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
-    w_before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*by)
-    counts = counts.select("_pid", *by, "_c", F.coalesce(F.sum("_c").over(w_before), F.lit(0)).alias("_off"),
-                           F.sum("_c").over(w_all).alias("_n"))
-    # wanted positions per group: two ranks per probability
-    totals = counts.select(*by, "_n").distinct()
-    targets = totals.select(*by, "_n", F.posexplode(_pcol(probs)).alias("p_index", "p")).withColumn(
-        "_h", (F.col("_n") - 1).cast("double") * F.col("p"))
-    targets = targets.withColumn("_k0", F.floor("_h").cast("long")).withColumn("_k1", F.ceil("_h").cast("long"))
-    ranks = targets.select(*[F.col(c).alias(f"_r_{c}") for c in by],
-                           F.explode(F.array_distinct(F.array("_k0", "_k1"))).alias("_rank"))
-    # (partition, group) slices that hold a wanted rank
-    if by:
-        # small x small equi-join on the group, range condition on the offsets
-        cond = (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_c"))
-        for c in by:
-            cond = cond & (F.col(c) == F.col(f"_r_{c}"))
-        slices = counts.join(ranks, cond).select("_pid", *by, "_off", "_rank")
-    else:
-        # one group: the sorted offsets (one per range partition) reach the
-        # ranks as a scalar subquery; the slice is the last offset <= rank
-        offs = counts.agg(F.array_sort(F.collect_list(F.struct("_off", "_pid"))).alias("_o")).scalar()
-        with_offs = ranks.withColumn("_o", offs)
-        at = F.size(F.filter("_o", lambda o: o["_off"] <= F.col("_rank"))) - 1
-        slices = with_offs.select(F.col("_o")[at]["_pid"].alias("_pid"), F.col("_o")[at]["_off"].alias("_off"),
-                                  "_rank")
-    need = slices.select("_pid", *by, "_off").distinct()
-    part = ranged.join(F.broadcast(need), ["_pid", *by], "left_semi") if by else ranged.join(
-        F.broadcast(need.select("_pid")), ["_pid"], "left_semi")
-    part = part.join(need, ["_pid", *by])
-    w = Window.partitionBy("_pid", *by).orderBy("_x")
-    picked = (part.withColumn("_rank", F.col("_off") + F.row_number().over(w) - 1)
-              .join(slices.select("_pid", *by, "_rank"), ["_pid", *by, "_rank"], "left_semi")
-              .select(*by, "_rank", "_x"))
-    lo = picked.select(*by, F.col("_rank").alias("_k0"), F.col("_x").alias("_x0"))
-    hi = picked.select(*by, F.col("_rank").alias("_k1"), F.col("_x").alias("_x1"))
-    t = targets.join(lo, [*by, "_k0"]).join(hi, [*by, "_k1"])
-    q = F.when(F.col("_k0") == F.col("_k1"), F.col("_x0")).otherwise(
-        (F.col("_k1").cast("double") - F.col("_h")) * F.col("_x0")
-        + (F.col("_h") - F.col("_k0").cast("double")) * F.col("_x1"))
-    return t.select(*by, "p_index", "p", q.alias("q"))
-
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    method: str = "auto", max_rows: int = PERCENTILE_MAX_ROWS) -> DataFrame:
-    """Exact linear quantiles per group: (by..., p_index, p, q).
-
-    ``method="auto"`` measures the largest group and uses the one-pass
-    ``percentile`` aggregate when it is at most ``max_rows`` rows, the
-    range-partitioned sort otherwise."""
-    if method == "auto":
-        largest = (df.filter(F.col(value).isNotNull()).groupBy(*by).count()
-                   .agg(F.max("count")).first()[0] or 0)
-        method = "percentile" if largest <= max_rows else "sort"
-    if method == "percentile":
-        return quantiles_by_percentile(df, value, probs, by)
-    if method == "sort":
-        return quantiles_by_sort(df, value, probs, by)
-    raise ValueError(f"unknown method: {method}")
+                    partitions: int | None = None) -> DataFrame:
+    """Exact linear quantiles of the non-null values: (by..., p_index, p, q)."""
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
+    counted = (df.select(key.alias("_g"), F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+               .groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("_c")))
+    ranged = materialize(counted.repartitionByRange(parts, "_g", "_x").withColumn("_pid", F.spark_partition_id()),
+                         "quantile_sort")
+    sums = ranged.groupBy("_g", "_pid").agg(F.sum("_c").alias("_n"))
+    # at most `parts` rows for each group
+    offsets = sums.select("_g", "_pid", "_n", (F.sum("_n").over(Window.partitionBy("_g").orderBy("_pid")) - F.col("_n")).alias("_off"))
+    targets = (offsets.groupBy("_g").agg(F.sum("_n").alias("_total"))
+               .select("_g", F.posexplode(wanted).alias("p_index", "p"), "_total")
+               .withColumn("_h", (F.col("_total") - 1).cast("double") * F.col("p")))
+    ranks = targets.select("_g", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))).alias("_rank")).distinct()
+    slices = offsets.join(ranks, "_g").filter((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_n")))
+    need = slices.groupBy("_g", "_pid", "_off").agg(F.collect_list("_rank").alias("_ranks"))
+    run = F.sum("_c").over(Window.partitionBy("_g", "_pid").orderBy("_x"))
+    held = ranged.join(need, ["_g", "_pid"]).withColumn("_end", F.col("_off") + run)
+    picked = held.select("_g", "_x", F.explode(F.filter(
+        "_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_c")))).alias("_rank"))
+    at = picked.groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at"))
+    lo, hi = F.floor("_h"), F.ceil("_h")
+    x = lambda r: F.element_at("_at", r)
+    q = F.when(lo == hi, x(lo)).otherwise((hi.cast("double") - F.col("_h")) * x(lo) + (F.col("_h") - lo.cast("double")) * x(hi))
+    return targets.join(at, "_g").select(*[F.col("_g")[c].alias(c) for c in by], "p_index", "p", q.alias("q"))

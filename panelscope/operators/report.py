@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bands import near_flag, report_band, residual_bucket
+from ..functions.bands import OTHER_BAND, near_flag, report_band, residual_bucket
 from .quantiles import exact_quantiles
 
 def near_slices(df: DataFrame, rating: str = "rating",
@@ -68,7 +68,7 @@ def display_slice(top: DataFrame, order: Sequence[str], n: int = 15,
     return s.select(*cols)
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``describe()``: count, mean, std (n-1), min, 25/50/75% (exact, linear)
     and max per column, one row per statistic (A19).
 
@@ -84,17 +84,17 @@ def summary_stats(df: DataFrame, cols: Sequence[str], method: str = "auto") -> D
         F.min(v).alias("min"), F.max(v).alias("max"))
     stats_long = moments.select("_col", F.inline(F.array(*[
         F.struct(F.lit(s).alias("stat"), F.col(s).alias("_v")) for s in ("count", "mean", "std", "min", "max")])))
-    qs = exact_quantiles(long, "_v", [0.25, 0.5, 0.75], by=["_col"], method=method)
+    qs = exact_quantiles(long, "_v", [0.25, 0.5, 0.75], by=["_col"])
     names = F.array(F.lit("25%"), F.lit("50%"), F.lit("75%"))
     q_long = qs.select("_col", names[F.col("p_index")].alias("stat"), F.col("q").alias("_v"))
     out = stats_long.unionByName(q_long).groupBy("stat").pivot("_col", list(cols)).agg(F.first("_v"))
     return out.select("stat", *cols)
 
 
-def box_stats(df: DataFrame, value: str, by: str, method: str = "auto") -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     """Five-number summary per group: quartiles (exact, linear) and whiskers
     at the most extreme values within 1.5 IQR of the box (A23)."""
-    qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], by=[by], method=method)
+    qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], by=[by])
     q = (qs.groupBy(by).agg(*[F.max(F.when(F.col("p_index") == i, F.col("q"))).alias(n)
                               for i, n in enumerate(("q1", "median", "q3"))])
          .join(df.groupBy(by).agg(F.count(value).alias("n")), by))
@@ -111,17 +111,17 @@ def box_stats(df: DataFrame, value: str, by: str, method: str = "auto") -> DataF
 
 
 def residual_box(df: DataFrame, rating: str = "rating", residual: str = "residual") -> DataFrame:
-    """Residual box per report band."""
-    return box_stats(df.withColumn("report_band", report_band(rating)), residual, "report_band")
+    """Residual box per report band (M20, P24); rows below the lowest named
+    band are left out."""
+    banded = df.withColumn("report_band", report_band(rating)).filter(F.col("report_band") != OTHER_BAND)
+    return box_stats(banded, residual, "report_band")
 
 
 def scatter_frame(df: DataFrame, expected: str = "expected_rating", observed: str = "rating") -> DataFrame:
     """Expected vs observed with the near flag, plus the reference-line end
     points (min and max over both axes) as columns (M19, P25).  The extremes
     are a scalar subquery, computed once."""
-    ends = df.agg(F.least(F.min(expected), F.min(observed)).alias("lo"),
-                  F.greatest(F.max(expected), F.max(observed)).alias("hi"))
-    lo = ends.select("lo").scalar()
-    hi = ends.select("hi").scalar()
+    ends = df.agg(F.struct(F.least(F.min(expected), F.min(observed)).alias("lo"),
+                           F.greatest(F.max(expected), F.max(observed)).alias("hi"))).scalar()
     return df.select("entity_id", "period", expected, observed, near_flag(observed).alias("near_flag"),
-                     lo.alias("line_min"), hi.alias("line_max"))
+                     ends["lo"].alias("line_min"), ends["hi"].alias("line_max"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .joins import checked_join
+from .joins import join_building_on
 
 
 def md5_int(*parts: Column | str) -> Column:
@@ -79,7 +79,7 @@ def bootstrap_diff(df: DataFrame, stratum: str, group: str, id_col: str, value:
                                                F.col("_slot")), F.col("n")))
              .select(stratum, group, "replicate", "idx"))
     per_id = per_id.select(stratum, group, "idx", "_sx", "_cx", "_swx", "_sw")
-    sums = (checked_join(draws, per_id, [stratum, group, "idx"])
+    sums = (join_building_on(draws, per_id, [stratum, group, "idx"])
             .groupBy(stratum, "replicate").agg(
                 *[F.sum(F.when(F.col(group) == g, F.col(c))).alias(f"{c}_{i}")
                   for i, g in enumerate(groups) for c in ("_sx", "_cx", "_swx", "_sw")]))

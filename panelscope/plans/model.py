@@ -65,11 +65,10 @@ def fixed_model() -> od.OrderedLogit:
     return od.fixed_model(FIXED_LEVELS, FIXED_THRESHOLDS, slopes)
 
 
-def decomposition_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decomposition_fixed(spark: SparkSession, sf_dir: str, staged: bool = False) -> DataFrame:
     """Decomposition at the fixed parameters: the input of every report
-    query, so those are value-checked end to end."""
-    s = fixed_sample(spark, sf_dir)
-    # written once, as the reference persists its decomposition table: every
-    # report reads it, several of them more than once
-    return materialize(od.decompose(s, fixed_model(), "rating", [tb.ENTITY, tb.PERIOD]).select(*OUT_COLS),
-                       "decomposition")
+    query, so those are value-checked end to end.  Lazy, so a report's
+    columns and filters reach it; ``staged`` writes it once for reports that
+    read it more than once."""
+    out = od.decompose(fixed_sample(spark, sf_dir), fixed_model(), "rating", [tb.ENTITY, tb.PERIOD]).select(*OUT_COLS)
+    return materialize(out, "decomposition") if staged else out

@@ -12,6 +12,9 @@ periods and flags INTEGER.
 
 from __future__ import annotations
 
+#: Added before rounding: sums that lie on a half differ in their last bit.
+TIE = 1e-9
+
 CTE = {}
 
 CTE["facts"] = """
@@ -180,5 +183,5 @@ def r6(sql: str, doubles: list[str]) -> str:
     """Round the named double columns of ``sql`` to 6 places."""
     if not doubles:
         return sql
-    rep = ", ".join(f"ROUND({c}, 6) AS {c}" for c in doubles)
+    rep = ", ".join(f"ROUND({c} + {TIE!r}, 6) AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"

@@ -15,6 +15,7 @@ from ..operators import concentration as conc
 from ..operators import exposure as ex
 from ..operators import threshold as th
 from ..operators import weights as wt
+from ..session import materialize
 from ..sources import tables as tb
 
 KEYS = [tb.ENTITY, tb.PERIOD]
@@ -34,25 +35,33 @@ def unit_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_counts(spark, sf_dir).select(tb.ENTITY, tb.PERIOD, tb.UNIT, tb.MEASURE)
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rating per entity-period, from the same unit-level aggregate."""
-    return tb.ratings_from_counts(unit_counts(spark, sf_dir))
+def staged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``unit_counts`` written once: what reads the facts more than once (the
+    weights, their totals, the ratings) starts from here, so the line items
+    are scanned and shuffled a single time."""
+    return materialize(unit_counts(spark, sf_dir), "unit_counts")
 
 
-def share_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
+    """Rating per entity-period, from the unit-level aggregate ``counts``."""
+    return tb.ratings_from_counts(unit_counts(spark, sf_dir) if counts is None else counts)
+
+
+def share_weights(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """Unit share of each entity-period's measure."""
-    return wt.share_weights(unit_panel(spark, sf_dir), KEYS, tb.MEASURE)
+    counts = unit_counts(spark, sf_dir) if counts is None else counts
+    return wt.share_weights(counts.select(tb.ENTITY, tb.PERIOD, tb.UNIT, tb.MEASURE), KEYS, tb.MEASURE)
 
 
-def rate_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rate_joined(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """Weights joined to the unit rate of the previous period."""
-    return ex.attach_unit_values(share_weights(spark, sf_dir), tb.period_rates(spark, sf_dir), ["rate"],
+    return ex.attach_unit_values(share_weights(spark, sf_dir, counts), tb.period_rates(spark, sf_dir), ["rate"],
                                  unit=tb.UNIT, period=tb.PERIOD, lag=RATE_LAG)
 
 
-def rate_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rate_exposure(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """Renormalised lagged exposure per entity-period (A2)."""
-    return ex.exposure(rate_joined(spark, sf_dir), KEYS, "rate", "rate_exposure")
+    return ex.exposure(rate_joined(spark, sf_dir, counts), KEYS, "rate", "rate_exposure")
 
 
 def unit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +97,9 @@ def score_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratings with the lagged exposure."""
-    return th.rating_base(ratings(spark, sf_dir), rate_exposure(spark, sf_dir), KEYS)
+    """Ratings with the lagged exposure (J4), from one scan of the facts."""
+    counts = staged_counts(spark, sf_dir)
+    return th.rating_base(ratings(spark, sf_dir, counts), rate_exposure(spark, sf_dir, counts), KEYS)
 
 
 def near_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,13 +117,13 @@ def entity_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conc.entity_size(share_weights(spark, sf_dir), KEYS)
 
 
-def unit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unit_features(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """Every per-entity-period feature in one grouped aggregate (A2, A4,
     A12, A22): the weights are joined to the three unit tables (dimensions,
     joined without a shuffle of the weights when measured small) and then
     shuffled once on (entity, period).  Only the top-5 share needs its own
     (salted) ranking pass."""
-    base = share_weights(spark, sf_dir)          # weights are positive by construction (W1)
+    base = share_weights(spark, sf_dir, counts)  # weights are positive by construction (W1)
     w = ex.attach_unit_values(base, tb.period_rates(spark, sf_dir), ["rate"], unit=tb.UNIT, period=tb.PERIOD,
                               lag=RATE_LAG).withColumnRenamed(ex.MATCHED, "_m_rate")
     w = ex.attach_unit_values(w, unit_codes(spark, sf_dir), ["code_flag"], unit=tb.UNIT,
@@ -142,6 +152,8 @@ def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating plus every feature, one row per rated entity-period.
 
     The features come from one fused aggregate (``unit_features``), so the
-    frame is the ratings left-joined once on (entity, period)."""
-    s = ratings(spark, sf_dir).filter(F.col("rating").isNotNull())
-    return s.join(unit_features(spark, sf_dir), KEYS, "left").select(*FRAME_COLS)
+    frame is the ratings left-joined once on (entity, period); the facts
+    are scanned once."""
+    counts = staged_counts(spark, sf_dir)
+    s = ratings(spark, sf_dir, counts).filter(F.col("rating").isNotNull())
+    return s.join(unit_features(spark, sf_dir, counts), KEYS, "left").select(*FRAME_COLS)

@@ -20,6 +20,7 @@ from ..operators import exposure as ex
 from ..operators import threshold as th
 from ..operators.quantiles import exact_quantiles
 from ..operators import weights as wt
+from ..session import materialize
 from ..sources import tables as tb
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +31,12 @@ ORACLE: dict[str, str] = {}
 
 def finish(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every floating column, so float sums that differ only in
-    shuffle order compare equal."""
+    shuffle order compare equal; values that lie on a half go up, however
+    the last bit fell."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name), places).alias(f.name))
+            cols.append(F.round(F.col(f.name) + O.TIE, places).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -170,14 +172,13 @@ SELECT AVG(matched_weight_share) AS avg_share,
 FROM score_exposure""", ["avg_share", "p50_share", "p90_share", "max_share"])
 def q_share_percentiles(spark, d):
     """Mean, median, 90th percentile and max of the matched share."""
-    e = P.score_exposure(spark, d)
+    e = materialize(P.score_exposure(spark, d).select("matched_weight_share"), "score_exposure")
     s = F.col("matched_weight_share")
-    qs = exact_quantiles(e, "matched_weight_share", [0.5, 0.9])
-    p50 = qs.agg(F.max(F.when(F.col("p_index") == 0, F.col("q")))).scalar()
-    p90 = qs.agg(F.max(F.when(F.col("p_index") == 1, F.col("q")))).scalar()
-    # the two quantiles join the one-row moments as scalar subqueries
-    return e.agg(F.avg(s).alias("avg_share"), F.max(s).alias("max_share")).select(
-        "avg_share", p50.alias("p50_share"), p90.alias("p90_share"), "max_share")
+    # the two quantiles join the one-row moments as one scalar subquery
+    q = exact_quantiles(e, "matched_weight_share", [0.5, 0.9]).agg(
+        F.map_from_entries(F.collect_list(F.struct("p_index", "q")))).scalar()
+    return e.agg(F.avg(s).alias("avg_share"), F.max(s).alias("max_share")).withColumn("_q", q).select(
+        "avg_share", F.col("_q")[0].alias("p50_share"), F.col("_q")[1].alias("p90_share"), "max_share")
 
 
 # ------------------------------------------------------------ threshold slice
@@ -249,3 +250,35 @@ SELECT entity_id, period, rating, rate_exposure, static_exposure, score_exposure
        top1_share, top5_share, n_units, total_size FROM model_frame""", MODEL_FRAME_DOUBLES)
 def q_model_frame(spark, d):
     return P.model_frame(spark, d)
+
+
+# ------------------------------------------------------------ ranked lists, missing exposures
+
+@register("highest_static_exposure", WITH("static_exposure") + """
+SELECT entity_id, period, static_exposure FROM static_exposure WHERE out_of_scope = 0
+ORDER BY period, static_exposure DESC, entity_id LIMIT 10""", ["static_exposure"])
+def q_highest_static(spark, d):
+    """Top-10 report of the highest static exposures (O2): the limit is the feature."""
+    e = P.static_exposure(spark, d).filter(F.col("out_of_scope") == 0)
+    return e.orderBy(tb.PERIOD, F.col("static_exposure").desc(), tb.ENTITY).limit(10).select(*K, "static_exposure")
+
+
+@register("highest_score_exposure", WITH("score_exposure") + """
+SELECT entity_id, period, score_exposure FROM score_exposure
+ORDER BY period, score_exposure DESC, entity_id LIMIT 10""", ["score_exposure"])
+def q_highest_score(spark, d):
+    """Top-10 report of the highest score exposures (O2): the limit is the feature."""
+    e = P.score_exposure(spark, d)
+    return e.orderBy(tb.PERIOD, F.col("score_exposure").desc(), tb.ENTITY).limit(10).select(*K, "score_exposure")
+
+
+@register("missing_exposures", WITH("near", "static_exposure") + """
+SELECT period, count(*) AS rows, count(*) FILTER (x IS NULL) AS missing_static
+FROM (SELECT period, (SELECT any_value(s.static_exposure) FROM static_exposure s
+                      WHERE s.entity_id = n.entity_id AND s.period = n.period) AS x FROM near n)
+GROUP BY period""")
+def q_missing_exposures(spark, d):
+    """Near-threshold rows without a static exposure, per period (A5)."""
+    r = P.static_exposure(spark, d).select(*K, "static_exposure")
+    return P.near_threshold(spark, d).join(r, K, "left").groupBy(tb.PERIOD).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("static_exposure").isNull()).alias("missing_static"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from . import model as M
 from . import oracle as O
 from .queries import register
+from ..functions.bands import period_label
 from ..operators import bins as bn
 from ..operators import ordinal as od
 from ..operators import report as rp
@@ -89,8 +90,8 @@ def q_period_dummies(spark, d):
 
 # ------------------------------------------------------------------ scoring
 
-def _decomp(spark, d):
-    return M.decomposition_fixed(spark, d)
+def _decomp(spark, d, staged=False):
+    return M.decomposition_fixed(spark, d, staged)
 
 
 @register("decomposition_fixed", W() + f"SELECT {COLS} FROM decomp", OUT_DOUBLES)
@@ -153,18 +154,23 @@ def q_opportunity_by_period(spark, d):
     return rp.ranked(_decomp(spark, d), ["residual", tb.ENTITY], 10, cols=RANK_COLS, per_group=tb.PERIOD)
 
 
-DISPLAY_FMT = {"rating": "%.1f", "expected_rating": "%.2f", "residual": "%.2f", "rate_exposure": "%.1f"}
+DISPLAY_FMT = {"rating": "%.1f", "expected_rating": "%.2f", "residual": "%.2f", "score_exposure": "%.2f",
+               "rate_exposure": "%.2f", "log_size": "%.2f"}
+#: Labels of the periods in the display; others read Unknown.
+PERIOD_LABELS = {1997: "FY 1997", 1998: "FY 1998"}
 
 
 @register("opportunity_display", W() + """
-SELECT entity_id, period, printf('%.1f', rating) AS rating, printf('%.2f', expected_rating) AS expected_rating,
-       printf('%.2f', residual) AS residual, printf('%.1f', rate_exposure) AS rate_exposure
+SELECT entity_id, CASE WHEN period IN (1997, 1998) THEN 'FY ' || period ELSE 'Unknown' END AS period_label,
+       """ + ", ".join(f"printf('{f}', {c}) AS {c}" for c, f in DISPLAY_FMT.items()) + """
 FROM (SELECT * FROM decomp WHERE rating >= 3.5 AND rating <= 3.9 ORDER BY period, residual, entity_id LIMIT 15)""")
 def q_opportunity_display(spark, d):
-    """Top-15 display slice with number formatting."""
+    """Top-15 display slice: six formatted numbers and the period's label."""
     top = rp.ranked(_decomp(spark, d), [tb.PERIOD, "residual", tb.ENTITY], 50,
-                    cols=[tb.ENTITY, tb.PERIOD, "rating", "expected_rating", "residual", "rate_exposure"])
-    return rp.display_slice(top, [tb.PERIOD, "residual", tb.ENTITY], 15, DISPLAY_FMT)
+                    cols=[tb.ENTITY, tb.PERIOD, *DISPLAY_FMT])
+    shown = rp.display_slice(top, [tb.PERIOD, "residual", tb.ENTITY], 15)
+    return shown.select(tb.ENTITY, period_label(tb.PERIOD, PERIOD_LABELS).alias("period_label"),
+                        *[F.format_string(f, F.col(c)).alias(c) for c, f in DISPLAY_FMT.items()])
 
 
 BUCKET_MEANS = {"mean_rating": "rating", "mean_expected": "expected_rating", "mean_residual": "residual",
@@ -208,7 +214,7 @@ DECILES = {
 
 def _make_decile(col: str, label: str):
     def q(spark, d):
-        return bn.decile_table(_decomp(spark, d), col, label, tb.PERIOD)
+        return bn.decile_table(_decomp(spark, d, True).select(tb.PERIOD, col, "rating", "expected_rating", "residual"), col, label, tb.PERIOD)
     return q
 
 
@@ -222,10 +228,10 @@ for _name, (_col, _label) in DECILES.items():
     "SELECT period, decile, AVG(expected_rating) AS expected_mean"), ["expected_mean"])
 def q_gradient_series(spark, d):
     """Expected mean by size decile per period, sorted."""
-    return bn.gradient_series(bn.decile_table(_decomp(spark, d), "log_size", "x", tb.PERIOD), tb.PERIOD)
+    return bn.gradient_series(bn.decile_table(_decomp(spark, d, True), "log_size", "x", tb.PERIOD), tb.PERIOD)
 
 
-SNAP_COLS = ["rating", "expected_rating", "residual", *CORE, "log_size", "total_size"]
+SNAP_COLS = ["rating", "expected_rating", "residual", *CORE, "log_size", "total_size", tb.PERIOD]
 
 
 def _summary_sql() -> str:
@@ -241,14 +247,14 @@ def _summary_sql() -> str:
 
 @register("summary_stats", _summary_sql(), SNAP_COLS)
 def q_summary_stats(spark, d):
-    return rp.summary_stats(_decomp(spark, d), SNAP_COLS)
+    return rp.summary_stats(_decomp(spark, d, True), SNAP_COLS)
 
 
 @register("residual_box", W() + """
 , banded AS (
   SELECT *, CASE WHEN rating >= 3.0 AND rating < 3.5 THEN '3.0-3.4'
                  WHEN rating >= 3.5 AND rating <= 3.9 THEN '3.5-3.9'
-                 WHEN rating >= 4.0 THEN '4.0+' ELSE '<3.0' END AS report_band FROM decomp
+                 WHEN rating >= 4.0 THEN '4.0+' END AS report_band FROM decomp WHERE rating >= 3.0
 ), q AS (
   SELECT report_band, COUNT(residual) AS n, quantile_cont(residual, 0.25) AS q1,
          quantile_cont(residual, 0.5) AS median, quantile_cont(residual, 0.75) AS q3
@@ -261,7 +267,7 @@ SELECT q.report_band, q.n, q.q1, q.median, q.q3,
 FROM q JOIN banded b ON b.report_band = q.report_band
 GROUP BY q.report_band, q.n, q.q1, q.median, q.q3""", ["q1", "median", "q3", "whisker_low", "whisker_high"])
 def q_residual_box(spark, d):
-    return rp.residual_box(_decomp(spark, d))
+    return rp.residual_box(_decomp(spark, d, True))
 
 
 @register("scatter_frame", W() + """
@@ -271,7 +277,7 @@ SELECT entity_id, period, expected_rating, rating,
        (SELECT GREATEST(MAX(expected_rating), MAX(rating)) FROM decomp) AS line_max
 FROM decomp""", ["expected_rating", "rating", "line_min", "line_max"])
 def q_scatter_frame(spark, d):
-    return rp.scatter_frame(_decomp(spark, d))
+    return rp.scatter_frame(_decomp(spark, d, True))
 
 
 # ------------------------------------------------------------------ fitted model (rows-only checks)
@@ -307,3 +313,29 @@ def q_decile_score_fitted(spark, d):
 def q_opportunity_fitted(spark, d):
     """Ranked 3.5-3.9 list over the fitted decomposition (O3 after M8)."""
     return rp.ranked(M.decomposition(spark, d), [tb.PERIOD, "residual", tb.ENTITY], 50, cols=RANK_COLS)
+
+
+@register("ordered_thresholds_only", W() + """
+, c AS (SELECT rating, count(*) AS n FROM sample GROUP BY rating),
+f AS (SELECT rating, lead(rating) OVER o AS upper, sum(n) OVER o * 1.0 / sum(n) OVER () AS share FROM c
+      WINDOW o AS (ORDER BY rating))
+SELECT rating AS lower_level, upper AS upper_level, ln(share / (1 - share)) AS threshold FROM f WHERE upper IS NOT NULL""",
+          ["lower_level", "upper_level", "threshold"])
+def q_ordered_thresholds_only(spark, d):
+    """Ordered logit without slopes: its thresholds are the logits of the
+    cumulative shares (M8)."""
+    s, levels, _ = od.model_sample(M.P.model_frame(spark, d), "rating", CORE, "total_size", tb.PERIOD)
+    m = od.fit_ordered_logit(s, "level_index", [], levels)
+    return spark.createDataFrame([(float(a), float(b), float(t)) for a, b, t in zip(levels[:-1], levels[1:], m.thresholds)],
+                                 "lower_level double, upper_level double, threshold double")
+
+
+@register("fit_states")
+def q_fit_states(spark, d):
+    """State of the ordered fit: converged, iterations, largest score, rows
+    used and rows the sample rule left out (M8, M14)."""
+    frame = M.P.model_frame(spark, d)
+    m = M.fit(spark, d)
+    return frame.agg(F.count(F.lit(1)).alias("frame_rows")).select(
+        F.lit(m.converged).alias("converged"), F.lit(m.iterations).alias("iterations"), F.lit(m.grad_norm).alias("max_score"),
+        F.lit(m.extra["n"]).cast("bigint").alias("rows_used"), (F.col("frame_rows") - F.lit(m.extra["n"])).cast("bigint").alias("rows_left_out"))

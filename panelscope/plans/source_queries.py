@@ -28,13 +28,19 @@ def _landing(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelscope/landing/{name}-{uuid.uuid4().hex}"
 
 
+#: Lines of a landed document.
+DOCUMENT_LINES = 10_000
+
+
 def _land_per_period(rates: DataFrame, path: str, body_line, document) -> list:
-    """One text document per period.  A period's document holds one line per
-    unit, so its size is bounded by the unit dimension, not by the facts."""
-    docs = (rates.groupBy(tb.PERIOD).agg(F.array_sort(F.collect_list(body_line)).alias("_lines"))
-            .select(tb.PERIOD, document(F.col("_lines")).alias("value")))
-    docs.write.mode("overwrite").partitionBy(tb.PERIOD).text(path)
-    return sorted_levels(rates, tb.PERIOD, 10_000)
+    """Text documents of about ``DOCUMENT_LINES`` lines, one in each file,
+    below a folder for each period."""
+    parts = 1 + rates.count() // DOCUMENT_LINES
+    docs = (rates.withColumn("part", F.pmod(F.xxhash64(tb.UNIT), F.lit(parts))).groupBy(tb.PERIOD, "part")
+            .agg(F.array_sort(F.collect_list(body_line)).alias("_lines"))
+            .select(tb.PERIOD, "part", document(F.col("_lines")).alias("value")))
+    docs.write.mode("overwrite").partitionBy(tb.PERIOD, "part").text(path)
+    return sorted_levels(rates, tb.PERIOD)
 
 
 @register("csv_banner_roundtrip", RATE_SQL, ["rate"])
@@ -47,7 +53,7 @@ def q_csv_banner_roundtrip(spark, d):
     periods = _land_per_period(
         rates, path, line,
         lambda lines: F.concat(F.lit("Unit rates, landed extract\n"), F.lit(f"{tb.UNIT},rate\n"),
-                               F.concat_ws("\n", lines), F.lit("\n")))
+                               F.concat_ws("\n", lines)))
     frames = {p: fs.read_csv_banner(spark, f"{path}/{tb.PERIOD}={p}") for p in periods}
     raw = fs.read_by_year(frames, tb.PERIOD)
     return raw.select(tb.PERIOD, F.col(tb.UNIT), to_number("rate").alias("rate"))

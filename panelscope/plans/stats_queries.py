@@ -167,3 +167,59 @@ def q_multinomial(spark, d):
     """Multinomial logit of the rating level on the model features (M9)."""
     s, levels, feats = M.sample(spark, d)
     return glm.fit_multinomial(s, "level_index", feats)
+
+
+# ------------------------------------------------------------------ fits held against SQL
+#
+# At the optimum of a logit X'f(y - p) = 0: the fitted sums f p x of every term
+# equal the observed sums f y x, which SQL has without a fit.
+
+def _score_table(spark, d, features, weighted):
+    data = near_structural(spark, d)
+    weight = "total_measure" if weighted else None
+    fit = glm.fit_logit(data, "above_threshold", features, [tb.PERIOD], weight=weight)
+    X, terms = glm.design(data, features, [tb.PERIOD])
+    eta = sum((F.lit(float(b)) * F.col(f"_x{i}") for i, b in enumerate(fit.coef)), F.lit(0.0))
+    f = F.col(weight) if weighted else F.lit(1.0)
+    p = f / (1 + F.exp(-eta))
+    sums = X.agg(F.array(*[F.struct(F.lit(t).alias("term"), F.sum(p * F.col(f"_x{i}")).alias("total"))
+                           for i, t in enumerate(terms)]).alias("s"))
+    # relative to the sum of weights, so the six places compared are of the score
+    total = X.agg(F.sum(f)).scalar()
+    return sums.select(F.inline("s")).withColumn("share", F.round(F.col("total") / total + O.TIE, 5)).select("term", "share")
+
+
+def _score_sql(features, weight):
+    terms = [("Intercept", "1")] + [(f, f) for f in features]
+    parts = [f"SELECT '{t}' AS term, sum(f * above_threshold * {x}) / sum(f) AS share FROM rows" for t, x in terms]
+    return W("near", "static_exposure") + f"""
+, rows AS (
+  SELECT n.*, s.static_exposure, {weight} AS f FROM near n LEFT JOIN static_exposure s USING (entity_id, period)
+  WHERE {' AND '.join(f'{x} IS NOT NULL' for x in features)}
+), levels AS (SELECT DISTINCT period FROM rows WHERE period > (SELECT min(period) FROM rows))
+SELECT term, round(share + 1e-9, 5) AS share FROM (
+  {' UNION ALL '.join(parts)}
+  UNION ALL
+  SELECT 'C(period)[T.' || l.period || ']', (SELECT sum(f * above_threshold) FROM rows r WHERE r.period = l.period)
+         / (SELECT sum(f) FROM rows) FROM levels l)"""
+
+
+for _name, _features, _weighted in (("logit_score", ["rate_exposure"], False), ("logit_weighted_score", ["rate_exposure"], True),
+                                    ("logit_two_exposures_score", ["rate_exposure", "static_exposure"], False)):
+    register(_name, _score_sql(_features, "n.total_measure" if _weighted else "1.0"))(
+        lambda spark, d, fs=_features, w=_weighted: _score_table(spark, d, fs, w))
+
+
+@register("logit_period_only", W("near") + """
+, g AS (SELECT period, count(*) AS n, avg(above_threshold) AS p FROM near GROUP BY period),
+b AS (SELECT * FROM g ORDER BY period LIMIT 1), c AS (SELECT sum(n) / (sum(n) - count(*)) AS k FROM g)
+SELECT CASE WHEN g.period = b.period THEN 'Intercept' ELSE 'C(period)[T.' || g.period || ']' END AS term,
+       ln(g.p / (1 - g.p)) - CASE WHEN g.period = b.period THEN 0 ELSE ln(b.p / (1 - b.p)) END AS estimate,
+       sqrt(c.k * (1 / (g.n * g.p * (1 - g.p)) + CASE WHEN g.period = b.period THEN 0 ELSE 1 / (b.n * b.p * (1 - b.p)) END)) AS std_error,
+       exp(ln(g.p / (1 - g.p)) - CASE WHEN g.period = b.period THEN 0 ELSE ln(b.p / (1 - b.p)) END) AS odds_ratio
+FROM g, b, c""", ["estimate", "std_error", "odds_ratio"])
+def q_logit_period_only(spark, d):
+    """above ~ C(period): estimates, HC1 errors and odds ratios have closed
+    forms in the counts of each period (M3, M6, M7)."""
+    fit = glm.fit_logit(P.near_threshold(spark, d), "above_threshold", [], [tb.PERIOD])
+    return fit.table(spark).select("term", "estimate", "std_error", "odds_ratio")

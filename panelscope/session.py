@@ -1,9 +1,9 @@
 """Session helpers.
 
-Library code never creates folders on its own: the checkpoint folder is read
-from ``spark.checkpoint.dir`` (a shared, cluster-visible path on a real
-deployment).  ``local_session`` is for tests and the bench only and fills the
-setting with a scratch folder when it is unset.
+The checkpoint folder is read from ``spark.checkpoint.dir`` (a shared,
+cluster-visible path on a real deployment).  Only a session in local mode,
+where driver and tasks share one machine, gets a scratch folder when the
+setting is unset; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -47,8 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     Read from the session; when it is unset, the SparkContext's checkpoint
-    directory is used, and only when neither exists (local tests) a fresh
-    scratch folder is taken.  ``spark.checkpoint.dir`` is a core setting that
+    directory is used, and where neither exists a local-mode session takes a
+    fresh scratch folder and a cluster session raises.  ``spark.checkpoint.dir`` is a core setting that
     cannot be changed on a running session, so nothing here tries to."""
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None)
@@ -59,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="panelscope-ckpt-")
     sc.setCheckpointDir(scratch)
     return scratch

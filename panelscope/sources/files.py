@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.clean import na_to_null, pad_code
 
@@ -45,38 +45,53 @@ def read_csv_latin1(spark: SparkSession, paths: str | Sequence[str], schema: Str
     return read_csv_strings(spark, paths, na_tokens=False, encoding="ISO-8859-1")
 
 
+def _files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The files below ``paths``, sorted (their content is not read)."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
+        list(paths) if not isinstance(paths, str) else paths)
+    return sorted(r["path"] for r in listed.select("path").collect())
+
+
 def read_csv_banner(spark: SparkSession, paths: str | Sequence[str], skip: int = 1) -> DataFrame:
     """CSV files whose first ``skip`` lines precede the header (S1); all
-    columns strings.  Each file is one row of ``wholetext`` (report-sized
-    downloads), its lines split, the banner dropped; the header of the first
-    file names the columns and the remaining lines parse with ``from_csv``.
-    Header lines repeated in later files are dropped."""
-    raw = spark.read.text(list(paths) if not isinstance(paths, str) else paths, wholetext=True)
-    lines = raw.select(F.posexplode(F.split(F.regexp_replace("value", "\r\n", "\n"), "\n")).alias("pos", "line"))
-    header = lines.filter(F.col("pos") == skip).select("line").first()
-    if header is None:
-        raise ValueError("no header line found")
-    names = [h.strip() for h in next(csv.reader([header["line"]]))]
-    ddl = ", ".join(f"`{n}` STRING" for n in names)
-    body = lines.filter((F.col("pos") > skip) & (F.length("line") > 0) & (F.col("line") != header["line"]))
-    parsed = body.select(F.from_csv("line", ddl).alias("r")).select("r.*")
-    return parsed
+    columns strings, stacked by name.
+
+    Every file has its own header.  Records are parsed by the CSV reader as
+    a stream (a quoted cell may hold a newline), one task for each file; the
+    banner and the header are its first records."""
+    out = None
+    for path in _files(spark, paths):
+        head = [r["value"] for r in spark.read.text(path).limit(skip + 1).collect()]
+        if len(head) <= skip:
+            raise ValueError(f"no header line found in {path}")
+        names = [h.strip() for h in next(csv.reader([head[skip]]))]
+        schema = StructType([StructField(n, StringType()) for n in names])
+        rows = (spark.read.schema(schema).option("multiLine", True).option("header", False)
+                .option("escape", '"').option("enforceSchema", True).csv(path))
+        body = rows.withColumn("_record", F.monotonically_increasing_id()).filter(F.col("_record") > skip).drop("_record")
+        out = body if out is None else out.unionByName(body, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no input files")
+    return out
 
 
 def read_header_rows_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """JSON documents shaped as an array of string arrays, header first (S5):
-    ``[["NAME","A","B"],["x","1","2"],...]`` -> one row per data array,
-    columns named by the header.  One document per file (a JSON document is
-    not splittable); rows then spread as usual."""
-    raw = spark.read.text(list(paths) if not isinstance(paths, str) else paths, wholetext=True)
-    arr = raw.select(F.from_json("value", "array<array<string>>").alias("a"))
-    first = arr.select(F.col("a")[0].alias("h")).first()
-    if first is None or first["h"] is None:
+    ``[["NAME","A","B"],["x","1","2"],...]`` -> one row per data array.
+
+    A row is named by the header of its own document; the columns are all
+    names that occur, sorted by their place in the documents.  One document
+    per file (a JSON document is not splittable)."""
+    raw = spark.read.option("recursiveFileLookup", True).text(
+        list(paths) if not isinstance(paths, str) else paths, wholetext=True)
+    docs = raw.select(F.from_json("value", "array<array<string>>").alias("a")).select(F.get("a", F.lit(0)).alias("h"), "a")
+    names = docs.select(F.posexplode("h").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name")
+    columns = [r["name"] for r in names.collect()]
+    if not columns:
         raise ValueError("payload has no header row")
-    header = first["h"]
-    rows = arr.select(F.posexplode("a").alias("pos", "row")).filter(F.col("pos") > 0)
-    m = rows.select(F.map_from_arrays(F.array(*[F.lit(h) for h in header]), F.col("row")).alias("m"))
-    return m.select(*[F.col("m")[h].alias(h) for h in header])
+    rows = docs.select("h", F.posexplode("a").alias("pos", "row")).filter(F.col("pos") > 0)
+    m = rows.select(F.map_from_arrays("h", "row").alias("m"))
+    return m.select(*[F.col("m")[F.lit(c)].alias(c) for c in columns])
 
 
 def read_by_year(frames: Mapping[int, DataFrame], col: str = "year") -> DataFrame:

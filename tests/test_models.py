@@ -46,21 +46,21 @@ def test_frequency_weight_equals_repetition(spark, logit_data):
     b = glm.fit_logit(rep, "y", ["x"], ["p"])
     np.testing.assert_allclose(a.coef, b.coef, rtol=1e-9)            # T8
     # the replication convention of HC1 equals the HC1 of the repeated rows
-    c = glm.fit_logit(df, "y", ["x"], ["p"], weight="f", hc1="replicate")
+    c = glm.fit_logit(df, "y", ["x"], ["p"], weight="f")
     np.testing.assert_allclose(np.diag(c.cov), np.diag(b.cov), rtol=1e-8)
 
 
 def test_hc1_per_row_scores(spark, logit_data):
     df, x, per, y, f = logit_data
     X = np.column_stack([np.ones_like(x), x, per == 1, per == 2]).astype(float)
-    fit = glm.fit_logit(df, "y", ["x"], ["p"], weight="f")
+    fit = glm.fit_logit(df, "y", ["x"], ["p"], weight="f", hc1="score_rows")
     p = 1 / (1 + np.exp(-X @ fit.coef))
     bread = np.linalg.inv((X * (f * p * (1 - p))[:, None]).T @ X)
     s = X * (f * (y - p))[:, None]
     want = bread @ (s.T @ s) @ bread * len(y) / (f.sum() - X.shape[1])
     np.testing.assert_allclose(fit.cov, want, rtol=1e-8)
     u = glm.fit_logit(df, "y", ["x"], ["p"])                      # f = 1: both conventions agree
-    v = glm.fit_logit(df, "y", ["x"], ["p"], hc1="replicate")
+    v = glm.fit_logit(df, "y", ["x"], ["p"], hc1="score_rows")
     np.testing.assert_allclose(u.cov, v.cov, rtol=1e-10)
 
 
