@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from . import panel as P
 from .panel import RURAL_CUT
 from .queries import register
-from ..functions.clean import to_number
+from ..functions.clean import clean_measure, normalize_code, normalize_key, to_number
 from ..operators.ordinal import sorted_levels
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..operators import exposure as ex
+from ..sources import catalog as cat
 from ..sources import files as fs
 from ..sources import tables as tb
 
@@ -94,3 +96,66 @@ def q_csv_attributes_roundtrip(spark, d):
                                carry=["state", "unit_name"])
     return ex.add_ordinal_flag(wide, "code", "code_flag", RURAL_CUT).select(
         tb.UNIT, "state", "unit_name", "code", "population", "code_flag")
+
+
+# ------------------------------------------------------------ staging paths end to end
+
+#: The spellings under which the raw files carry a column.
+ENTITY_NAMES = ["Contract ID", "Contract Number"]
+UNIT_NAMES = ["FIPS Code", "FIPS State County Code"]
+
+
+def _land_enrollment(spark, d) -> dict:
+    """Raw files, one folder for each period: entities and units as text with
+    blanks, small measures suppressed, the columns of odd and even periods
+    under different names."""
+    rows = tb.fact_rows(spark, d).select(
+        tb.PERIOD, F.concat(F.lit(" h"), F.col(tb.ENTITY), F.lit("\t")).alias("entity"),
+        F.concat(F.lit("U-"), F.col(tb.UNIT)).alias("unit"),
+        F.when(F.col("qty") < 3, F.lit("*")).when(F.col("qty") < 5, F.lit("N/A")).otherwise(F.col("qty").cast("string")).alias("n"))
+    rows = materialize(rows, "raw_enrollment")
+    paths = {}
+    for period in sorted_levels(rows, tb.PERIOD):
+        names = [ENTITY_NAMES[period % 2], UNIT_NAMES[period % 2], "Enrollment"]
+        paths[period] = _landing(spark, f"enrollment-{period}")
+        fs.write_csv(rows.filter(F.col(tb.PERIOD) == period).select("entity", "unit", "n").toDF(*names), paths[period])
+    return paths
+
+
+@register("staged_enrollment", """
+SELECT 'H' || l_suppkey AS entity_key, year(o_orderdate)::INTEGER AS period, right(lpad(o_custkey::VARCHAR, 10, '0'), 10) AS unit_code,
+       CAST(sum(if(l_quantity < 5, 0, trunc(l_quantity))) AS BIGINT) AS measure
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
+def q_staged_enrollment(spark, d):
+    """String CSV with NA tokens, two spellings of each column, key, code and
+    suppressed count, summed to the panel (S2, S6, P2, P4, P6, P10, P11, A1)."""
+    frames = {}
+    for period, path in _land_enrollment(spark, d).items():
+        raw = fs.read_csv_strings(spark, path)
+        cat.require_columns(raw, ["Enrollment"])
+        frames[period] = raw.select(normalize_key(cat.pick_column(raw, ENTITY_NAMES)).alias("entity_key"),
+                                    normalize_code(cat.pick_column(raw, UNIT_NAMES), tb.UNIT_WIDTH).alias("unit_code"),
+                                    clean_measure("Enrollment").alias("measure"))
+    rows = fs.read_by_year(frames, tb.PERIOD)
+    return rows.groupBy("entity_key", tb.PERIOD, "unit_code").agg(F.sum("measure").alias("measure"))
+
+
+@register("stage_table_roundtrip", O.with_ctes("panel") + """
+SELECT period, count(*) AS rows, sum(measure) AS measure,
+       'entity_id:bigint,unit_code:string,measure:double,period:int' AS described, true AS found FROM panel GROUP BY period""")
+def q_stage_table_roundtrip(spark, d):
+    """A stage table is created, replaced, found, described, checked and read
+    back by name (S8-S12, S15-S17, P3)."""
+    path = _landing(spark, "panel_table")
+    panel = P.unit_panel(spark, d)
+    fs.save_table(panel.limit(0), "panel", path=path)
+    fs.save_table(panel, "panel", partition_by=[tb.PERIOD], path=path)
+    name = f"panel_{uuid.uuid4().hex}"
+    cat.register(spark.read.parquet(path), name)
+    cat.require_tables(spark, [name])
+    table = spark.table(cat.first_table(spark, ["no_such_panel", name]))
+    if cat.is_empty(table):
+        return spark.createDataFrame([], "period int, rows bigint, measure double, described string, found boolean")
+    described = ",".join(f"{r['column_name']}:{r['data_type']}" for r in cat.describe_columns(table).orderBy("ordinal_position").collect())
+    return table.groupBy(tb.PERIOD).agg(F.count(F.lit(1)).alias("rows"), F.sum("measure").alias("measure")).withColumns({
+        "described": F.lit(described), "found": F.lit(cat.table_exists(spark, name))})
