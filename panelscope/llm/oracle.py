@@ -124,3 +124,22 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM reac
 SELECT n.doc_id, n.n AS n_shingles, min(r.b) AS component_id, n.doc_id = min(r.b) AS kept
 FROM n JOIN reach r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
 """
+
+# every string of 200 bytes by its hash, the repeated ones as islands, the
+# rest joined (two hexadecimal digits a byte)
+OP1_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+w AS (SELECT rid, i, hash(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT rid, h, unnest(range(0, n - 199)) AS i FROM d WHERE n >= 200)),
+again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY m) AS c FROM w) WHERE c > 1),
+steps AS (SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM again),
+spans AS (SELECT rid, min(i) AS a, max(i) + 200 AS b
+          FROM (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS g FROM steps) GROUP BY rid, g),
+gaps AS (
+  SELECT rid, coalesce(lag(b) OVER o, 0) AS a, a AS b FROM spans WINDOW o AS (PARTITION BY rid ORDER BY a)
+  UNION ALL SELECT d.rid, coalesce((SELECT max(b) FROM spans s WHERE s.rid = d.rid), 0), d.n FROM d),
+kept AS (SELECT g.rid, string_agg(substr(d.h, 2 * g.a + 1, 2 * (g.b - g.a)), '' ORDER BY g.a) AS k FROM gaps g JOIN d ON d.rid = g.rid GROUP BY g.rid)
+SELECT d.doc_id, d.n AS n_bytes, coalesce((SELECT sum(b - a) FROM spans s WHERE s.rid = d.rid), 0)::BIGINT AS n_removed,
+       (SELECT count(*) FROM spans s WHERE s.rid = d.rid) AS n_spans, sha256(unhex(kept.k)) AS kept_sha256
+FROM d JOIN kept ON kept.rid = d.rid
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelscope.llm import chat, decontaminate, mixing, near_dup, pii, quality, sharding, suffix_dedup, toxicity, warc
-from panelscope.llm.oracle import OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP10_SQL
+from panelscope.llm.oracle import OP1_SQL, OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP10_SQL
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_suffix_dedup")
+@query("op1_suffix_dedup", OP1_SQL)
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat in strings of 200 bytes."""
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
