@@ -93,10 +93,10 @@ def shard_ring(docs: DataFrame, n_shards: int = 8, *, text: str = "text", key: s
     capacity = (1 + slack) * total / n_shards
     piece = max(1, int(piece_share * capacity))
 
-    # pieces of the few groups above the bound: at most n_shards / piece_share of them
-    pieces = F.when(F.col("_bytes") > piece, F.ceil(F.col("_bytes") / piece)).otherwise(1).cast("int")
-    rows = rows.join(groups.select("_group", pieces.alias("_n")), "_group").withColumn(
-        "_piece", F.pmod("_spread", F.col("_n")).cast("int"))
+    # the few groups above the bound: at most n_shards / piece_share of them
+    large = groups.filter(F.col("_bytes") > piece).select("_group", F.ceil(F.col("_bytes") / piece).alias("_n"))
+    rows = rows.join(F.broadcast(large), "_group", "left").withColumn(
+        "_piece", F.pmod("_spread", F.coalesce("_n", F.lit(1))).cast("int"))
     cell = F.pmod(F.conv(F.substring("_group", 1, 12), 16, 10).cast("long"), F.lit(cells)).cast("int")
     keys = stage_table(
         rows.groupBy("_group", "_piece").agg(F.sum("size").alias("_bytes"))
