@@ -9,6 +9,7 @@ from . import panel as P
 from .queries import register
 from ..functions import clean as cl
 from ..operators import weights as wt
+from ..session import materialize
 from ..sources import catalog as cat
 from ..sources import tables as tb
 
@@ -117,6 +118,6 @@ def q_sample_entity_weights(spark, d):
     first = rows.filter(F.col(tb.ENTITY).isNotNull() & F.col(tb.PERIOD).isNotNull()).agg(
         F.min(F.struct(tb.ENTITY, tb.PERIOD))).scalar()
     mine = rows.filter(F.struct(tb.ENTITY, tb.PERIOD) == first)
-    panel = wt.aggregate_panel(mine, [*P.KEYS, tb.UNIT], "qty", tb.MEASURE)
+    panel = materialize(wt.aggregate_panel(mine, [*P.KEYS, tb.UNIT], "qty", tb.MEASURE), "one_panel")
     return (wt.share_weights(panel, P.KEYS, tb.MEASURE).orderBy(F.col("weight").desc(), F.col(tb.UNIT)).limit(20)
             .select(tb.ENTITY, tb.PERIOD, tb.UNIT, "measure", "weight"))

@@ -48,8 +48,9 @@ def ratings(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -
 
 
 def share_weights(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
-    """Unit share of each entity-period's measure."""
-    counts = unit_counts(spark, sf_dir) if counts is None else counts
+    """Unit share of each entity-period's measure (W1); the panel is read
+    for the totals and for the shares, so it is written once."""
+    counts = staged_counts(spark, sf_dir) if counts is None else counts
     return wt.share_weights(counts.select(tb.ENTITY, tb.PERIOD, tb.UNIT, tb.MEASURE), KEYS, tb.MEASURE)
 
 

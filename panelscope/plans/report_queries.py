@@ -128,7 +128,7 @@ SELECT '3.0-3.9' AS slice, {COLS} FROM decomp WHERE rating BETWEEN 3.0 AND 3.9
 UNION ALL
 SELECT '3.5-3.9' AS slice, {COLS} FROM decomp WHERE rating BETWEEN 3.5 AND 3.9""", OUT_DOUBLES)
 def q_near_slices(spark, d):
-    return rp.near_slices(_decomp(spark, d)).select("slice", *OUT)
+    return rp.near_slices(_decomp(spark, d, True)).select("slice", *OUT)
 
 
 RANK_COLS = [tb.ENTITY, "rating", "expected_rating", "residual", "rate_exposure", "static_exposure",
