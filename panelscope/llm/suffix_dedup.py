@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscope.llm.common import U64, prefix_hash, range_hash, slices, stage_table, texts_of
@@ -207,7 +207,7 @@ def repeated_windows(runs: list[bytes], windows: np.ndarray, offset: np.ndarray,
     return out
 
 
-def _sort_groups(length: int, batch_rows: int = 8192):
+def _sort_groups(length: int, batch_rows: int = 4096):
     """A task function over runs sorted by (anchor, salt): ranges of repeated
     windows, and of salted groups the windows to be counted over all parts."""
     names = ["k1", "k2", "first", "last", "anchor", "window", "open"]
@@ -229,7 +229,7 @@ def _sort_groups(length: int, batch_rows: int = 8192):
         _, lo = np.nonzero(edge == 1)
         # more bytes before the anchor: an earlier window
         ranges = [k1[i], k2[i], start[i] + offset[i] - (hi - 1), start[i] + offset[i] - lo, anchor[i],
-                  np.zeros(len(i), np.int64), np.zeros(len(i), bool)]
+                  k1[i] + start[i] - lo, np.zeros(len(i), bool)]
         # salted groups: every window by its hash; those without a partner stay open
         i, l = np.nonzero(has & salted[:, None])
         if len(i):
@@ -299,7 +299,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, *, text: str = "text",
     keys = ["k1", "k2"]
 
     a = stage_table(anchors(rows.select(*keys, F.col(body).alias("body")), length), "anchors")
-    again = a.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # staged, so that the join below reads two plain shuffles and can split a hot anchor
+    again = stage_table(a.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "again")
     # equal texts have equal runs: a row for each place, whatever its text's copies
     d = stage_table(a.join(again, "anchor"), "repeated-anchors")
     place = F.struct(*keys, "start", "windows", "offset")
@@ -338,11 +339,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, *, text: str = "text",
     pieces = pieces.dropDuplicates(["anchor", "salt", "k1", "k2", "start"])
     shares = pieces.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(
         _sort_groups(length), "k1 long, k2 short, first int, last int, anchor long, window long, open boolean, counted boolean")
-    shares = shares.repartition(*keys)
-    counted = shares.filter("counted")
-    over = counted.groupBy("anchor", "window").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "window")
-    apart = counted.filter("open").join(over, ["anchor", "window"]).select(*keys, "first", "last")
-    ranges = whole.unionByName(shares.filter("not counted").select(*keys, "first", "last")).unionByName(apart)
+    # one row for each part of an anchor that holds the window: at most as many as there are parts
+    seen = F.count("*").over(Window.partitionBy("anchor", "window", "counted"))
+    shares = shares.withColumn("parts", seen).filter("not counted or (open and parts > 1)")
+    ranges = whole.unionByName(shares.select(*keys, "first", "last"))
     # a text's ranges are at most its bytes
     gone = ranges.groupBy(*keys).agg(F.collect_set(F.struct("first", "last")).alias("gone"))
 
