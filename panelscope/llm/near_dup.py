@@ -117,6 +117,7 @@ def stars(members: DataFrame, salt: int | None = None) -> DataFrame:
     rank = F.xxhash64("node") if salt is None else F.xxhash64("node", "bucket", F.lit(salt))
     centre = members.groupBy("bucket").agg(F.min(F.struct(rank.alias("o"), "node", "comp")).alias("c"), F.count("*").alias("n"))
     centre = centre.filter("n > 1").select("bucket", F.col("c.node").alias("centre"), F.col("c.comp").alias("ccomp"))
+    centre = stage_table(centre, "centres")  # the join then reads two plain shuffles and can split a hot bucket
     return members.join(centre, "bucket").filter("comp != ccomp").select("centre", "node").distinct()
 
 
@@ -175,6 +176,18 @@ def components(links: DataFrame, name: str = "comp") -> DataFrame:
             return labels
 
 
+def join_components(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` after more ``links``: only the components that the links join
+    are labelled again."""
+    label = comp.select(F.col("node").alias("n"), F.col("comp").alias("c"))
+    ends = links.join(label, links["centre"] == label["n"], "left").select(F.coalesce("c", "centre").alias("centre"), "node")
+    ends = ends.join(label, ends["node"] == label["n"], "left").select("centre", F.coalesce("c", "node").alias("node"))
+    joined = components(ends).withColumnsRenamed({"node": "n", "comp": "c"})
+    fresh = links.select("node").unionByName(links.select(F.col("centre").alias("node"))).distinct().join(comp, "node", "left_anti")
+    every = comp.unionByName(fresh.withColumn("comp", F.col("node")))
+    return stage_table(every.join(joined, every["comp"] == joined["n"], "left").select("node", F.coalesce("c", "comp").alias("comp")), "comp")
+
+
 def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` (smallest key that the
@@ -199,12 +212,12 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     unique = stage_table(nodes.groupBy("node").agg(F.min(seat).alias("first"), F.first("buckets").alias("buckets")), "nodes")
     buckets = unique.select(F.explode("buckets").alias("bucket"), "node")
     # buckets of one member have nothing to compare
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    shared = stage_table(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "shared")
     members = stage_table(buckets.join(shared, "bucket"), "members")
     texts = stage_table(nodes.groupBy("node").agg(F.min(body).alias("body")).join(
         members.select("node").distinct(), "node", "left_semi"), "texts")
 
-    comp = links = None
+    comp = None
     for turn in range(rounds):
         if comp is None:
             pairs = stars(members.withColumn("comp", F.col("node")))
@@ -214,8 +227,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
         found = stage_table(confirm(pairs, texts, shingle, threshold), "links")
         if comp is not None and not found.limit(1).count():
             break  # all that share a bucket with a centre are connected or apart
-        links = found if links is None else links.unionByName(found)
-        comp = components(links)
+        comp = components(found) if comp is None else join_components(comp, found)
 
     # equal sets share a node; nodes without links are their own component
     group = unique.select("node", "first").join(comp, "node", "left").select("node", "first", F.coalesce("comp", "node").alias("comp"))
