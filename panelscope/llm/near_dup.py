@@ -7,10 +7,11 @@ and an empty bin copies the bin that a per-bin sequence of hashes reaches first
 
 Candidates are stars: every member of a bucket is paired with one centre, so a
 bucket of n members gives n - 1 pairs, never all of them.  Pairs are confirmed
-on the full shingle sets.  Further rounds go over the buckets again with the
-links so far: members that are not connected to their bucket's centre get
-another one, drawn anew in each bucket, until a round finds no link or
-``rounds`` are done.
+on the full shingle sets.  A used centre retires from its bucket.  Further
+rounds go over the buckets again with the links so far: members that are not
+connected get other centres, four times as many in each round, until the
+members left in every bucket are connected with each other.  So each pair that
+shares a bucket is compared or connected by links already found.
 
 Texts with equal shingle sets are one node (their link needs no pair).  The
 components of the confirmed links are found by label propagation with pointer
@@ -21,12 +22,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelscope.llm.common import U64, Words, mix, slices, stage_table, texts_of
 
-BANDS, ROWS, SHINGLE, THRESHOLD, ROUNDS = 30, 5, 5, 0.8, 4
+BANDS, ROWS, SHINGLE, THRESHOLD = 30, 5, 5, 0.8
 
 
 def shingle_sets(texts: list[bytes], k: int):
@@ -108,17 +109,27 @@ def signatures(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, band
     return own.mapInArrow(sign, f"{schema}, n_shingles long, node binary, buckets array<bigint>")
 
 
-def stars(members: DataFrame, salt: int | None = None) -> DataFrame:
+def draw(members: DataFrame, many: int = 1) -> DataFrame:
+    """(bucket, centre, ccomp): up to ``many`` centres of each bucket of
+    ``members`` (bucket, node, comp), one at least.  The smallest ``order``
+    comes first if the members have one; all buckets rank alike, so a group of
+    copies has the same centres in all of its buckets."""
+    order = [F.col("order")] if "order" in members.columns else []
+    slot = F.pmod(F.xxhash64("node", F.lit(many)), F.lit(many)).alias("slot")
+    first = F.min(F.struct(*order, F.xxhash64("node").alias("o"), "node", "comp")).alias("c")
+    centre = members.groupBy("bucket", slot).agg(first).select(
+        "bucket", F.col("c.node").alias("centre"), F.col("c.comp").alias("ccomp"))
+    return stage_table(centre, "centres")  # the join then reads two plain shuffles and can split a hot bucket
+
+
+def stars(members: DataFrame, many: int = 1, centre: DataFrame | None = None) -> DataFrame:
     """(centre, node) pairs: each member of a bucket (bucket, node, comp) with
-    the bucket's centre, if they are not connected yet.  Without ``salt`` all
-    buckets rank their members alike, so a group of copies has one centre in
-    all of its buckets; with one each bucket has an order of its own, and a
-    member meets as many centres as it has buckets."""
-    rank = F.xxhash64("node") if salt is None else F.xxhash64("node", "bucket", F.lit(salt))
-    centre = members.groupBy("bucket").agg(F.min(F.struct(rank.alias("o"), "node", "comp")).alias("c"), F.count("*").alias("n"))
-    centre = centre.filter("n > 1").select("bucket", F.col("c.node").alias("centre"), F.col("c.comp").alias("ccomp"))
-    centre = stage_table(centre, "centres")  # the join then reads two plain shuffles and can split a hot bucket
-    return members.join(centre, "bucket").filter("comp != ccomp").select("centre", "node").distinct()
+    the bucket's centres (those of :func:`draw`), if they are not connected
+    yet.  Two nodes are one pair, also where each is a centre of the other."""
+    centre = draw(members, many) if centre is None else centre
+    met = members.join(centre, "bucket").filter("comp != ccomp")
+    return met.groupBy(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).agg(
+        F.min("centre").alias("centre")).select("centre", F.when(F.col("centre") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"))
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
@@ -189,7 +200,7 @@ def join_components(comp: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
-                    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, rounds: int = ROUNDS) -> DataFrame:
+                    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` (smallest key that the
     row's links reach, its own included), ``kept`` (key = component_id) and
     ``representative`` (true for one row of each component, one that is kept);
@@ -212,22 +223,40 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     unique = stage_table(nodes.groupBy("node").agg(F.min(seat).alias("first"), F.first("buckets").alias("buckets")), "nodes")
     buckets = unique.select(F.explode("buckets").alias("bucket"), "node")
     # buckets of one member have nothing to compare
-    shared = stage_table(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "shared")
-    members = stage_table(buckets.join(shared, "bucket"), "members")
+    shared = stage_table(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
+    # an original shares more buckets with its copies than they with each other
+    mass = F.sum("n").over(Window.partitionBy("node"))
+    members = stage_table(buckets.join(shared, "bucket").select("bucket", "node", mass.alias("mass")), "members")
     texts = stage_table(nodes.groupBy("node").agg(F.min(body).alias("body")).join(
         members.select("node").distinct(), "node", "left_semi"), "texts")
 
-    comp = None
-    for turn in range(rounds):
-        if comp is None:
-            pairs = stars(members.withColumn("comp", F.col("node")))
-        else:
-            known = members.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-            pairs = stars(known, turn)
+    comp, tested, many = None, None, 1
+    left = members.withColumn("comp", F.col("node")).withColumn("linked", F.lit(False))
+    while True:
+        # members without links first, of these the ones with most company
+        ranked = left.withColumn("order", F.struct("linked", -F.col("mass")))
+        centre = draw(ranked, many)
+        pairs = stars(left, many, centre)
+        ends = F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")
+        if tested is not None:  # met in another bucket before
+            pairs = pairs.select("*", *ends).join(tested, ["a", "b"], "left_anti").select("centre", "node")
+        pairs = stage_table(pairs, "pairs")
+        tested = pairs.select(*ends) if tested is None else tested.unionByName(pairs.select(*ends))
         found = stage_table(confirm(pairs, texts, shingle, threshold), "links")
-        if comp is not None and not found.limit(1).count():
-            break  # all that share a bucket with a centre are connected or apart
-        comp = components(found) if comp is None else join_components(comp, found)
+        if comp is None:
+            comp = components(found)
+        elif found.limit(1).count():
+            comp = join_components(comp, found)
+        used = centre.select("bucket", F.col("centre").alias("node"))
+        left = left.select("bucket", "node", "mass").join(used, ["bucket", "node"], "left_anti").join(comp, "node", "left").select(
+            "bucket", "node", "mass", F.coalesce("comp", "node").alias("comp"), F.col("comp").isNotNull().alias("linked"))
+        # a bucket is done when its members are connected; every round retires one at least
+        busy = stage_table(left.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter(
+            "low != high").select("bucket"), "busy")
+        if not busy.limit(1).count():
+            break
+        left = stage_table(left.join(busy, "bucket", "left_semi"), "left")
+        many = min(4 * many, 1 << 30)
 
     # equal sets share a node; nodes without links are their own component
     group = unique.select("node", "first").join(comp, "node", "left").select("node", "first", F.coalesce("comp", "node").alias("comp"))

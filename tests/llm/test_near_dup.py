@@ -104,3 +104,44 @@ def test_nulls_repeats_and_clashes(spark):
     assert len(got) == 6 and all(r["kept"] for r in got)
     assert sum(r["representative"] for r in got) == 4
     assert N.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_copies_linked_through_their_original_alone(spark):
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(200)]
+    docs = [(500, " ".join(base))]
+    for i in range(1001):
+        if i != 500:
+            w = list(base)
+            for at in rng.sample(range(200), 4):
+                w[at] = word()
+            docs.append((i, " ".join(w)))
+    sets = {i: shingles(t, 5) for i, t in docs}
+    assert all(100 * len(sets[500] & s) >= 80 * len(sets[500] | s) for s in sets.values())  # brute force: one component
+    got = N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert len(got) == 1001 and {r["component_id"] for r in got} == {0}
+
+
+def test_crowded_bucket_is_exhausted(spark):
+    """Every pair of a bucket is compared, however many members link with
+    none: one band of one row puts all texts with the same smallest shingle
+    in one bucket."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    smallest = 1 << 64
+    while smallest >> 52:  # a common part that holds the smallest shingle of nearly every text
+        common = [word() for _ in range(40)]
+        smallest = int(next(N.shingle_sets([" ".join(common).encode()], 5))[0])
+    docs = []
+    for i in range(50):
+        own = [word() for _ in range(30)]
+        docs.append((2 * i, " ".join(common + own)))
+        docs.append((2 * i + 1, " ".join(common + own[:-1] + [word()])))
+    signer = N.Signer(1, 1)
+    key = [signer.keys(s)[0] for s in N.shingle_sets([t.encode() for _, t in docs], 5)]
+    together = [2 * i for i in range(50) if key[2 * i] == key[2 * i + 1]]
+    assert max(key.count(k) for k in set(key)) > 80 and len(together) > 40
+    want = {i: i for i, _ in docs} | {i + 1: i for i in together}
+    got = N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), bands=1, rows=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
