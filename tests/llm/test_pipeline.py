@@ -80,3 +80,17 @@ def test_run_on_empty_tables(spark, tmp_path):
                          ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert C.run(spark, str(tmp_path)).collect() == []
+
+
+def test_dedup_stage_keeps_one_of_many_copies(spark):
+    """A thousand copies edited independently of one original, too far from
+    each other: one document stays."""
+    base = [word() for _ in range(200)]
+    docs = [(0, " ".join(base), "en", "src0", 0)]
+    for i in range(1, 1001):
+        w = list(base)
+        for at in rng.sample(range(200), 4):
+            w[at] = f"edit{i}x{at}"
+        docs.append((i, " ".join(w), "en", f"src{i % 4}", 0))
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r["doc_id"] for r in C.deduplicate(spark, frame.repartition(4), "").collect()] == [0]
