@@ -58,7 +58,8 @@ def read_csv_banner(spark: SparkSession, paths: str | Sequence[str], skip: int =
 
     Every file has its own header.  Records are parsed by the CSV reader as
     a stream (a quoted cell may hold a newline), one task for each file; the
-    banner and the header are its first records."""
+    banner and the header are its first records, less the empty lines, which
+    the reader leaves out."""
     out = None
     for path in _files(spark, paths):
         head = [r["value"] for r in spark.read.text(path).limit(skip + 1).collect()]
@@ -68,7 +69,8 @@ def read_csv_banner(spark: SparkSession, paths: str | Sequence[str], skip: int =
         schema = StructType([StructField(n, StringType()) for n in names])
         rows = (spark.read.schema(schema).option("multiLine", True).option("header", False)
                 .option("escape", '"').option("enforceSchema", True).csv(path))
-        body = rows.withColumn("_record", F.monotonically_increasing_id()).filter(F.col("_record") > skip).drop("_record")
+        records = sum(1 for line in head if line)
+        body = rows.withColumn("_record", F.monotonically_increasing_id()).filter(F.col("_record") >= records).drop("_record")
         out = body if out is None else out.unionByName(body, allowMissingColumns=True)
     if out is None:
         raise ValueError("no input files")

@@ -28,6 +28,15 @@ def test_banner_csv(spark, tmp):
         + [("H1", "4.5"), ("H2", "2025"), ("H3", "Not enough data")])
 
 
+def test_banner_with_blank_lines(spark, tmp_path):
+    # the CSV reader leaves out an empty line and reads one of spaces as a record
+    for name, banner in (("a", "title\n\n"), ("b", "title\r\n\r\n"), ("c", "title\n  \n"), ("d", "\n\n")):
+        end = "\r\n" if name == "b" else "\n"
+        (tmp_path / f"{name}.csv").write_bytes((banner + end.join(["K,V", f"{name}1,1", "", f"{name}2,2", ""])).encode())
+    rows = sorted(tuple(r) for r in fs.read_csv_banner(spark, str(tmp_path), skip=2).collect())
+    assert rows == [(f"{n}{i}", str(i)) for n in "abcd" for i in (1, 2)]
+
+
 def test_string_csv_na_tokens_and_by_year(spark, tmp):
     p = os.path.join(tmp, "e.csv")
     with open(p, "w") as fh:
