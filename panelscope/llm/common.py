@@ -38,7 +38,18 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def drop_stages(*frames: DataFrame) -> None:
+    """Delete the files of tables made by :func:`stage_table` that nothing will
+    read again: only what has been written since may depend on them."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stage_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def utf8_bytes(text: str | Column) -> Column:
@@ -107,6 +118,26 @@ def range_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((h[end] - h[start]) * inv[start])
 
 
+def sum_arrays(df: DataFrame, parts: int = 32) -> list[int]:
+    """The sum, place by place, of the one array<bigint> column of ``df`` (an
+    empty list without rows).  Tasks add up what they read, row by row, in two
+    steps, so the driver gets one row however many there are."""
+    name = df.columns[0]
+
+    def add(batches):
+        total = None
+        for batch in batches:
+            for row in batch.column(0):
+                values = row.values.to_numpy(zero_copy_only=False)
+                total = values.astype(np.int64) if total is None else total + values
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], names=[name])
+
+    schema = f"{name} array<bigint>"
+    rows = df.repartition(parts).mapInArrow(add, schema).repartition(1).mapInArrow(add, schema).collect()
+    return list(rows[0][0]) if rows else []
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null reads as empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
@@ -125,23 +156,27 @@ def slices(texts: list[bytes], limit: int = SLICE_BYTES):
         yield first, len(texts)
 
 
+def word_edges(texts: list[bytes], lower: bool = True, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The joined bytes of a few texts, and where their words start and end."""
+    buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+    if lower:
+        buf = _LOWER[buf]
+    space = separator[buf]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edge = np.concatenate(([0], edge))
+    return buf, edge[0::2], edge[1::2]
+
+
 class Words:
     """The words of a few texts, hashed: ``hash``, ``start`` and ``end`` (bytes
     in the joined buffer) of every word, and ``offset`` (len + 1) of each text's
     first word."""
 
     def __init__(self, texts: list[bytes], lower: bool = True, separator: np.ndarray = _SPACE):
-        buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-        if lower:
-            buf = _LOWER[buf]
-        self.buf = buf
-        space = separator[buf]
-        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        if not space[0]:
-            edge = np.concatenate(([0], edge))
-        self.start, self.end = edge[0::2], edge[1::2]
-        self.prefix = prefix_hash(buf)
-        self.hash = range_hash(self.prefix, self.start, self.end) if len(edge) else np.zeros(0, U64)
+        self.buf, self.start, self.end = word_edges(texts, lower, separator)
+        self.prefix = prefix_hash(self.buf)
+        self.hash = range_hash(self.prefix, self.start, self.end) if len(self.start) else np.zeros(0, U64)
         self.text_start = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
         self.offset = np.searchsorted(self.start, self.text_start)
 

@@ -5,13 +5,11 @@ high bits choose one of ``bands * rows`` bins, the bin keeps its smallest hash,
 and an empty bin copies the bin that a per-bin sequence of hashes reaches first
 (optimal densification).  Each band of ``rows`` bins is one bucket key.
 
-Candidates are stars: every member of a bucket is paired with one centre, so a
-bucket of n members gives n - 1 pairs, never all of them.  Pairs are confirmed
-on the full shingle sets.  A used centre retires from its bucket.  Further
-rounds go over the buckets again with the links so far: members that are not
-connected get other centres, four times as many in each round, until the
-members left in every bucket are connected with each other.  So each pair that
-shares a bucket is compared or connected by links already found.
+Candidates are stars: every member of a bucket has one edge to the bucket's
+centre, so a bucket of n members gives n - 1 edges, never all pairs, and the
+buckets of one centre give each edge once.  What shares a bucket is then
+compared on the full shingle sets star by star until it is connected or
+compared (:mod:`panelscope.llm.linking`), and no pair ever becomes a row.
 
 Texts with equal shingle sets are one node (their link needs no pair).  The
 components of the confirmed links are found by label propagation with pointer
@@ -25,20 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelscope.llm.common import U64, Words, mix, slices, stage_table, texts_of
+from panelscope.llm.common import U64, drop_stages, mix, stage_table, texts_of
+from panelscope.llm.linking import link_blocks, shingle_sets, star_links
 
 BANDS, ROWS, SHINGLE, THRESHOLD = 30, 5, 5, 0.8
 
 
-def shingle_sets(texts: list[bytes], k: int):
-    """The sorted distinct shingle hashes of each text."""
-    for first, last in slices(texts):
-        values, offset = Words(texts[first:last]).shingles(k)
-        for i in range(last - first):
-            v = np.sort(values[offset[i]:offset[i + 1]])
-            yield v[np.concatenate(([True], v[1:] != v[:-1]))] if len(v) else v
-
-
 class Signer:
     """Signatures of shingle sets: ``bands`` bucket keys each."""
 
@@ -109,62 +99,6 @@ def signatures(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, band
     return own.mapInArrow(sign, f"{schema}, n_shingles long, node binary, buckets array<bigint>")
 
 
-def draw(members: DataFrame, many: int = 1) -> DataFrame:
-    """(bucket, centre, ccomp): up to ``many`` centres of each bucket of
-    ``members`` (bucket, node, comp), one at least.  The smallest ``order``
-    comes first if the members have one; all buckets rank alike, so a group of
-    copies has the same centres in all of its buckets."""
-    order = [F.col("order")] if "order" in members.columns else []
-    slot = F.pmod(F.xxhash64("node", F.lit(many)), F.lit(many)).alias("slot")
-    first = F.min(F.struct(*order, F.xxhash64("node").alias("o"), "node", "comp")).alias("c")
-    centre = members.groupBy("bucket", slot).agg(first).select(
-        "bucket", F.col("c.node").alias("centre"), F.col("c.comp").alias("ccomp"))
-    return stage_table(centre, "centres")  # the join then reads two plain shuffles and can split a hot bucket
-
-
-def stars(members: DataFrame, many: int = 1, centre: DataFrame | None = None) -> DataFrame:
-    """(centre, node) pairs: each member of a bucket (bucket, node, comp) with
-    the bucket's centres (those of :func:`draw`), if they are not connected
-    yet.  Two nodes are one pair, also where each is a centre of the other."""
-    centre = draw(members, many) if centre is None else centre
-    met = members.join(centre, "bucket").filter("comp != ccomp")
-    return met.groupBy(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).agg(
-        F.min("centre").alias("centre")).select("centre", F.when(F.col("centre") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node"))
-
-
-def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The (centre, node) pairs whose shingle sets reach the threshold:
-    100 * intersection >= 100 * threshold * union."""
-    percent = round(100 * threshold)
-    a = texts.select(F.col("node").alias("centre"), F.col("body").alias("a"))
-    b = texts.select("node", F.col("body").alias("b"))
-    # members meet their text first, then the few centres theirs
-    both = pairs.join(b, "node").join(a, "centre").select("centre", "node", "a", "b")
-
-    def verify(batches):
-        held, held_set = None, None
-        for batch in batches:
-            centres, nodes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            tb = texts_of(batch.column(3))
-            ca = batch.column(2).cast(pa.binary())
-            keep = []
-            for i, s in enumerate(shingle_sets(tb, shingle)):
-                if centres[i] != held:
-                    held = centres[i]
-                    held_set = next(shingle_sets([ca[i].as_py() or b""], shingle))
-                small, large = sorted((len(s), len(held_set)))
-                if 100 * small < percent * large:
-                    continue
-                same = len(np.intersect1d(s, held_set, assume_unique=True))
-                if 100 * same >= percent * (small + large - same):
-                    keep.append(i)
-            if keep:
-                yield pa.RecordBatch.from_arrays([pa.array([centres[i] for i in keep], pa.binary()),
-                                                  pa.array([nodes[i] for i in keep], pa.binary())], names=["centre", "node"])
-
-    return both.mapInArrow(verify, "centre binary, node binary")
-
-
 def components(links: DataFrame, name: str = "comp") -> DataFrame:
     """(node, comp) for every node of ``links`` (centre, node): ``comp`` is the
     smallest node name that its links reach.
@@ -174,6 +108,7 @@ def components(links: DataFrame, name: str = "comp") -> DataFrame:
     edges = stage_table(links.select(F.col("centre").alias("a"), F.col("node").alias("b")).unionByName(
         links.select(F.col("node").alias("a"), F.col("centre").alias("b"))).distinct(), "edges")
     labels = stage_table(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "node"), name)
+    shown = labels
     while True:
         near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
         lower = labels.join(near, labels["node"] == near["a"]).select(
@@ -182,23 +117,13 @@ def components(links: DataFrame, name: str = "comp") -> DataFrame:
         after = stage_table(lower.join(jump, lower["comp"] == jump["j"], "left").select(
             "node", "old", F.least("comp", F.coalesce("jcomp", "comp")).alias("comp")), name)
         moved = after.filter("old != comp").limit(1).count()
-        labels = after.select("node", "comp")
+        drop_stages(shown)
+        shown, labels = after, after.select("node", "comp")
         if not moved:
+            drop_stages(edges)
             return labels
 
 
-def join_components(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """``comp`` after more ``links``: only the components that the links join
-    are labelled again."""
-    label = comp.select(F.col("node").alias("n"), F.col("comp").alias("c"))
-    ends = links.join(label, links["centre"] == label["n"], "left").select(F.coalesce("c", "centre").alias("centre"), "node")
-    ends = ends.join(label, ends["node"] == label["n"], "left").select("centre", F.coalesce("c", "node").alias("node"))
-    joined = components(ends).withColumnsRenamed({"node": "n", "comp": "c"})
-    fresh = links.select("node").unionByName(links.select(F.col("centre").alias("node"))).distinct().join(comp, "node", "left_anti")
-    every = comp.unionByName(fresh.withColumn("comp", F.col("node")))
-    return stage_table(every.join(joined, every["comp"] == joined["n"], "left").select("node", F.coalesce("c", "comp").alias("comp")), "comp")
-
-
 def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` (smallest key that the
@@ -207,12 +132,12 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     columns of these names are replaced.
 
     A null text, an empty one and one without words have no shingles and are
-    linked with nothing; a text of fewer words than a shingle is one shingle.
-    A null key is larger than every other; a row with a null key and no links
-    has a null component and is kept.  Rows that repeat a key and text are
-    links of each other and share its verdict, but one of them represents
-    them; every row without shingles represents itself.  An empty table gives
-    an empty result."""
+    linked with nothing; a text of fewer words than a shingle is one shingle;
+    a very long text is one set like any other, whole.  A null key is larger
+    than every other; a row with a null key and no links has a null component
+    and is kept.  Rows that repeat a key and text are links of each other and
+    share its verdict, but one of them represents them; every row without
+    shingles represents itself.  An empty table gives an empty result."""
     names = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept", "representative")]
     body, own_key = f"c{names.index(text)}", f"c{names.index(key)}"
     signed = stage_table(signatures(docs.select(*names), text, shingle, bands, rows).withColumn(
@@ -220,43 +145,19 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     nodes = signed.filter("node is not null")
     # copies meet before the shuffle: a group of them leaves each task as one row
     seat = F.struct(F.col(own_key).isNull().alias("none"), F.col(own_key).alias("id"), "seat")
-    unique = stage_table(nodes.groupBy("node").agg(F.min(seat).alias("first"), F.first("buckets").alias("buckets")), "nodes")
-    buckets = unique.select(F.explode("buckets").alias("bucket"), "node")
-    # buckets of one member have nothing to compare
-    shared = stage_table(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
+    unique = stage_table(nodes.groupBy("node").agg(F.min(seat).alias("first"), F.first("buckets").alias("buckets"),
+                                                   F.first("n_shingles").alias("n")), "nodes")
+    # a bucket of one member has nothing to compare
+    buckets = stage_table(unique.select(F.explode("buckets").alias("block"), "node", "n"), "buckets")
+    shared = stage_table(buckets.groupBy("block").agg(F.count("*").alias("many")).filter("many > 1"), "shared")
     # an original shares more buckets with its copies than they with each other
-    mass = F.sum("n").over(Window.partitionBy("node"))
-    members = stage_table(buckets.join(shared, "bucket").select("bucket", "node", mass.alias("mass")), "members")
+    mass = F.sum("many").over(Window.partitionBy("node"))
+    members = stage_table(buckets.join(shared, "block").select("block", "node", "n", (-mass).alias("order")), "members")
     texts = stage_table(nodes.groupBy("node").agg(F.min(body).alias("body")).join(
         members.select("node").distinct(), "node", "left_semi"), "texts")
-
-    comp, tested, many = None, None, 1
-    left = members.withColumn("comp", F.col("node")).withColumn("linked", F.lit(False))
-    while True:
-        # members without links first, of these the ones with most company
-        ranked = left.withColumn("order", F.struct("linked", -F.col("mass")))
-        centre = draw(ranked, many)
-        pairs = stars(left, many, centre)
-        ends = F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")
-        if tested is not None:  # met in another bucket before
-            pairs = pairs.select("*", *ends).join(tested, ["a", "b"], "left_anti").select("centre", "node")
-        pairs = stage_table(pairs, "pairs")
-        tested = pairs.select(*ends) if tested is None else tested.unionByName(pairs.select(*ends))
-        found = stage_table(confirm(pairs, texts, shingle, threshold), "links")
-        if comp is None:
-            comp = components(found)
-        elif found.limit(1).count():
-            comp = join_components(comp, found)
-        used = centre.select("bucket", F.col("centre").alias("node"))
-        left = left.select("bucket", "node", "mass").join(used, ["bucket", "node"], "left_anti").join(comp, "node", "left").select(
-            "bucket", "node", "mass", F.coalesce("comp", "node").alias("comp"), F.col("comp").isNotNull().alias("linked"))
-        # a bucket is done when its members are connected; every round retires one at least
-        busy = stage_table(left.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter(
-            "low != high").select("bucket"), "busy")
-        if not busy.limit(1).count():
-            break
-        left = stage_table(left.join(busy, "bucket", "left_semi"), "left")
-        many = min(4 * many, 1 << 30)
+    links = link_blocks(members, texts, shingle, round(100 * threshold), star_links)
+    comp = components(links)
+    drop_stages(buckets, shared, members, texts)
 
     # equal sets share a node; nodes without links are their own component
     group = unique.select("node", "first").join(comp, "node", "left").select("node", "first", F.coalesce("comp", "node").alias("comp"))

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from panelscope.llm import linking as L
 from panelscope.llm import near_dup as N
 
 
@@ -71,9 +72,34 @@ def test_recall_on_pairs_at_the_threshold(spark):
     assert found >= 149
 
 
-def test_star_bounds_the_pairs(spark):
-    members = spark.createDataFrame([(1, bytes([i]), bytes([i])) for i in range(100)], "bucket long, node binary, comp binary")
-    assert N.stars(members).count() == N.stars(members, 1).count() == 99
+def test_star_bounds_the_edges(spark):
+    members = spark.createDataFrame([(b, bytes([i]), 1) for b in range(5) for i in range(100)], "block long, node binary, n int")
+    edges = L.centre_groups(members).collect()
+    assert len(edges) == 100 and len({bytes(r["centre"]) for r in edges}) == 1
+
+
+def test_split_groups_lose_no_link(spark):
+    """Groups cut at 3 members go through the difference blocks; the result is
+    that of whole groups."""
+    rng = random.Random(77)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    docs = []
+    for _ in range(4):
+        base = [word() for _ in range(120)]
+        for _ in range(30):
+            w = list(base)
+            for _ in range(rng.randint(0, 7)):
+                at = rng.randrange(len(w))
+                w[at:at + 1] = rng.choice([[], [word()], [w[at], word()], []])
+            docs.append((len(docs), " ".join(w)))
+    want = brute(docs, 4)
+    sets = list(L.shingle_sets([t.encode() for _, t in docs], 4))
+    texts = spark.createDataFrame([(i, t) for i, t in docs], "node long, body string")
+    members = spark.createDataFrame([(i // 30, i, len(sets[i])) for i, _ in docs], "block long, node long, n long")
+    for many in (3, 20):
+        links = L.link_blocks(members, texts, 4, 80, group_members=many)
+        comp = {r["node"]: r["comp"] for r in N.components(links).collect()}
+        assert {i: comp.get(i, i) for i, _ in docs} == {i: c for i, (_, c) in want.items()}, many
 
 
 def test_path_of_links(spark):
@@ -132,14 +158,14 @@ def test_crowded_bucket_is_exhausted(spark):
     smallest = 1 << 64
     while smallest >> 52:  # a common part that holds the smallest shingle of nearly every text
         common = [word() for _ in range(40)]
-        smallest = int(next(N.shingle_sets([" ".join(common).encode()], 5))[0])
+        smallest = int(next(L.shingle_sets([" ".join(common).encode()], 5))[0])
     docs = []
     for i in range(50):
         own = [word() for _ in range(30)]
         docs.append((2 * i, " ".join(common + own)))
         docs.append((2 * i + 1, " ".join(common + own[:-1] + [word()])))
     signer = N.Signer(1, 1)
-    key = [signer.keys(s)[0] for s in N.shingle_sets([t.encode() for _, t in docs], 5)]
+    key = [signer.keys(s)[0] for s in L.shingle_sets([t.encode() for _, t in docs], 5)]
     together = [2 * i for i in range(50) if key[2 * i] == key[2 * i + 1]]
     assert max(key.count(k) for k in set(key)) > 80 and len(together) > 40
     want = {i: i for i, _ in docs} | {i + 1: i for i in together}
