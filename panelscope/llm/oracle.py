@@ -143,3 +143,65 @@ SELECT d.doc_id, d.n AS n_bytes, coalesce((SELECT sum(b - a) FROM spans s WHERE
        (SELECT count(*) FROM spans s WHERE s.rid = d.rid) AS n_spans, sha256(unhex(kept.k)) AS kept_sha256
 FROM d JOIN kept ON kept.rid = d.rid
 """
+
+OP12_SQL = OP8_SQL.replace("len(w) < 4", "len(w) < 5").replace("range(1, len(w) - 2)", "range(1, len(w) - 3)").replace(
+    "|| ' ' || w[i + 3])", "|| ' ' || w[i + 3] || ' ' || w[i + 4])").replace(", n.doc_id = min(r.b) AS kept", "")
+
+# CRC-32 of the distinct features byte by byte, from a table of 256 values
+OP11_SQL = r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(0, 256), lambda v: list_reduce(list_prepend(v, range(0, 8)),
+    lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, * FROM (
+    SELECT doc_id, true AS raw, text FROM documents UNION ALL SELECT NULL, false, text FROM benchmark)),
+w AS MATERIALIZED (
+  SELECT rid, doc_id, raw, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+f AS MATERIALIZED (
+  SELECT rid, raw, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM w),
+b AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, strlen(f)), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda a, v: xor(a >> 8, t[1 + (xor(a, v) & 255)])), 4294967295) % 10000 AS b
+  FROM (SELECT DISTINCT f, hex(encode(f)) AS h FROM f), crc),
+fb AS MATERIALIZED (SELECT f.rid, f.raw, b.b FROM f JOIN b ON f.f = b.f),
+n AS (SELECT b, count(*) FILTER (raw) AS s, count(*) FILTER (NOT raw) AS t FROM fb GROUP BY b),
+total AS (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM n),
+gain AS (SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS g FROM n, total),
+weight AS (SELECT rid, count(*) AS n_features, sum(g)::BIGINT AS weight FROM fb JOIN gain ON fb.b = gain.b WHERE raw GROUP BY rid),
+scored AS (
+  SELECT doc_id, len(w.w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                          / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN weight ON w.rid = weight.rid WHERE w.raw),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS r,
+    5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= drawn THEN r END AS rank FROM placed
+"""
+
+_OP13_ASSIGN = """
+d{r} AS (
+  SELECT rid, j, (list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c))::BIGINT AS d FROM v, c{r}),
+a{r} AS MATERIALIZED (SELECT rid, min(d) AS d, arg_min(j, (d, j)) AS j FROM d{r} GROUP BY rid)"""
+
+_OP13_MOVE = """
+m{n} AS (
+  SELECT j, i, floor(sum(y) / count(*)) AS y FROM (
+    SELECT a.j, unnest(v.x) AS y, unnest(range(1, 65)) AS i FROM a{r} a JOIN v ON a.rid = v.rid) GROUP BY j, i),
+c{n} AS MATERIALIZED (
+  SELECT c.j, coalesce(m.c, c.c) AS c FROM c{r} c LEFT JOIN (SELECT j, list(y ORDER BY i) AS c FROM m{n} GROUP BY j) m ON c.j = m.j)"""
+
+OP13_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h, x) - 1)::INTEGER AS j, x AS c
+  FROM (SELECT x, sha256('1:' || coalesce(vec_id::VARCHAR, 'null')) AS h FROM v ORDER BY h, x LIMIT 16)),
+""" + ",".join(_OP13_ASSIGN.format(r=r) + ("," + _OP13_MOVE.format(r=r, n=r + 1) if r < 3 else "") for r in range(4)) + """
+SELECT v.vec_id, a.j AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.j))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(c.c, lambda y: y::BIGINT), ',')) AS centroid_sha256
+FROM a3 a JOIN v ON a.rid = v.rid JOIN c3 c ON c.j = a.j
+"""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelscope.llm import chat, decontaminate, mixing, near_dup, pii, quality, sharding, suffix_dedup, toxicity, warc
-from panelscope.llm.oracle import OP1_SQL, OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP10_SQL
+from panelscope.llm import (centroids, chat, decontaminate, jaccard_join, mixing, near_dup, pii, quality, resampling, sharding,
+                            suffix_dedup, toxicity, warc)
+from panelscope.llm.oracle import OP1_SQL, OP2_SQL, OP3_SQL, OP7_SQL, OP8_SQL, OP10_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -109,3 +110,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of all pages, written to archives and read back."""
     records = warc.archive_pages(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_importance_resampling", OP11_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the benchmark."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
+@query("op12_ngram_jaccard_join", OP12_SQL)
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under the exact join on 5-word shingles."""
+    docs = jaccard_join.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op13_centroid_clustering", OP13_SQL)
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every whole vector after three rounds."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
