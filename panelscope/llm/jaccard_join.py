@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelscope.llm.common import U64, drop_stages, mix, stage_table, sum_arrays, texts_of
+from panelscope.llm.common import U64, mix, stage_table, sum_arrays, texts_of
 from panelscope.llm.linking import Sets, by_group, link_blocks, shingle_sets
 from panelscope.llm.near_dup import components
 
@@ -128,7 +128,7 @@ def leave_strangers_out(groups: DataFrame, points: DataFrame, percent: int) -> D
 
     def work(centre, columns):
         nodes, n, counts = columns
-        tree = CountTree(np.array([np.frombuffer(c, dtype=np.int32) for c in counts]), percent)
+        tree = CountTree(np.array([unpack(c) for c in counts]), percent)
         met = np.zeros(len(nodes), dtype=bool)
         for q, point in tree.search_all():
             met[q[point != q]] = True
@@ -152,31 +152,57 @@ def shingle_cells(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
     return np.array(total or [0] * CELLS)
 
 
-def signed_sets(docs: DataFrame, text: str, shingle: int, percent: int) -> DataFrame:
-    """The columns of ``docs`` as ``c0``, ``c1``, ... with ``n_shingles``,
-    ``name`` (names the set; null if it is empty), ``counts`` (its point) and
-    ``prefix`` (its first shingles in the order of rarity)."""
+def set_name(shingles: np.ndarray) -> bytes | None:
+    """128 bits that name a set; none for an empty one."""
+    sums = np.array([mix(shingles).sum(dtype=U64), mix(shingles ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64)])
+    return mix(sums + U64(len(shingles))).tobytes() if len(shingles) else None
+
+
+def named(docs: DataFrame, text: str, shingle: int) -> DataFrame:
+    """``docs`` with ``n_shingles`` and ``name``, that of the row's set."""
     at = docs.columns.index(text)
-    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def sign(batches):
+        for batch in batches:
+            sets = [(len(s), set_name(s)) for s in shingle_sets(texts_of(batch.column(at)), shingle)]
+            n, names = zip(*sets) if sets else ((), ())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), pa.array(names, pa.binary())],
+                                             names=[*batch.schema.names, "n_shingles", "name"])
+
+    return docs.mapInArrow(sign, f"{schema}, n_shingles long, name binary")
+
+
+def pack(counts: np.ndarray) -> bytes:
+    """A point as one byte a coordinate, or four where one is 256 or more."""
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()
+
+
+def unpack(point: bytes) -> np.ndarray:
+    return np.frombuffer(point, dtype=np.uint8 if len(point) == GROUPS else np.int32).astype(np.int32)
+
+
+def points_and_prefixes(docs: DataFrame, text: str, key: str, shingle: int, percent: int) -> DataFrame:
+    """(name, k, n, counts, prefix) of every row with a set: its key, size,
+    packed point, and first shingles in the order of rarity."""
     rank = np.argsort(np.argsort(shingle_cells(docs, text, shingle), kind="stable"), kind="stable").astype(np.uint32)
+    kind = docs.schema[key].dataType.simpleString()
 
     def sign(batches):
         for batch in batches:
-            n, names, counts, prefixes = [], [], [], []
-            for s in shingle_sets(texts_of(batch.column(at)), shingle):
-                n.append(len(s))
-                first = len(s) + percent * -len(s) // 100 + 1 if len(s) else 0  # n - ceil(t n) + 1
-                rarest = s[np.lexsort((s, rank[(s >> U64(50)).astype(np.int64)]))[:first]]
-                prefixes.append(rarest.view(np.int64))
-                sums = np.array([mix(s).sum(dtype=U64), mix(s ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64)])
-                names.append(mix(sums + U64(len(s))).tobytes() if len(s) else None)
-                counts.append(group_counts(s).tobytes() if len(s) else None)
+            rows, out = [], []
+            for i, s in enumerate(shingle_sets(texts_of(batch.column(0)), shingle)):
+                if len(s):
+                    first = len(s) + percent * -len(s) // 100 + 1  # n - ceil(t n) + 1
+                    rarest = s[np.lexsort((s, rank[(s >> U64(50)).astype(np.int64)]))[:first]]
+                    rows.append(i)
+                    out.append((set_name(s), len(s), pack(group_counts(s)), rarest.view(np.int64)))
+            names, n, counts, prefixes = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(counts, pa.binary()),
-                 pa.array(prefixes, pa.list_(pa.int64()))], names=[*batch.schema.names, "n_shingles", "name", "counts", "prefix"])
+                [pa.array(names, pa.binary()), batch.column(1).take(pa.array(rows, pa.int64())), pa.array(n, pa.int64()),
+                 pa.array(counts, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], names=["name", "k", "n", "counts", "prefix"])
 
-    return own.mapInArrow(sign, f"{schema}, n_shingles long, name binary, counts binary, prefix array<bigint>")
+    return docs.select(text, key).toDF("t", "k").mapInArrow(sign, f"name binary, k {kind}, n long, counts binary, prefix array<bigint>")
 
 
 def jaccard_join(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
@@ -194,25 +220,26 @@ def jaccard_join(docs: DataFrame, *, text: str = "text", key: str = "doc_id", sh
     percent = round(100 * threshold)
     names = [c for c in docs.columns if c not in ("n_shingles", "component_id")]
     body, own_key = f"c{names.index(text)}", f"c{names.index(key)}"
-    signed = stage_table(signed_sets(docs.select(*names), text, shingle, percent), "sets")
+    docs = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
     # copies meet before the shuffle; a short number names each set from here on
-    least = F.min(F.struct(F.col(own_key).isNull().alias("none"), F.col(own_key).alias("id"))).alias("least")
-    unique = stage_table(signed.filter("name is not null").groupBy("name").agg(
-        least, F.first("n_shingles").alias("n"), F.first(F.struct("counts", "prefix")).alias("s")).select(
+    least = F.min(F.struct(F.col("k").isNull().alias("none"), F.col("k").alias("id"))).alias("least")
+    unique = stage_table(points_and_prefixes(docs, body, own_key, shingle, percent).groupBy("name").agg(
+        least, F.first("n").alias("n"), F.first(F.struct("counts", "prefix")).alias("s")).select(
         "name", "least", "n", "s.*").withColumn("node", F.monotonically_increasing_id()), "unique")
-    members = unique.select(F.explode("prefix").alias("block"), "node", "n")
     points = unique.select("node", "counts")
-    alike = stage_table(members.join(members.groupBy("block").agg(F.count("*").alias("many")).filter("many > 1"), "block", "left_semi"), "alike")
-    bodies = signed.filter("name is not null").groupBy("name").agg(F.min(body).alias("body"))
-    shared = unique.join(alike.select("node").distinct(), "node", "left_semi").select("node", "name")
-    texts = stage_table(shared.join(bodies, "name").select("node", "body"), "texts")
-    links = link_blocks(alike, texts, shingle, percent, tree_links, thin=lambda g: leave_strangers_out(g, points, percent))
+
+    def texts(nodes):
+        some = unique.select("node", "name").join(nodes, "node", "left_semi")
+        bodies = named(docs.select(body), body, shingle).filter("name is not null").groupBy("name").agg(F.min(body).alias("body"))
+        return some.join(bodies, "name").select("node", "body")
+
+    links = link_blocks(unique.select(F.explode("prefix").alias("block"), "node", "n"), texts, shingle, percent, tree_links,
+                        thin=lambda groups: leave_strangers_out(groups, points, percent))
     comp = components(links)
-    drop_stages(alike, texts)
 
     group = unique.select("node", "name", "least").join(comp, "node", "left").select("name", "least", F.coalesce("comp", "node").alias("comp"))
     lowest = group.groupBy("comp").agg(F.min("least").alias("lowest"))
     place = group.join(lowest, "comp").select("name", "lowest")
-    out = signed.drop("counts", "prefix").join(place, "name", "left")
+    out = named(docs, body, shingle).join(place, "name", "left")
     component = F.when(F.col("name").isNull(), F.col(own_key)).otherwise(F.col("lowest.id"))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "n_shingles", component.alias("component_id"))

@@ -96,12 +96,16 @@ def star_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]
 
 def centre_groups(members: DataFrame) -> DataFrame:
     """(centre, node, n): the members (block, node, n and perhaps order) of
-    blocks of two or more, with their block's centre.  The member of smallest
-    order, then hash, is centre, so the blocks of like members name the same."""
-    order = [F.col("order")] if "order" in members.columns else []
-    first = F.min(F.struct(*order, F.xxhash64("node").alias("o"), "node")).alias("c")
-    centre = members.groupBy("block").agg(F.count("*").alias("many"), first).filter("many > 1").select("block", F.col("c.node").alias("centre"))
-    return members.join(centre, "block").groupBy("centre", "node").agg(F.first("n").alias("n"))
+    blocks of two or more, with their block's centre: the smallest node, or
+    that of smallest order, then hash, so the blocks of like members name the
+    same."""
+    if "order" in members.columns:
+        first = F.min(F.struct("order", F.xxhash64("node").alias("o"), "node"))
+        centre = members.groupBy("block").agg(F.count("*").alias("many"), first.alias("c")).select("block", "many", F.col("c.node").alias("centre"))
+    else:
+        centre = members.groupBy("block").agg(F.count("*").alias("many"), F.min("node").alias("centre"))
+    shared = centre.filter("many > 1").select("block", "centre")
+    return members.join(shared, "block").groupBy("centre", "node").agg(F.first("n").alias("n"))
 
 
 def by_group(rows: DataFrame, work: Callable, schema: str) -> DataFrame:
@@ -219,14 +223,15 @@ def difference_blocks(apart: DataFrame, percent: int) -> DataFrame:
     return every.select("block", "node", "n").join(open_, "block", "left_semi")
 
 
-def link_blocks(members: DataFrame, texts: DataFrame, shingle: int, percent: int, links_of: Callable = star_links,
+def link_blocks(members: DataFrame, texts: DataFrame | Callable[[DataFrame], DataFrame], shingle: int, percent: int, links_of: Callable = star_links,
                 group_members: int = GROUP_MEMBERS, group_elements: int = GROUP_ELEMENTS,
                 thin: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(centre, node) links whose chains join the same sets as all links inside
     the blocks of ``members`` (block, node, n).  ``texts`` (node, body) has the
-    text of every member; ``thin`` may leave out (centre, node) edges of members
-    that can be linked with nobody in their group."""
-    links, stages, empty = None, [], False
+    text of every member, or gives those of some nodes; ``thin`` may leave out
+    (centre, node) edges of members that can be linked with nobody in their
+    group."""
+    links, stages, empty, bodies = None, [], False, None if callable(texts) else texts
     while not empty:
         groups = stage_table(centre_groups(members), "groups")
         size = groups.groupBy("centre").agg(F.count("*").alias("many"), F.sum("n").alias("elements"))
@@ -237,9 +242,13 @@ def link_blocks(members: DataFrame, texts: DataFrame, shingle: int, percent: int
         if thin is not None:
             bounded = stage_table(thin(bounded), "thinned")
             stages.append(bounded)
-        found = settle(bounded, texts, shingle, percent, links_of)
+        split = groups.join(hot, "centre", "left_semi") if large else groups.limit(0)
+        if bodies is None:  # further rounds are about nodes of the groups split here
+            bodies = stage_table(texts(bounded.select("node").unionByName(split.select("node")).distinct()), "texts")
+            stages.append(bodies)
+        found = settle(bounded, bodies, shingle, percent, links_of)
         if large:
-            apart = stage_table(compare_with_centre(groups.join(hot, "centre", "left_semi"), texts, shingle, percent), "apart")
+            apart = stage_table(compare_with_centre(split, bodies, shingle, percent), "apart")
             found = found.unionByName(apart.filter("linked").select("centre", "node"))
             members = stage_table(difference_blocks(apart, percent), "members")
             stages += [apart, members]
