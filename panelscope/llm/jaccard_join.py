@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelscope.llm.common import U64, mix, stage_table, sum_arrays, texts_of
+from panelscope.llm.common import U64, drop_stages, mix, stage_table, sum_arrays, texts_of
 from panelscope.llm.linking import Sets, by_group, link_blocks, shingle_sets
 from panelscope.llm.near_dup import components
 
@@ -124,7 +124,7 @@ def tree_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]
 def leave_strangers_out(groups: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """The (centre, node, n) edges whose node finds another in its group."""
     kind = points.schema["node"].dataType.simpleString()
-    rows = groups.join(points, "node").select("centre", "node", "n", "counts")
+    rows = groups.drop("n").join(points, "node").select("centre", "node", "n", "counts")
 
     def work(centre, columns):
         nodes, n, counts = columns
@@ -182,9 +182,87 @@ def unpack(point: bytes) -> np.ndarray:
     return np.frombuffer(point, dtype=np.uint8 if len(point) == GROUPS else np.int32).astype(np.int32)
 
 
+def pack_tokens(tokens: np.ndarray) -> bytes:
+    """The top six bytes of each token; two that share them share a block."""
+    return np.ascontiguousarray((tokens >> U64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpack_tokens(packed: list[bytes]) -> np.ndarray:
+    wide = np.zeros((sum(map(len, packed)) // 6, 8), dtype=np.uint8)
+    wide[:, :6] = np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel().astype(np.int64)
+
+
+def meeting_tokens(unique: DataFrame) -> DataFrame:
+    """(block, node) for the prefix tokens that two sets or more of ``unique``
+    (node, prefix) have, most of them having one.
+
+    Tasks deal packed tokens by range.  A receiving task lets a token's first
+    owner go when the second comes and every other at once, so it holds each of
+    its tokens once, however many sets have it."""
+    parts = int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * parts
+
+    def deal(batches):
+        for batch in batches:
+            every, packed = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            cuts = [0, *np.flatnonzero(np.abs(np.diff(every)) > 1 << 20) + 1, len(every)]
+            rows = []
+            for first, last in zip(cuts[:-1], cuts[1:]):
+                if first == last:
+                    continue
+                node, base = every[first:last], every[first:last].min()
+                small = np.uint16 if node.max() - base < 1 << 16 else np.int64
+                token = unpack_tokens(packed[first:last])
+                owner = np.repeat((node - base).astype(small), [len(p) // 6 for p in packed[first:last]])
+                order = np.argsort(token)
+                token, owner = token[order], owner[order]
+                ends = np.searchsorted(token, [(b << 48) // buckets for b in range(buckets + 1)])
+                six = np.frombuffer(pack_tokens(token.astype(U64) << U64(16)), dtype=np.uint8).reshape(-1, 6)
+                rows += [(b, int(base), six[x:y].tobytes(), owner[x:y].tobytes())
+                         for b, (x, y) in enumerate(zip(ends[:-1], ends[1:])) if x < y]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                                                 names=["bucket", "base", "tokens", "owners"])
+
+    def meet(batches):
+        seen = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)  # token, first owner, let go
+
+        def sort_out(seen, fresh):
+            token = np.concatenate([seen[0], *(t for t, _ in fresh)])
+            node = np.concatenate([seen[1], *(n for _, n in fresh)])
+            gone = np.concatenate([seen[2], np.zeros(len(token) - len(seen[0]), bool)])
+            order = np.argsort(token, kind="stable")  # what was seen before leads
+            token, node, gone = token[order], node[order], gone[order]
+            lead = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+            many = np.diff(np.append(lead, len(token)))
+            go = np.repeat(many > 1, many) & ~gone
+            return (token[lead], node[lead], gone[lead] | (many > 1)), token[go], node[go]
+
+        def out(token, node):
+            return pa.RecordBatch.from_arrays([pa.array(token), pa.array(node)], names=["block", "node"])
+
+        fresh, size = [], 0
+        for batch in batches:
+            for base, tokens, owners in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                token = unpack_tokens([tokens])
+                owner = np.frombuffer(owners, dtype=np.uint16 if len(owners) == 2 * len(token) else np.int64)
+                fresh.append((token, owner.astype(np.int64) + base))
+                size += len(token)
+            if size > max(1 << 20, len(seen[0])):
+                seen, token, node = sort_out(seen, fresh)
+                fresh, size = [], 0
+                yield out(token, node)
+        if fresh:
+            yield out(*sort_out(seen, fresh)[1:])
+
+    dealt = unique.select("node", "prefix").mapInArrow(deal, "bucket int, base long, tokens binary, owners binary")
+    return dealt.repartition(parts, "bucket").mapInArrow(meet, "block long, node long")
+
+
 def points_and_prefixes(docs: DataFrame, text: str, key: str, shingle: int, percent: int) -> DataFrame:
     """(name, k, n, counts, prefix) of every row with a set: its key, size,
-    packed point, and first shingles in the order of rarity."""
+    packed point, and first shingles in the order of rarity, packed."""
     rank = np.argsort(np.argsort(shingle_cells(docs, text, shingle), kind="stable"), kind="stable").astype(np.uint32)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -196,13 +274,13 @@ def points_and_prefixes(docs: DataFrame, text: str, key: str, shingle: int, perc
                     first = len(s) + percent * -len(s) // 100 + 1  # n - ceil(t n) + 1
                     rarest = s[np.lexsort((s, rank[(s >> U64(50)).astype(np.int64)]))[:first]]
                     rows.append(i)
-                    out.append((set_name(s), len(s), pack(group_counts(s)), rarest.view(np.int64)))
+                    out.append((set_name(s), len(s), pack(group_counts(s)), pack_tokens(rarest)))
             names, n, counts, prefixes = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.binary()), batch.column(1).take(pa.array(rows, pa.int64())), pa.array(n, pa.int64()),
-                 pa.array(counts, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], names=["name", "k", "n", "counts", "prefix"])
+                 pa.array(counts, pa.binary()), pa.array(prefixes, pa.binary())], names=["name", "k", "n", "counts", "prefix"])
 
-    return docs.select(text, key).toDF("t", "k").mapInArrow(sign, f"name binary, k {kind}, n long, counts binary, prefix array<bigint>")
+    return docs.select(text, key).toDF("t", "k").mapInArrow(sign, f"name binary, k {kind}, n long, counts binary, prefix binary")
 
 
 def jaccard_join(docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
@@ -226,16 +304,18 @@ def jaccard_join(docs: DataFrame, *, text: str = "text", key: str = "doc_id", sh
     unique = stage_table(points_and_prefixes(docs, body, own_key, shingle, percent).groupBy("name").agg(
         least, F.first("n").alias("n"), F.first(F.struct("counts", "prefix")).alias("s")).select(
         "name", "least", "n", "s.*").withColumn("node", F.monotonically_increasing_id()), "unique")
-    points = unique.select("node", "counts")
+    points = unique.select("node", "n", "counts")
 
     def texts(nodes):
         some = unique.select("node", "name").join(nodes, "node", "left_semi")
         bodies = named(docs.select(body), body, shingle).filter("name is not null").groupBy("name").agg(F.min(body).alias("body"))
         return some.join(bodies, "name").select("node", "body")
 
-    links = link_blocks(unique.select(F.explode("prefix").alias("block"), "node", "n"), texts, shingle, percent, tree_links,
+    members = stage_table(meeting_tokens(unique), "members")
+    links = link_blocks(members, texts, shingle, percent, tree_links, sizes=unique.select("node", "n"),
                         thin=lambda groups: leave_strangers_out(groups, points, percent))
     comp = components(links)
+    drop_stages(members)
 
     group = unique.select("node", "name", "least").join(comp, "node", "left").select("name", "least", F.coalesce("comp", "node").alias("comp"))
     lowest = group.groupBy("comp").agg(F.min("least").alias("lowest"))

@@ -94,8 +94,9 @@ def star_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]
         yield from group.connect(i, rest)
 
 
-def centre_groups(members: DataFrame) -> DataFrame:
-    """(centre, node, n): the members (block, node, n and perhaps order) of
+def centre_groups(members: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """(centre, node, n): the members (block, node, n and perhaps order; n may
+    come from ``sizes`` (node, n)) of
     blocks of two or more, with their block's centre: the smallest node, or
     that of smallest order, then hash, so the blocks of like members name the
     same."""
@@ -105,7 +106,10 @@ def centre_groups(members: DataFrame) -> DataFrame:
     else:
         centre = members.groupBy("block").agg(F.count("*").alias("many"), F.min("node").alias("centre"))
     shared = centre.filter("many > 1").select("block", "centre")
-    return members.join(shared, "block").groupBy("centre", "node").agg(F.first("n").alias("n"))
+    edges = members.join(shared, "block")
+    if sizes is not None:
+        return edges.select("centre", "node").distinct().join(sizes, "node").select("centre", "node", "n")
+    return edges.groupBy("centre", "node").agg(F.first("n").alias("n"))
 
 
 def by_group(rows: DataFrame, work: Callable, schema: str) -> DataFrame:
@@ -225,7 +229,7 @@ def difference_blocks(apart: DataFrame, percent: int) -> DataFrame:
 
 def link_blocks(members: DataFrame, texts: DataFrame | Callable[[DataFrame], DataFrame], shingle: int, percent: int, links_of: Callable = star_links,
                 group_members: int = GROUP_MEMBERS, group_elements: int = GROUP_ELEMENTS,
-                thin: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                thin: Callable[[DataFrame], DataFrame] | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """(centre, node) links whose chains join the same sets as all links inside
     the blocks of ``members`` (block, node, n).  ``texts`` (node, body) has the
     text of every member, or gives those of some nodes; ``thin`` may leave out
@@ -233,7 +237,7 @@ def link_blocks(members: DataFrame, texts: DataFrame | Callable[[DataFrame], Dat
     group."""
     links, stages, empty, bodies = None, [], False, None if callable(texts) else texts
     while not empty:
-        groups = stage_table(centre_groups(members), "groups")
+        groups = stage_table(centre_groups(members, sizes), "groups")
         size = groups.groupBy("centre").agg(F.count("*").alias("many"), F.sum("n").alias("elements"))
         hot = stage_table(size.filter((F.col("many") > group_members) | (F.col("elements") > group_elements)).select("centre"), "hot")
         stages += [groups, hot]
@@ -252,7 +256,7 @@ def link_blocks(members: DataFrame, texts: DataFrame | Callable[[DataFrame], Dat
             found = found.unionByName(apart.filter("linked").select("centre", "node"))
             members = stage_table(difference_blocks(apart, percent), "members")
             stages += [apart, members]
-            empty = members.limit(1).count() == 0
+            sizes, empty = None, members.limit(1).count() == 0
         found = stage_table(found, "links")
         links = found if links is None else links.unionByName(found)
         empty = empty or not large
