@@ -19,7 +19,7 @@ CTE = {}
 
 CTE["facts"] = """
 facts AS (
-  SELECT l_suppkey AS entity_id, year(o_orderdate)::INTEGER AS period, lpad(o_custkey::VARCHAR, 10, '0') AS unit_code,
+  SELECT l_suppkey AS entity_id, year(o_orderdate)::INTEGER AS period, lpad(o_custkey::VARCHAR, 19, '0') AS unit_code,
          l_quantity AS qty, l_returnflag AS flag
   FROM orders, lineitem WHERE o_orderkey = l_orderkey
 )"""
@@ -55,7 +55,7 @@ ratings AS (
 
 CTE["rates"] = """
 rates AS (
-  SELECT year(o_orderdate)::INTEGER AS period, lpad(o_custkey::VARCHAR, 10, '0') AS unit_code,
+  SELECT year(o_orderdate)::INTEGER AS period, lpad(o_custkey::VARCHAR, 19, '0') AS unit_code,
          100::DOUBLE * count(*) FILTER (o_orderstatus <> 'P' AND o_orderpriority = '1-URGENT')
            / nullif(count(*) FILTER (o_orderstatus <> 'P'), 0) AS rate
   FROM orders GROUP BY 1, 2
@@ -80,7 +80,7 @@ rate_exposure AS (
 CTE["unit_codes"] = """
 unit_codes AS (
   SELECT *, (code > 3)::INTEGER AS code_flag
-  FROM (SELECT lpad(c_custkey::VARCHAR, 10, '0') AS unit_code, c_nationkey::VARCHAR AS state,
+  FROM (SELECT lpad(c_custkey::VARCHAR, 19, '0') AS unit_code, c_nationkey::VARCHAR AS state,
                translate(c_name, 'uo#', 'üö°') AS unit_name,
                CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 1250) + 1 END::INTEGER AS code,
                nullif((SELECT count(*) FROM orders WHERE o_custkey = c_custkey), 0) AS population
@@ -100,7 +100,7 @@ static_exposure AS (
 
 CTE["unit_scores"] = """
 unit_scores AS (
-  SELECT lpad(o_custkey::VARCHAR, 10, '0') AS unit_code,
+  SELECT lpad(o_custkey::VARCHAR, 19, '0') AS unit_code,
          coalesce(sum(score * people) / nullif(sum(people), 0), avg(score)) AS unit_score, 1 AS unit_flag,
          count(*)::INTEGER AS source_rows, if(max(people) > 0, 'pop_weighted', 'simple_mean') AS weight_method
   FROM (SELECT o_custkey, least(25, floor(o_totalprice / 20000))::DOUBLE AS score, greatest(0, c_acctbal) AS people

@@ -16,9 +16,9 @@ from . import panel as P
 from .panel import RURAL_CUT
 from .queries import register
 from ..functions.clean import clean_measure, normalize_code, normalize_key, to_number
-from ..operators.ordinal import sorted_levels
 from ..session import ensure_checkpoint_dir, materialize
 from ..operators import exposure as ex
+from ..operators import threshold as th
 from ..sources import catalog as cat
 from ..sources import files as fs
 from ..sources import tables as tb
@@ -34,7 +34,11 @@ def _landing(spark: SparkSession, name: str) -> str:
 DOCUMENT_LINES = 10_000
 
 
-def _land_per_period(rates: DataFrame, path: str, body_line, document) -> list:
+#: Where the path of a landed file names its period.
+PERIOD_IN_PATH = rf"/{tb.PERIOD}=([0-9]+)/"
+
+
+def _land_per_period(rates: DataFrame, path: str, body_line, document) -> None:
     """Text documents of about ``DOCUMENT_LINES`` lines, one in each file,
     below a folder for each period."""
     parts = 1 + rates.count() // DOCUMENT_LINES
@@ -42,38 +46,38 @@ def _land_per_period(rates: DataFrame, path: str, body_line, document) -> list:
             .agg(F.array_sort(F.collect_list(body_line)).alias("_lines"))
             .select(tb.PERIOD, "part", document(F.col("_lines")).alias("value")))
     docs.write.mode("overwrite").partitionBy(tb.PERIOD, "part").text(path)
-    return sorted_levels(rates, tb.PERIOD)
 
 
 @register("csv_banner_roundtrip", RATE_SQL, ["rate"])
 def q_csv_banner_roundtrip(spark, d):
-    """Banner-first CSV per period -> skip banner, string columns -> period
-    as a literal per file -> typed with the guarded numeric parse."""
+    """Banner-first CSV per period -> skip banner, string columns, all files in
+    one scan -> period from the file's path -> typed with the guarded numeric
+    parse."""
     rates = tb.period_rates(spark, d)
     path = _landing(spark, "rates_csv")
     line = F.concat_ws(",", F.col(tb.UNIT), F.coalesce(F.col("rate").cast("string"), F.lit("")))
-    periods = _land_per_period(
+    _land_per_period(
         rates, path, line,
         lambda lines: F.concat(F.lit("Unit rates, landed extract\n"), F.lit(f"{tb.UNIT},rate\n"),
                                F.concat_ws("\n", lines)))
-    frames = {p: fs.read_csv_banner(spark, f"{path}/{tb.PERIOD}={p}") for p in periods}
-    raw = fs.read_by_year(frames, tb.PERIOD)
-    return raw.select(tb.PERIOD, F.col(tb.UNIT), to_number("rate").alias("rate"))
+    raw = fs.read_csv_banner(spark, path, file_column="file")
+    return raw.select(fs.period_of_file("file", PERIOD_IN_PATH).alias(tb.PERIOD), F.col(tb.UNIT), to_number("rate").alias("rate"))
 
 
 @register("json_rows", RATE_SQL, ["rate"])
 def q_json_rows(spark, d):
     """Array-of-arrays JSON payload per period, header first -> rows named
-    by the header -> period as a literal per file -> typed."""
+    by the header, all files in one scan -> period from the file's path ->
+    typed."""
     rates = tb.period_rates(spark, d)
     path = _landing(spark, "rates_json")
     row = F.array(F.col(tb.UNIT), F.col("rate").cast("string"))
-    periods = _land_per_period(
+    _land_per_period(
         rates, path, row,
         lambda rows: F.to_json(F.concat(F.array(F.array(F.lit("UNIT"), F.lit("RATE"))), rows)))
-    frames = {p: fs.read_header_rows_json(spark, f"{path}/{tb.PERIOD}={p}") for p in periods}
-    raw = fs.read_by_year(frames, tb.PERIOD)
-    return raw.select(tb.PERIOD, F.col("UNIT").alias(tb.UNIT), to_number("RATE").alias("rate"))
+    raw = fs.read_header_rows_json(spark, path, file_column="file")
+    return raw.select(fs.period_of_file("file", PERIOD_IN_PATH).alias(tb.PERIOD), F.col("UNIT").alias(tb.UNIT),
+                      to_number("RATE").alias("rate"))
 
 
 @register("csv_attributes_roundtrip", O.with_ctes("unit_codes") + """
@@ -105,41 +109,69 @@ ENTITY_NAMES = ["Contract ID", "Contract Number"]
 UNIT_NAMES = ["FIPS Code", "FIPS State County Code"]
 
 
-def _land_enrollment(spark, d) -> dict:
-    """Raw files, one folder for each period: entities and units as text with
-    blanks, small measures suppressed, the columns of odd and even periods
-    under different names."""
+def _land_enrollment(spark, d) -> str:
+    """Raw files, a folder for each period: entities and units as text with
+    blanks, small measures suppressed, cells parted by a bar, the columns of odd
+    and even periods under different names."""
     rows = tb.fact_rows(spark, d).select(
         tb.PERIOD, F.concat(F.lit(" h"), F.col(tb.ENTITY), F.lit("\t")).alias("entity"),
         F.concat(F.lit("U-"), F.col(tb.UNIT)).alias("unit"),
         F.when(F.col("qty") < 3, F.lit("*")).when(F.col("qty") < 5, F.lit("N/A")).otherwise(F.col("qty").cast("string")).alias("n"))
-    rows = materialize(rows, "raw_enrollment")
-    paths = {}
-    for period in sorted_levels(rows, tb.PERIOD):
-        names = [ENTITY_NAMES[period % 2], UNIT_NAMES[period % 2], "Enrollment"]
-        paths[period] = _landing(spark, f"enrollment-{period}")
-        fs.write_csv(rows.filter(F.col(tb.PERIOD) == period).select("entity", "unit", "n").toDF(*names), paths[period])
-    return paths
+    rows, path = materialize(rows, "raw_enrollment"), _landing(spark, "enrollment")
+    for odd in (0, 1):
+        named = rows.filter(F.col(tb.PERIOD) % 2 == odd).toDF(tb.PERIOD, ENTITY_NAMES[odd], UNIT_NAMES[odd], "Enrollment")
+        fs.write_csv(named, f"{path}/{odd}", sep="|", partition_by=[tb.PERIOD])
+    return path
 
 
-@register("staged_enrollment", """
-SELECT 'H' || l_suppkey AS entity_key, year(o_orderdate)::INTEGER AS period, right(lpad(o_custkey::VARCHAR, 10, '0'), 10) AS unit_code,
+@register("staged_enrollment", f"""
+SELECT 'H' || l_suppkey AS entity_key, year(o_orderdate)::INTEGER AS period, lpad(o_custkey::VARCHAR, {tb.UNIT_WIDTH}, '0') AS unit_code,
        CAST(sum(if(l_quantity < 5, 0, trunc(l_quantity))) AS BIGINT) AS measure
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
 def q_staged_enrollment(spark, d):
-    """String CSV with NA tokens, two spellings of each column, key, code and
-    suppressed count, summed to the panel (S2, S6, P2, P4, P6, P10, P11, A1)."""
-    frames = {}
-    for period, path in _land_enrollment(spark, d).items():
-        raw = fs.read_csv_strings(spark, path)
-        cat.require_columns(raw, ["Enrollment"])
-        frames[period] = raw.select(normalize_key(cat.pick_column(raw, ENTITY_NAMES)).alias("entity_key"),
-                                    normalize_code(cat.pick_column(raw, UNIT_NAMES), tb.UNIT_WIDTH).alias("unit_code"),
-                                    clean_measure("Enrollment").alias("measure"))
-    rows = fs.read_by_year(frames, tb.PERIOD)
+    """String CSV with NA tokens and a delimiter, two spellings of each column
+    stacked by one scan, key, code and suppressed count, summed to the panel
+    (S2, S6, S14, P2, P4, P6, P10, P11, A1)."""
+    raw = fs.read_csv_files(spark, _land_enrollment(spark, d), sep="|", na_tokens=True, file_column="file")
+    cat.require_columns(raw, ["Enrollment"])
+    either = lambda names: F.coalesce(*[F.col(f"`{n}`") for n in names if n in raw.columns])
+    rows = raw.select(normalize_key(either(ENTITY_NAMES)).alias("entity_key"), fs.period_of_file("file", PERIOD_IN_PATH).alias(tb.PERIOD),
+                      normalize_code(either(UNIT_NAMES), tb.UNIT_WIDTH).alias("unit_code"), clean_measure("Enrollment").alias("measure"))
     return rows.groupBy("entity_key", tb.PERIOD, "unit_code").agg(F.sum("measure").alias("measure"))
 
 
+@register("inferred_types", O.with_ctes("unit_codes") + """
+, l AS (
+  SELECT unit_code AS "FIPS", state AS "State", unit_name AS "Name", 'CODE' AS "Attribute", code::VARCHAR AS "Value" FROM unit_codes WHERE code IS NOT NULL
+  UNION ALL SELECT unit_code, state, unit_name, 'POP', population::VARCHAR FROM unit_codes WHERE population IS NOT NULL),
+b AS (SELECT *, c_acctbal::VARCHAR AS "Balance" FROM l JOIN (SELECT lpad(c_custkey::VARCHAR, """ + str(tb.UNIT_WIDTH) + """, '0') AS "FIPS", c_acctbal FROM customer) USING ("FIPS")),
+cells AS (UNPIVOT (SELECT "FIPS", "State", "Name", "Attribute", "Value", "Balance", NULL::VARCHAR AS "Nothing" FROM b)
+          ON "FIPS", "State", "Name", "Attribute", "Value", "Balance" INTO NAME column_name VALUE v)
+SELECT column_name,
+       CASE WHEN count(try_cast(v AS INTEGER)) FILTER (regexp_matches(v, '^[+-]?[0-9]+$')) = count(v) THEN 'int'
+            WHEN count(try_cast(v AS BIGINT)) FILTER (regexp_matches(v, '^[+-]?[0-9]+$')) = count(v) THEN 'bigint'
+            WHEN count(try_cast(v AS DOUBLE)) = count(v) THEN 'double' ELSE 'string' END AS data_type,
+       count(v) AS cells
+FROM cells GROUP BY column_name
+UNION ALL SELECT 'Nothing', 'string', 0""")
+def q_inferred_types(spark, d):
+    """The unit attributes as a typed export would land them, read with the
+    types their cells agree on (S3): the inferred type of each column and the
+    number of its cells."""
+    long = tb.unit_attributes_long(spark, d)
+    balance = tb.read(spark, d, "customer").select(tb.pad_code("c_custkey", tb.UNIT_WIDTH).alias("k"), F.col("c_acctbal").cast("string").alias("b"))
+    path = _landing(spark, "inferred_csv")
+    rows = long.join(balance, long[tb.UNIT] == balance["k"])
+    fs.write_csv(rows.select(F.col(tb.UNIT).alias("FIPS"), F.col("state").alias("State"), F.col("unit_name").alias("Name"),
+                             F.col("attribute").alias("Attribute"), F.col("value").alias("Value"), F.col("b").alias("Balance"),
+                             F.lit(None).cast("string").alias("Nothing")), path)
+    typed = fs.read_csv_inferred(spark, path)
+    counts = typed.agg(*[F.count(c).alias(c) for c in typed.columns])
+    told = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col(f.name).alias("cells"))
+                     for f in typed.schema])
+    return counts.select(F.inline(told))
+
+
 @register("stage_table_roundtrip", O.with_ctes("panel") + """
 SELECT period, count(*) AS rows, sum(measure) AS measure,
        'entity_id:bigint,unit_code:string,measure:double,period:int' AS described, true AS found FROM panel GROUP BY period""")
@@ -159,3 +191,18 @@ def q_stage_table_roundtrip(spark, d):
     described = ",".join(f"{r['column_name']}:{r['data_type']}" for r in cat.describe_columns(table).orderBy("ordinal_position").collect())
     return table.groupBy(tb.PERIOD).agg(F.count(F.lit(1)).alias("rows"), F.sum("measure").alias("measure")).withColumns({
         "described": F.lit(described), "found": F.lit(cat.table_exists(spark, name))})
+
+
+@register("bucketed_rating_base", O.with_ctes("rating_base") + """
+SELECT entity_id, period, rating, rate_exposure FROM rating_base""", ["rating", "rate_exposure"])
+def q_bucketed_rating_base(spark, d):
+    """Ratings and exposures as bucketed and sorted stage tables in a namespace
+    of their own, joined without an exchange (S7, S9, S10, S12, J4)."""
+    space = f"panelscope_{uuid.uuid4().hex}"
+    fs.create_namespace(spark, space, _landing(spark, "namespace"))
+    counts = P.staged_counts(spark, d)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, df in (("ratings", P.ratings(spark, d, counts)), ("exposures", P.rate_exposure(spark, d, counts))):
+        fs.save_table(df, f"{space}.{name}", buckets=buckets, bucket_by=P.KEYS)
+    joined = th.rating_base(spark.table(f"{space}.ratings"), spark.table(f"{space}.exposures"), P.KEYS)
+    return joined.select(*P.KEYS, "rating", "rate_exposure")

@@ -1,6 +1,6 @@
 """Panel inputs derived from the provided TPC-H style tables.
 
-The mapping (entity = supplier, period = order year, unit = customer nation,
+The mapping (entity = supplier, period = order year, unit = customer,
 measure = quantity) is the stand-in described in FIXTURES.md section 4.  Every
 frame here is a lazy plan over the parquet scans, so its cost grows with the
 tables; only the needed columns are read (column pruning reaches the scan).
@@ -19,7 +19,7 @@ ENTITY, PERIOD, UNIT, MEASURE = "entity_id", "period", "unit_code", "measure"
 URGENT_PRIORITY = "1-URGENT"
 PENDING_STATUS = "P"        # orders that do not count towards a rate
 MIN_RATED_ROWS = 60         # an entity-period with fewer rows has no rating
-UNIT_WIDTH = 10             # characters of a unit code
+UNIT_WIDTH = 19             # characters of a unit code: every key of 64 bits fits
 CODE_STEP = 1250            # width of a band of the static code
 SCORE_STEP, SCORE_MAX = 20_000, 25
 SUPPRESSED_BELOW = 2.0      # raw measures under this are published as '*'

@@ -93,3 +93,59 @@ def test_catalog_checks(spark):
     assert obs.get["rows"] == 3
     c = cat.completeness(df.withColumn("v", F.when(F.col("id") > 0, 1)), "v").first()
     assert (c.total, c.non_null, c.null_count) == (3, 2, 1)
+
+
+def _land(folder, many):
+    folder.mkdir()
+    for i in range(many):
+        names = ["K", "V", "extra"] if i % 3 == 0 else ["V", "K"]
+        row = [f"k{i}", f"v{i}", 'a "quoted"\ncell'] if i % 3 == 0 else [f"v{i}", f"k{i}"]
+        quoted = ",".join('"' + c.replace('"', '""') + '"' for c in row)
+        (folder / f"p={2000 + i}.csv").write_text(f"banner, {i}\n{','.join(names)}\n{quoted}\n")
+    return str(folder)
+
+
+def test_many_files_are_one_scan(spark, tmp_path):
+    few, many = _land(tmp_path / "few", 3), _land(tmp_path / "many", 400)
+    plans = []
+    for path, n in ((few, 3), (many, 400)):
+        df = fs.read_csv_banner(spark, path, file_column="file").withColumn("p", fs.period_of_file("file", r"p=([0-9]+)\.csv"))
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        assert df.columns == ["K", "V", "extra", "file", "p"]
+        rows = {r["K"]: r for r in df.collect()}
+        assert len(rows) == n and all(r["V"] == "v" + k[1:] and r["p"] == 2000 + int(k[1:]) for k, r in rows.items())
+        assert rows["k0"]["extra"] == 'a "quoted"\ncell' and rows["k1"]["extra"] is None
+    assert plans[0].count("Scan") == plans[1].count("Scan") == 1 and "Union" not in plans[1]
+    assert len(plans[0].splitlines()) == len(plans[1].splitlines())
+
+
+def test_files_without_header_and_odd_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("banner\nA|B|A\n1||3\n4\n5|6|7|8\n")
+    rows = fs.read_csv_banner(spark, str(tmp_path), sep="|").collect()
+    assert [tuple(r) for r in rows] == [("1", None), ("4", None), ("5", "6")]
+    (tmp_path / "b.csv").write_text("banner\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        fs.read_csv_banner(spark, str(tmp_path))
+
+
+def test_inferred_types(spark, tmp_path):
+    rows = [("1", "1", "1", "1.5", "x", ""), ("-2", "3000000000", "99999999999999999999", " 2e3 ", "1", "NA"), ("", "5", "7", "NaN?", "2", "")]
+    (tmp_path / "t.csv").write_text("a,b,c,d,e,f\n" + "".join(",".join(r) + "\n" for r in rows[:2]))
+    df = fs.read_csv_inferred(spark, str(tmp_path))
+    assert [f.dataType.simpleString() for f in df.schema] == ["int", "bigint", "double", "double", "string", "string"]
+    assert [tuple(r) for r in df.collect()] == [(1, 1, 1.0, 1.5, "x", None), (-2, 3000000000, 1e20, 2000.0, "1", None)]
+    assert dict(fs.infer_types(df.limit(0).select(F.lit("x").alias("g"))))["g"] == "string"
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    import __spark_entry__ as E
+    from conftest import SF001
+
+    df = E.queries()["bucketed_rating_base"](spark, SF001)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = df.select("*")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
