@@ -11,7 +11,6 @@ checkpointed once before iterating.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import clip_lower, inf_to_null
 from ..session import materialize
+from .moments import sum_kernel
 
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
@@ -131,95 +131,51 @@ def sql_double(v: float) -> str:
     return f"CAST({float(v)!r} AS DOUBLE)"
 
 
-def _step_frame(data: DataFrame, z: Sequence[str], K: int, theta: np.ndarray, beta: np.ndarray) -> DataFrame:
-    """Per-row log-likelihood derivatives, built in layers of projections so
-    each quantity is computed once per row.  Expressions are SQL text with
-    the current parameters as exact literals (one call per layer, parsed in
-    the JVM), so building a step costs the same whatever p is."""
-    p = len(z)
-    withp = data
-    q = [sql_double(v) for v in list(theta) + list(beta)]
-    zs = list(z)
-    eta = " + ".join(f"{q[K - 1 + i]} * {c}" for i, c in enumerate(zs)) or "0D"
-
-    def at(idx: str) -> str:
-        return "CASE " + " ".join(f"WHEN {idx} = {j} THEN {q[j]}" for j in range(K - 1)) + " ELSE 0D END"
-
-    sig = "(1D / (1D + exp(-({x}))))"
-    l1 = withp.selectExpr("y", *zs, f"{eta} AS _eta")
-    l2 = l1.selectExpr("y", *zs, f"{at('y')} - _eta AS _up", f"{at('y - 1')} - _eta AS _lo")
-    fa = f"CASE WHEN y = {K - 1} THEN 1D ELSE {sig.format(x='_up')} END"
-    fb = f"CASE WHEN y = 0 THEN 0D ELSE {sig.format(x='_lo')} END"
-    # probability of the observed class, written to avoid 1 - 1 cancellation
-    pr = (f"CASE WHEN y = {K - 1} AND y = 0 THEN 1D WHEN y = {K - 1} THEN {sig.format(x='-_lo')} "
-          f"WHEN y = 0 THEN {sig.format(x='_up')} ELSE ({fa}) - ({fb}) END")
-    l3 = l2.selectExpr("y", *zs, f"{fa} AS _Fa", f"{fb} AS _Fb", f"greatest({pr}, 1e-300D) AS _P")
-    l4 = l3.selectExpr("y", *zs, "_Fa", "_Fb", "_P", "_Fa * (1D - _Fa) / _P AS _ga", "-(_Fb * (1D - _Fb)) / _P AS _gb")
-    l5 = l4.selectExpr("y", *zs, "ln(_P) AS _ll", "_ga", "_gb",
-                       "_ga * (1D - 2D * _Fa) - _ga * _ga AS _haa",
-                       "_gb * (1D - 2D * _Fb) - _gb * _gb AS _hbb",
-                       "-_ga * _gb AS _hab")
-    return l5.selectExpr("y", *zs, "_ll", "_ga", "_gb", "_haa", "_hbb", "_hab",
-                         "-(_ga + _gb) AS _gx", "-(_haa + _hab) AS _ca", "-(_hab + _hbb) AS _cb",
-                         "_haa + 2D * _hab + _hbb AS _cbb")
-
-
-def _step_aggregates(z: Sequence[str]) -> list[str]:
-    """Sums of the per-row derivatives (grouped by class), as SQL text."""
-    exprs = ["count(1) AS n", "sum(_ll) AS ll", "sum(_ga) AS ga", "sum(_gb) AS gb",
-             "sum(_haa) AS haa", "sum(_hbb) AS hbb", "sum(_hab) AS hab"]
-    for i, zi in enumerate(z):
-        exprs += [f"sum(_gx * {zi}) AS g_{i}", f"sum(_ca * {zi}) AS ha_{i}", f"sum(_cb * {zi}) AS hb_{i}"]
-        exprs += [f"sum(_cbb * {zi} * {z[j]}) AS h_{i}_{j}" for j in range(i, len(z))]
-    return exprs
-
-
-def _step_sums(frame: DataFrame, z: Sequence[str]) -> list:
-    """Run the grouped sums as one SQL statement over the step frame (one
-    call into the JVM however many sums there are)."""
-    view = f"_panelscope_step_{uuid.uuid4().hex}"
-    frame.createOrReplaceTempView(view)
-    try:
-        return frame.sparkSession.sql(
-            f"SELECT y, {', '.join(_step_aggregates(z))} FROM {view} GROUP BY y").collect()
-    finally:
-        frame.sparkSession.catalog.dropTempView(view)
-
-
-def _assemble(rows, K: int, p: int):
+def _step_kernel(theta: np.ndarray, beta: np.ndarray, mu: np.ndarray, sd: np.ndarray):
+    """Log-likelihood, score and information of a batch of (y, features) rows
+    at the given parameters, as one vector."""
+    K, p = len(theta) + 1, len(beta)
     m = K - 1 + p
-    g, H, ll = np.zeros(m), np.zeros((m, m)), 0.0
-    for r in rows:
-        k = r["y"]
-        ll += r["ll"]
-        if k < K - 1:                      # theta_k is the upper cut
-            g[k] += r["ga"]
-            H[k, k] += r["haa"]
-        if k > 0:                          # theta_{k-1} is the lower cut
-            g[k - 1] += r["gb"]
-            H[k - 1, k - 1] += r["hbb"]
-        if 0 < k < K - 1:
-            H[k, k - 1] += r["hab"]
-            H[k - 1, k] += r["hab"]
-        for i in range(p):
-            g[K - 1 + i] += r[f"g_{i}"]
-            if k < K - 1:
-                H[k, K - 1 + i] += r[f"ha_{i}"]
-                H[K - 1 + i, k] += r[f"ha_{i}"]
-            if k > 0:
-                H[k - 1, K - 1 + i] += r[f"hb_{i}"]
-                H[K - 1 + i, k - 1] += r[f"hb_{i}"]
-            for j in range(i, p):
-                H[K - 1 + i, K - 1 + j] += r[f"h_{i}_{j}"]
-                if j != i:
-                    H[K - 1 + j, K - 1 + i] += r[f"h_{i}_{j}"]
-    return ll, g, H
+    cuts = np.concatenate([[-np.inf], theta, [np.inf]])
+
+    def sigmoid_of(v):
+        out = np.exp(-np.abs(v))
+        return np.where(v >= 0, 1 / (1 + out), out / (1 + out))
+
+    def kernel(rows):
+        y, Z = rows[:, 0].astype(np.int64), (rows[:, 1:] - mu) / sd
+        eta = Z @ beta
+        up, low = cuts[y + 1] - eta, cuts[y] - eta
+        Fa, Fb = sigmoid_of(up), sigmoid_of(low)
+        # probability of the observed class, written to avoid 1 - 1 cancellation
+        P = np.where(y == K - 1, sigmoid_of(-low), np.where(y == 0, Fa, Fa - Fb))
+        P = np.maximum(P, 1e-300)
+        ga, gb = Fa * (1 - Fa) / P, -Fb * (1 - Fb) / P
+        haa, hbb, hab = ga * (1 - 2 * Fa) - ga * ga, gb * (1 - 2 * Fb) - gb * gb, -ga * gb
+        classes = (y[:, None] == np.arange(K)).astype(float)  # upper cut y, lower cut y - 1
+        upper, lower = classes[:, :K - 1], classes[:, 1:]
+        g = np.concatenate([ga @ upper + gb @ lower, -(ga + gb) @ Z])
+        H = np.zeros((m, m))
+        H[:K - 1, :K - 1] = np.diag(haa @ upper + hbb @ lower)
+        both = hab @ classes
+        for k in range(1, K - 1):
+            H[k, k - 1] = H[k - 1, k] = both[k]
+        side = upper.T @ (Z * -(haa + hab)[:, None]) + lower.T @ (Z * -(hab + hbb)[:, None])
+        H[:K - 1, K - 1:], H[K - 1:, :K - 1] = side, side.T
+        H[K - 1:, K - 1:] = Z.T @ (Z * (haa + 2 * hab + hbb)[:, None])
+        return np.concatenate([[np.log(P).sum()], g, H.ravel()])
+
+    return kernel
 
 
 def fit_ordered_logit(sample: DataFrame, outcome_index: str, features: Sequence[str], levels: Sequence[float],
                       max_iter: int = 100, tol: float = 1e-9, checkpoint: bool = False) -> OrderedLogit:
     """Maximum-likelihood cumulative logit, no intercept, K-1 thresholds (M8).
 
+    A Newton step is one pass over Arrow batches: each task adds up the score
+    and the information of its rows as matrices (:func:`sum_kernel`), so many
+    terms are one kernel, not thousands of SQL sums.
+
     Features are standardised for conditioning; estimates are returned on
     the original scale (thresholds shifted, slopes rescaled, covariance
     transformed with the Jacobian)."""
@@ -239,10 +195,6 @@ def fit_ordered_logit(sample: DataFrame, outcome_index: str, features: Sequence[
     var = np.array([sum(r[f"s2_{i}"] for r in per_class) / n_all for i in range(p)], dtype=float) - mu * mu
     sd = np.sqrt(np.clip(var, 0.0, None))
     sd[~(sd > 1e-12 * np.maximum(1.0, np.abs(mu)))] = 1.0
-    z = [f"_z{i}" for i in range(p)]
-    zdata = data.select("y",
-                        *[((F.col(c) - F.lit(float(mu[i]))) / F.lit(float(sd[i]))).alias(z[i])
-                          for i, c in enumerate(features)])
     n = sum(counts.values())
     cum = np.cumsum([counts.get(k, 0) for k in range(K)])[:-1] / n
     cum = np.clip(cum, 1e-6, 1 - 1e-6)
@@ -250,8 +202,9 @@ def fit_ordered_logit(sample: DataFrame, outcome_index: str, features: Sequence[
     beta = np.zeros(p)
 
     def evaluate(th, be):
-        rows = _step_sums(_step_frame(zdata, z, K, th, be), z)
-        return _assemble(rows, K, p)
+        m = K - 1 + p
+        v = sum_kernel(data, ["y", *features], _step_kernel(th, be, mu, sd), 1 + m + m * m)
+        return v[0], v[1:1 + m], v[1 + m:].reshape(m, m)
 
     ll, g, H = evaluate(theta, beta)
     it, converged = 0, False

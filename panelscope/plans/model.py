@@ -27,15 +27,16 @@ FIXED_SLOPES = {
 FIXED_PERIOD_EFFECTS = {1997: 0.1, 1998: -0.1, 1999: 0.2, 2000: -0.2, 2001: 0.05}
 
 
-def sample(spark: SparkSession, sf_dir: str):
+def sample(spark: SparkSession, sf_dir: str, frame: DataFrame | None = None):
     """(sample with period dummies, levels, feature names)."""
-    s, levels, periods = od.model_sample(P.model_frame(spark, sf_dir), "rating", CORE, "total_size", tb.PERIOD)
+    frame = P.model_frame(spark, sf_dir) if frame is None else frame
+    s, levels, periods = od.model_sample(frame, "rating", CORE, "total_size", tb.PERIOD)
     s, dummies = od.period_dummies(s, tb.PERIOD, periods)
     return s, levels, FEATURES + dummies
 
 
-def fit(spark: SparkSession, sf_dir: str) -> od.OrderedLogit:
-    s, levels, feats = sample(spark, sf_dir)
+def fit(spark: SparkSession, sf_dir: str, frame: DataFrame | None = None) -> od.OrderedLogit:
+    s, levels, feats = sample(spark, sf_dir, frame)
     return od.fit_ordered_logit(s, "level_index", feats, levels)
 
 

@@ -73,9 +73,9 @@ def unit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.add_ordinal_flag(wide, "code", "code_flag", RURAL_CUT)
 
 
-def static_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
+def static_exposure(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """Exposure to the static unit flag, renormalised."""
-    joined = ex.attach_unit_values(share_weights(spark, sf_dir), unit_codes(spark, sf_dir), ["code_flag"],
+    joined = ex.attach_unit_values(share_weights(spark, sf_dir, counts), unit_codes(spark, sf_dir), ["code_flag"],
                                    unit=tb.UNIT, period=None)
     return ex.exposure(joined, KEYS, "code_flag", "static_exposure")
 
@@ -97,15 +97,15 @@ def score_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.exposure(joined, KEYS, "unit_score", "score_exposure", missing="zero")
 
 
-def rating_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rating_base(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """Ratings with the lagged exposure (J4), from one scan of the facts."""
-    counts = staged_counts(spark, sf_dir)
+    counts = staged_counts(spark, sf_dir) if counts is None else counts
     return th.rating_base(ratings(spark, sf_dir, counts), rate_exposure(spark, sf_dir, counts), KEYS)
 
 
-def near_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def near_threshold(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """In-scope rows rated 3.5 to 4.5 with flag and band."""
-    return th.near_threshold(rating_base(spark, sf_dir), "rating", "rate_exposure")
+    return th.near_threshold(rating_base(spark, sf_dir, counts), "rating", "rate_exposure")
 
 
 def concentration(spark: SparkSession, sf_dir: str) -> DataFrame:

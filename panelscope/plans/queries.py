@@ -279,6 +279,7 @@ FROM (SELECT period, (SELECT any_value(s.static_exposure) FROM static_exposure s
 GROUP BY period""")
 def q_missing_exposures(spark, d):
     """Near-threshold rows without a static exposure, per period (A5)."""
-    r = P.static_exposure(spark, d).select(*K, "static_exposure")
-    return P.near_threshold(spark, d).join(r, K, "left").groupBy(tb.PERIOD).agg(
+    counts = P.staged_counts(spark, d)
+    r = P.static_exposure(spark, d, counts).select(*K, "static_exposure")
+    return P.near_threshold(spark, d, counts).join(r, K, "left").groupBy(tb.PERIOD).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("static_exposure").isNull()).alias("missing_static"))

@@ -11,6 +11,7 @@ from ..functions.bands import period_label
 from ..operators import bins as bn
 from ..operators import ordinal as od
 from ..operators import report as rp
+from ..session import materialize
 from ..sources import tables as tb
 
 CORE = M.CORE
@@ -334,8 +335,8 @@ def q_ordered_thresholds_only(spark, d):
 def q_fit_states(spark, d):
     """State of the ordered fit: converged, iterations, largest score, rows
     used and rows the sample rule left out (M8, M14)."""
-    frame = M.P.model_frame(spark, d)
-    m = M.fit(spark, d)
+    frame = materialize(M.P.model_frame(spark, d), "model_frame")
+    m = M.fit(spark, d, frame)
     return frame.agg(F.count(F.lit(1)).alias("frame_rows")).select(
         F.lit(m.converged).alias("converged"), F.lit(m.iterations).alias("iterations"), F.lit(m.grad_norm).alias("max_score"),
         F.lit(m.extra["n"]).cast("bigint").alias("rows_used"), (F.col("frame_rows") - F.lit(m.extra["n"])).cast("bigint").alias("rows_left_out"))

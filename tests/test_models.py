@@ -117,3 +117,41 @@ def test_model_sample_rule(spark):
     assert got == {1: (1.0, 0), 2: (1.0, 1), 4: (100.0, 1), 5: (20.0, 2)}
     with pytest.raises(ValueError):
         od.model_sample(df.filter("r < 4"), "r", ["a"], "size", "period", checkpoint=False)
+
+
+def _classes(spark, separated):
+    rng = np.random.default_rng(5)
+    n = 600
+    x, z = rng.normal(size=n), rng.normal(size=n) * 30 + 100
+    eta = np.column_stack([np.zeros(n), 0.4 + 0.9 * x, -0.5 - 0.7 * x + 0.01 * (z - 100)])
+    p = np.exp(eta)
+    y = (rng.random(n)[:, None] > np.cumsum(p / p.sum(axis=1, keepdims=True), axis=1)).sum(axis=1)
+    w = (y == 2).astype(float) * (rng.random(n) < 0.3) if separated else rng.integers(0, 2, n).astype(float)
+    rows = [(int(a), float(b), float(c), float(d)) for a, b, c, d in zip(y, x, z, w)]
+    return spark.createDataFrame(rows, "y int, x double, z double, w double").repartition(3), y, np.column_stack([np.ones(n), x, z, w])
+
+
+def test_multinomial_matches_independent_newton(spark):
+    df, y, X = _classes(spark, separated=False)
+    fit = glm.fit_multinomial(df, "y", ["x", "z", "w"])
+    assert fit.converged and fit.separated == [False, False] and fit.max_score < 1e-8
+    eta = np.column_stack([np.zeros(len(X)), X @ fit.coef.T])
+    P = np.exp(eta) / np.exp(eta).sum(axis=1, keepdims=True)
+    np.testing.assert_allclose(((y[:, None] == [1, 2]) - P[:, 1:]).T @ X, 0, atol=1e-4)  # the maximum is where the scores vanish
+    H = np.block([[X.T @ (X * (P[:, [a]] * ((a == b) - P[:, [b]]))) for b in (1, 2)] for a in (1, 2)])
+    np.testing.assert_allclose(np.sqrt(np.diag(fit.cov)), np.sqrt(np.diag(np.linalg.inv(H))), rtol=1e-6)
+    ml = np.log(P[np.arange(len(y)), y]).sum()
+    assert abs(fit.loglik - ml) < 1e-6 and fit.n_rows == 600
+
+
+def test_multinomial_tells_a_separated_class(spark):
+    """w = 1 only where y = 2: its coefficient there has no maximum."""
+    df, y, X = _classes(spark, separated=True)
+    fit = glm.fit_multinomial(df, "y", ["x", "z", "w"])
+    assert fit.converged and fit.separated[1] and fit.iterations < 100
+    rows = {(r["class"], r["term"]): r for r in fit.table(spark).collect()}
+    assert rows[(2, "w")]["separated"] and rows[(2, "w")]["std_error"] is None
+    eta = np.column_stack([np.zeros(len(X)), X @ fit.coef.T])
+    P = np.exp(eta - eta.max(axis=1, keepdims=True))
+    P /= P.sum(axis=1, keepdims=True)
+    np.testing.assert_allclose(P[:, 1:].T @ X, (y[:, None] == [1, 2]).T @ X, rtol=1e-5)  # fitted sums equal observed ones
