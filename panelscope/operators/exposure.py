@@ -41,6 +41,35 @@ def attach_unit_values(weights: DataFrame, values: DataFrame, value_cols: Sequen
     return joined.drop(*drop).withColumn(MATCHED, F.coalesce(F.col(MATCHED), F.lit(0)))
 
 
+def pack_unit_values(by_period: DataFrame, value: str, static: Sequence[tuple[DataFrame, str]],
+                     unit: str = "unit_code", period: str = "period") -> DataFrame:
+    """One row a unit: ``by_period``, a map from period to ``value`` (a key with
+    a null value where the row has none), and for each (table, column) of
+    ``static`` the column and ``has_<column>``, whether the table has a row of
+    the unit.  One grouped aggregate over all tables; each has at most one row a
+    unit (and period).  Null units are left out."""
+    entry = F.when(F.col("_t") == -1, F.struct(F.col(period).alias("k"), F.col(value).alias("v")))
+    rows = by_period.select(F.col(unit).alias("_u"), period, value, F.lit(-1).alias("_t"))
+    for i, (table, column) in enumerate(static):
+        rows = rows.unionByName(table.select(F.col(unit).alias("_u"), column, F.lit(i).alias("_t")), allowMissingColumns=True)
+    return rows.filter(F.col("_u").isNotNull()).groupBy("_u").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("by_period"), *[F.max(c).alias(c) for _, c in static],
+        *[F.coalesce(F.max(F.when(F.col("_t") == i, 1)), F.lit(0)).alias(f"has_{c}") for i, (_, c) in enumerate(static)])
+
+
+def attach_packed(weights: DataFrame, packed: DataFrame, value: str, unit: str = "unit_code", period: str = "period",
+                  lag: int = 0) -> DataFrame:
+    """Left join of the weights to :func:`pack_unit_values`, so they move once
+    for all unit tables (J1-J3): ``value`` of the lagged period, the static
+    columns, and ``has_`` flags (0 for a unit without a row)."""
+    static = [c for c in packed.columns if c not in ("_u", "by_period")]
+    key = F.col(period) - F.lit(lag)
+    joined = weights.join(packed, F.col(unit) == F.col("_u"), "left")
+    return joined.select(*weights.columns, F.try_element_at("by_period", key).alias(value),
+                         F.coalesce(F.map_contains_key("by_period", key), F.lit(False)).cast("int").alias(f"has_{value}"),
+                         *[F.coalesce(F.col(c), F.lit(0)).alias(c) if c.startswith("has_") else F.col(c) for c in static])
+
+
 def exposure_parts(value: str, out: str, weight: str = "weight", missing: str = "renormalize",
                    matched: str = MATCHED) -> tuple[list, list]:
     """(aggregate expressions, final projections) of one exposure, so several

@@ -120,20 +120,19 @@ def entity_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unit_features(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """Every per-entity-period feature in one grouped aggregate (A2, A4,
-    A12, A22): the weights are joined to the three unit tables (dimensions,
-    joined without a shuffle of the weights when measured small) and then
+    A12, A22): the three unit tables are packed into one row a unit, the
+    weights joined to it once (no shuffle of the weights when it is measured
+    small, one by unit when not, which splits where a unit is skewed) and then
     shuffled once on (entity, period).  Only the top-5 share needs its own
     (salted) ranking pass."""
     base = share_weights(spark, sf_dir, counts)  # weights are positive by construction (W1)
-    w = ex.attach_unit_values(base, tb.period_rates(spark, sf_dir), ["rate"], unit=tb.UNIT, period=tb.PERIOD,
-                              lag=RATE_LAG).withColumnRenamed(ex.MATCHED, "_m_rate")
-    w = ex.attach_unit_values(w, unit_codes(spark, sf_dir), ["code_flag"], unit=tb.UNIT,
-                              period=None).withColumnRenamed(ex.MATCHED, "_m_code")
     scores = unit_scores(spark, sf_dir).filter(F.col("unit_score").isNotNull())
-    w = ex.attach_unit_values(w, scores, ["unit_score"], unit=tb.UNIT, period=None)
+    packed = ex.pack_unit_values(tb.period_rates(spark, sf_dir), "rate",
+                                 [(unit_codes(spark, sf_dir), "code_flag"), (scores, "unit_score")], tb.UNIT, tb.PERIOD)
+    w = ex.attach_packed(base, packed, "rate", tb.UNIT, tb.PERIOD, lag=RATE_LAG)
     a_rate, f_rate = ex.exposure_parts("rate", "rate_exposure")
     a_code, f_code = ex.exposure_parts("code_flag", "static_exposure")
-    a_score, f_score = ex.exposure_parts("unit_score", "score_exposure", missing="zero")
+    a_score, f_score = ex.exposure_parts("unit_score", "score_exposure", missing="zero", matched="has_unit_score")
     aggs = a_rate + a_code + a_score + conc.concentration_aggs() + [
         F.max(F.col("total_measure").cast("double")).alias("total_size")]
     g = w.groupBy(*KEYS).agg(*aggs).select(

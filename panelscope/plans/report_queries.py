@@ -11,6 +11,8 @@ from ..functions.bands import period_label
 from ..operators import bins as bn
 from ..operators import ordinal as od
 from ..operators import report as rp
+from ..operators.order import with_position
+from ..operators.quantiles import approximate_quantiles, merge_sketches, quantile_sketches
 from ..session import materialize
 from ..sources import tables as tb
 
@@ -119,9 +121,11 @@ def q_class_probabilities(spark, d):
 
 # ------------------------------------------------------------------ reports
 
-@register("full_export", W() + f"SELECT {COLS} FROM decomp ORDER BY entity_id, period, rating", OUT_DOUBLES)
+@register("full_export", W() + f"""
+SELECT row_number() OVER (ORDER BY entity_id, period, rating) AS position, {COLS} FROM decomp""", OUT_DOUBLES)
 def q_full_export(spark, d):
-    return _decomp(spark, d).orderBy(tb.ENTITY, tb.PERIOD, "rating")
+    """All rows with their place in the export's order."""
+    return with_position(_decomp(spark, d), tb.ENTITY, tb.PERIOD, "rating").select("position", *OUT)
 
 
 @register("near_slices", W() + f"""
@@ -331,6 +335,24 @@ def q_ordered_thresholds_only(spark, d):
                                  "lower_level double, upper_level double, threshold double")
 
 
+@register("sketch_rank_error", W() + """
+SELECT period, p, true AS within FROM (SELECT DISTINCT period FROM decomp UNION ALL SELECT NULL), (SELECT unnest(range(1, 10)) / 10.0::DOUBLE AS p)""", ["p"])
+def q_sketch_rank_error(spark, d):
+    """Deciles of the residual from stored sketches, one a period and merged
+    over all (period null): each is the value at a rank within the stated
+    error of its share (A18, W4)."""
+    rows = _decomp(spark, d, True).select(tb.PERIOD, "residual")
+    sketches = materialize(quantile_sketches(rows, "residual", [tb.PERIOD]), "sketches")
+    probs = [i / 10 for i in range(1, 10)]
+    every = merge_sketches(sketches, []).withColumn(tb.PERIOD, F.lit(None).cast("int"))
+    edges = approximate_quantiles(sketches.unionByName(every), probs, [tb.PERIOD]).withColumnRenamed(tb.PERIOD, "edge_period")
+    both = rows.unionByName(rows.withColumn(tb.PERIOD, F.lit(None).cast("int")))
+    ranks = both.join(edges, F.col(tb.PERIOD).eqNullSafe(F.col("edge_period"))).groupBy(tb.PERIOD, "p", "rank_error").agg(
+        F.avg((F.col("residual") < F.col("q")).cast("double")).alias("below"), F.avg((F.col("residual") <= F.col("q")).cast("double")).alias("up_to"))
+    p, e = F.col("p"), F.col("rank_error")
+    return ranks.select(tb.PERIOD, "p", ((F.col("below") <= p + e) & (F.col("up_to") >= p - e)).alias("within"))
+
+
 @register("fit_states")
 def q_fit_states(spark, d):
     """State of the ordered fit: converged, iterations, largest score, rows

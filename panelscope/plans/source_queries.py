@@ -140,6 +140,29 @@ def q_staged_enrollment(spark, d):
     return rows.groupBy("entity_key", tb.PERIOD, "unit_code").agg(F.sum("measure").alias("measure"))
 
 
+@register("enrollment_steps", """
+WITH raw AS (SELECT l_suppkey, year(o_orderdate) AS period, o_custkey, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+n AS (SELECT count(*) AS raw, count(*) FILTER (l_quantity >= 5) AS kept,
+             (SELECT count(*) FROM (SELECT DISTINCT l_suppkey, period, o_custkey FROM raw WHERE l_quantity >= 5)) AS panel FROM raw)
+SELECT 0 AS place, 'read' AS step, raw AS rows, 0::BIGINT AS lost FROM n
+UNION ALL SELECT 1, 'typed', raw, 0 FROM n
+UNION ALL SELECT 2, 'with a count', kept, raw - kept FROM n
+UNION ALL SELECT 3, 'summed', panel, kept - panel FROM n""")
+def q_enrollment_steps(spark, d):
+    """The enrollment path with its row counts after each step, gathered while
+    the panel is written and without a job of their own (S18)."""
+    steps = cat.StepCounts()
+    raw = steps.step(fs.read_csv_files(spark, _land_enrollment(spark, d), sep="|", na_tokens=True, file_column="file"), "read")
+    either = lambda names: F.coalesce(*[F.col(f"`{n}`") for n in names if n in raw.columns])
+    typed = raw.select(normalize_key(either(ENTITY_NAMES)).alias("entity_key"), fs.period_of_file("file", PERIOD_IN_PATH).alias(tb.PERIOD),
+                       normalize_code(either(UNIT_NAMES), tb.UNIT_WIDTH).alias("unit_code"), clean_measure("Enrollment").alias("measure"))
+    typed = steps.step(typed, "typed")
+    kept = steps.step(typed.filter(F.col("measure") > 0), "with a count")
+    panel = steps.step(kept.groupBy("entity_key", tb.PERIOD, "unit_code").agg(F.sum("measure").alias("measure")), "summed")
+    fs.save_table(panel, "panel", path=_landing(spark, "enrollment_panel"))
+    return steps.table(spark)
+
+
 @register("inferred_types", O.with_ctes("unit_codes") + """
 , l AS (
   SELECT unit_code AS "FIPS", state AS "State", unit_name AS "Name", 'CODE' AS "Attribute", code::VARCHAR AS "Value" FROM unit_codes WHERE code IS NOT NULL

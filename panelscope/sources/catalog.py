@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -73,6 +75,33 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+class StepCounts:
+    """Row counts after each step of a path, without a job of their own.
+
+    ``step`` marks a frame; when the path's last frame is executed, every mark
+    on the way is filled in.  ``table`` is then (place, step, rows, lost): rows
+    after the step and rows fewer than after the one before (negative where a
+    step adds some).  A step that was not executed is an error, not a wait."""
+
+    def __init__(self):
+        self._marks: list[tuple[str, Observation]] = []
+
+    def step(self, df: DataFrame, name: str) -> DataFrame:
+        marked, mark = counted(df, f"{name}-{uuid.uuid4().hex}")
+        self._marks.append((name, mark))
+        return marked
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows, before = [], None
+        for place, (name, mark) in enumerate(self._marks):
+            n = mark.get.get("rows")
+            if n is None:
+                raise ValueError(f"step {name} was not executed")
+            rows.append((place, name, n, 0 if before is None else before - n))
+            before = n
+        return spark.createDataFrame(rows, "place int, step string, rows bigint, lost bigint")
+
+
 def completeness(df: DataFrame, col: str) -> DataFrame:
     """Total, non-null, null and non-null share (0 when empty) of a column."""
     return df.agg(F.count(F.lit(1)).alias("total"), F.count(col).alias("non_null")).select(
