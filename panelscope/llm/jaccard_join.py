@@ -14,8 +14,9 @@ A document's set holds its distinct shingles.  Two sets are linked when
 * Search.  The blocks of one centre are a group (:mod:`panelscope.llm.linking`).
   Its points are indexed by an R-tree, loaded by halving at the median of the
   widest coordinate.  Every point searches it, first on the counts alone: who
-  finds nobody leaves before a text is moved.  Then again with the texts, and
-  the pairs that survive the bound are verified on the full sets.
+  finds nobody leaves before a text is moved, and the others are joined into
+  families.  Then again within a family with the texts, and the pairs that
+  survive the bound are verified on the full sets.
 * Equal sets are one node.  Pairs that a chain of links connects already are
   not verified again, and no pair becomes a row.
 """
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelscope.llm.common import U64, drop_stages, mix, stage_table, sum_arrays, texts_of
-from panelscope.llm.linking import Sets, by_group, link_blocks, shingle_sets
+from panelscope.llm.linking import GROUP_ELEMENTS, GROUP_MEMBERS, Sets, by_group, link_blocks, shingle_sets
 from panelscope.llm.near_dup import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -121,20 +122,70 @@ def tree_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]
             yield from group.connect(q[first], point[first:last])
 
 
-def leave_strangers_out(groups: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """The (centre, node, n) edges whose node finds another in its group."""
+def candidate_families(groups: DataFrame, points: DataFrame, percent: int, group_members: int = GROUP_MEMBERS,
+                       group_elements: int = GROUP_ELEMENTS) -> DataFrame:
+    """(centre, node, n) groups of the nodes that find another by the search in
+    their group (centre, node), on the counts alone.
+
+    The candidate pairs of all groups are joined into families, so a node whose
+    candidates meet in many groups is in one, and its text moves once.  Every
+    pair that the bound leaves is inside a family.  A family beyond the bounds of
+    a group stays in the parts found group by group."""
     kind = points.schema["node"].dataType.simpleString()
     rows = groups.drop("n").join(points, "node").select("centre", "node", "n", "counts")
 
-    def work(centre, columns):
+    def work(_, columns):
         nodes, n, counts = columns
         tree = CountTree(np.array([unpack(c) for c in counts]), percent)
-        met = np.zeros(len(nodes), dtype=bool)
+        label = np.arange(len(nodes))
         for q, point in tree.search_all():
-            met[q[point != q]] = True
-        return [(centre, nodes[i], n[i]) for i in np.flatnonzero(met)]
+            while (label[q] != label[point]).any():  # every root goes to the smallest it meets, its members follow
+                a, b = label[q], label[point]
+                low = np.minimum(a, b)
+                np.minimum.at(label, a, low)
+                np.minimum.at(label, b, low)
+                while (label[label] != label).any():
+                    label = label[label]
+        many = np.bincount(label, minlength=len(nodes))
+        return [(nodes[label[i]], nodes[i], n[i]) for i in np.flatnonzero(many[label] > 1)]
+
+    parts = stage_table(by_group(rows, work, f"centre {kind}, node {kind}, n bigint"), "candidates")
+    comp = components(parts.select("centre", "node"), "families")
+    whole = stage_table(parts.select("node", "n").distinct().join(comp, "node").select(F.col("comp").alias("centre"), "node", "n"), "families")
+    large = whole.groupBy("centre").agg(F.count("*").alias("many"), F.sum("n").alias("elements")).filter(
+        (F.col("many") > group_members) | (F.col("elements") > group_elements)).select("centre")
+    broken = whole.join(large, "centre", "left_semi").select("node")
+    return whole.join(large, "centre", "left_anti").unionByName(parts.join(broken, "node", "left_semi"))
+
+
+#: Bits of the filter that a text's set passes before it is moved.
+FILTER_BITS = 1 << 22
+
+
+def _bits(names: list[bytes]) -> np.ndarray:
+    """The two bits of each name."""
+    return (np.frombuffer(b"".join(names), dtype=U64) % U64(FILTER_BITS)).astype(np.int64)
+
+
+def name_filter(names: DataFrame) -> bytes:
+    """A filter of fixed size that all of ``names`` pass, and others the less the
+    fewer these are."""
+
+    def mark(batches):
+        out = np.zeros(FILTER_BITS, dtype=bool)
+        for batch in batches:
+            out[_bits(batch.column(0).to_pylist())] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(out).tobytes()], pa.binary())], names=["bits"])
+
+    def either(batches):
+        out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+        for batch in batches:
+            for bits in batch.column(0):
+                out |= np.frombuffer(bits.as_buffer(), dtype=np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["bits"])
 
-    return by_group(rows, work, f"centre {kind}, node {kind}, n bigint")
+    marked = names.mapInArrow(mark, "bits binary").repartition(32).mapInArrow(either, "bits binary")
+    return bytes(marked.repartition(1).mapInArrow(either, "bits binary").first()[0])
 
 
 def shingle_cells(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
@@ -158,14 +209,21 @@ def set_name(shingles: np.ndarray) -> bytes | None:
     return mix(sums + U64(len(shingles))).tobytes() if len(shingles) else None
 
 
-def named(docs: DataFrame, text: str, shingle: int) -> DataFrame:
-    """``docs`` with ``n_shingles`` and ``name``, that of the row's set."""
+def named(docs: DataFrame, text: str, shingle: int, wanted: bytes | None = None) -> DataFrame:
+    """``docs`` with ``n_shingles`` and ``name``, that of the row's set; with a
+    filter ``wanted``, rows that pass it alone."""
     at = docs.columns.index(text)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def sign(batches):
         for batch in batches:
             sets = [(len(s), set_name(s)) for s in shingle_sets(texts_of(batch.column(at)), shingle)]
+            if wanted is not None:
+                bits = np.frombuffer(wanted, dtype=np.uint8)
+                rows = [i for i, (n, _) in enumerate(sets) if n]
+                place = _bits([sets[i][1] for i in rows]).reshape(-1, 2)
+                rows = np.array(rows, dtype=np.int64)[(bits[place >> 3] >> (7 - (place & 7)) & 1).all(axis=1)]
+                batch, sets = batch.take(pa.array(rows)), [sets[i] for i in rows]
             n, names = zip(*sets) if sets else ((), ())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), pa.array(names, pa.binary())],
                                              names=[*batch.schema.names, "n_shingles", "name"])
@@ -307,13 +365,13 @@ def jaccard_join(docs: DataFrame, *, text: str = "text", key: str = "doc_id", sh
     points = unique.select("node", "n", "counts")
 
     def texts(nodes):
-        some = unique.select("node", "name").join(nodes, "node", "left_semi")
-        bodies = named(docs.select(body), body, shingle).filter("name is not null").groupBy("name").agg(F.min(body).alias("body"))
-        return some.join(bodies, "name").select("node", "body")
+        some = stage_table(unique.select("node", "name").join(nodes, "node", "left_semi"), "wanted")
+        bodies = named(docs.select(body), body, shingle, name_filter(some.select("name")))
+        return some.join(bodies, "name").groupBy("node").agg(F.min(body).alias("body"))
 
     members = stage_table(meeting_tokens(unique), "members")
     links = link_blocks(members, texts, shingle, percent, tree_links, sizes=unique.select("node", "n"),
-                        thin=lambda groups: leave_strangers_out(groups, points, percent))
+                        thin=lambda groups: candidate_families(groups, points, percent))
     comp = components(links)
     drop_stages(members)
 

@@ -67,3 +67,19 @@ def test_nulls_repeats_and_clashes(spark):
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect()), key=repr)
     assert got == sorted([(None, 2, None)] * 2 + [(7, 2, 7)] * 2 + [(9, 2, 7), (None, 0, None), (8, 0, 8)], key=repr)
     assert J.jaccard_join(docs.limit(0)).collect() == []
+
+
+def test_families_beyond_the_bounds_keep_their_groups(spark, monkeypatch):
+    docs = corpus()
+    monkeypatch.setattr(J, "candidate_families", lambda g, p, t, f=J.candidate_families: f(g, p, t, 3))
+    assert run(spark, docs) == brute(docs, 5)
+
+
+def test_name_filter_passes_all_wanted(spark):
+    sets = list(shingle_sets([(t or "").encode() for _, t in corpus()], 5))
+    names = [J.set_name(s) for s in sets if len(s)]
+    docs = spark.createDataFrame([(i, t) for i, t in corpus()], "i long, t string")
+    wanted = J.name_filter(spark.createDataFrame([(n,) for n in names[:9]], "name binary"))
+    got = {bytes(r["name"]) for r in J.named(docs, "t", 5, wanted).collect()}
+    assert set(names[:9]) <= got and len(got) < 15
+    assert J.named(docs, "t", 5, J.name_filter(spark.createDataFrame([], "name binary"))).collect() == []
