@@ -3,8 +3,8 @@
 A document's set holds its distinct shingles.  Two sets are linked when
 ``100 * intersection >= percent * union``; the join is exact.
 
-* Counts.  Shingles are hashed into ``GROUPS`` groups; a set's group counts are
-  a point.  The intersection of two sets is at most the sum over the groups of
+* Counts.  Shingles are hashed into groups, more for a larger set; a set's group
+  counts are a point.  The intersection of two sets is at most the sum over the groups of
   the smaller count, and of a set and a box of points at most the sum of the
   minima with the box's upper corner.
 * Blocks.  With shingles in one fixed order, sets of similarity t share one of
@@ -36,17 +36,31 @@ from panelscope.llm.near_dup import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 
-#: Coordinates of a point, and places of the table of counts (a task holds and
-#: sends 8 bytes for each).
+#: Coordinates of the point of a small set, and places of the table of counts
+#: (a task holds and sends 8 bytes for each).
 GROUPS, CELLS = 64, 1 << 14
 
+#: Elements to a coordinate at most: with n elements in G coordinates two
+#: unrelated sets differ by about sqrt(n G), linked ones by 2 n / 9 at most.
+SPREAD = 8
+
 #: Points of a leaf and children of a box.
 FANOUT = 16
 
 
-def group_counts(shingles: np.ndarray) -> np.ndarray:
-    """The point of a set."""
-    return np.bincount((shingles & U64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def group_counts(shingles: np.ndarray, groups: int | None = None) -> np.ndarray:
+    """The point of a set: of ``GROUPS`` coordinates, or twice, four times, ...
+    as many, so that no more than ``SPREAD`` elements fall to one on average."""
+    if groups is None:
+        groups = GROUPS
+        while len(shingles) > SPREAD * groups:
+            groups *= 2
+    return np.bincount((shingles & U64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
+
+
+def fold(point: np.ndarray, groups: int) -> np.ndarray:
+    """The point of the same set in fewer groups."""
+    return point.reshape(-1, groups).sum(axis=0, dtype=np.int32)
 
 
 class CountTree:
@@ -83,7 +97,7 @@ class CountTree:
         fits = (100 * high >= self.percent * n) & (100 * n >= self.percent * low)
         out = np.zeros(len(q), dtype=bool)
         at = np.flatnonzero(fits)
-        for part in np.array_split(at, len(at) // 8192 + 1):
+        for part in np.array_split(at, len(at) * self.points.shape[1] // (1 << 19) + 1):
             overlap = np.minimum(self.points[q[part]], upper[part]).sum(axis=1)
             out[part] = (100 + self.percent) * overlap >= self.percent * (n[part] + low[part])
         return out
@@ -105,18 +119,34 @@ class CountTree:
         keep = self._may(q, self.points[point], self.size[point], self.size[point])
         return q[keep], point[keep]
 
-    def search_all(self, many: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """:meth:`search` for every point, some at a time."""
-        for at in range(0, len(self.points), many):
-            yield self.search(np.arange(at, min(at + many, len(self.points))))
+    def search_all(self, count: int | None = None, many: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`search` for the first ``count`` points, some at a time."""
+        count = len(self.points) if count is None else count
+        for at in range(0, count, many):
+            yield self.search(np.arange(at, min(at + many, count)))
+
+
+def candidate_pairs(points: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) places of all pairs within the bound, each pair once, in rising
+    order of i within an array.  Points of one length share a tree, with those
+    of longer ones that their size allows, folded."""
+    length, size = np.array([len(p) for p in points]), np.array([p.sum() for p in points])
+    for groups in np.unique(length):
+        own = np.flatnonzero(length == groups)
+        above = np.flatnonzero((length > groups) & (percent * size <= 100 * size[own].max()))
+        members = np.concatenate([own, above])
+        if len(members) < 2:
+            continue
+        tree = CountTree(np.array([fold(points[i], groups) for i in members]), percent)
+        for q, point in tree.search_all(len(own)):
+            keep = point > q  # the longer ones come after all own
+            yield members[q[keep]], members[point[keep]]
 
 
 def tree_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     """Links of a group, verified on the pairs that the tree's search leaves."""
     group = Sets(sets, percent)
-    for q, point in CountTree(np.array([group_counts(s) for s in sets]), percent).search_all():
-        later = point > q
-        q, point = q[later], point[later]
+    for q, point in candidate_pairs([group_counts(s) for s in sets], percent):
         edge = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1], [True]))) if len(q) else []
         for first, last in zip(edge[:-1], edge[1:]):
             yield from group.connect(q[first], point[first:last])
@@ -136,9 +166,8 @@ def candidate_families(groups: DataFrame, points: DataFrame, percent: int, group
 
     def work(_, columns):
         nodes, n, counts = columns
-        tree = CountTree(np.array([unpack(c) for c in counts]), percent)
         label = np.arange(len(nodes))
-        for q, point in tree.search_all():
+        for q, point in candidate_pairs([unpack(c) for c in counts], percent):
             while (label[q] != label[point]).any():  # every root goes to the smallest it meets, its members follow
                 a, b = label[q], label[point]
                 low = np.minimum(a, b)
@@ -232,12 +261,13 @@ def named(docs: DataFrame, text: str, shingle: int, wanted: bytes | None = None)
 
 
 def pack(counts: np.ndarray) -> bytes:
-    """A point as one byte a coordinate, or four where one is 256 or more."""
-    return counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()
+    """A point as one byte a coordinate, or four where one is 256 or more, after
+    a byte that says which."""
+    return b"\1" + counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\4" + counts.astype(np.int32).tobytes()
 
 
 def unpack(point: bytes) -> np.ndarray:
-    return np.frombuffer(point, dtype=np.uint8 if len(point) == GROUPS else np.int32).astype(np.int32)
+    return np.frombuffer(point[1:], dtype=np.uint8 if point[0] == 1 else np.int32).astype(np.int32)
 
 
 def pack_tokens(tokens: np.ndarray) -> bytes:

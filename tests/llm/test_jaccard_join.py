@@ -42,7 +42,7 @@ def test_tree_finds_what_a_scan_finds():
         points = np.maximum(base[rng.integers(0, len(base), n)] + rng.integers(-1, 2, (n, J.GROUPS)) * (rng.random((n, J.GROUPS)) < 0.2), 0).astype(np.int32)
         points[:, 0] += 1
         tree = J.CountTree(points, 80)
-        got = {(int(q), int(p)) for qs, ps in tree.search_all(50) for q, p in zip(qs, ps)}
+        got = {(int(q), int(p)) for qs, ps in tree.search_all(many=50) for q, p in zip(qs, ps)}
         size = points.sum(axis=1)
         want = {(a, b) for a in range(n) for b in range(n)
                 if 180 * np.minimum(points[a], points[b]).sum() >= 80 * (size[a] + size[b])
@@ -55,7 +55,23 @@ def test_bound_never_loses_a_link():
     sets = [s for s in sets if len(s)]
     for a in sets:
         for b in sets:
-            assert np.minimum(J.group_counts(a), J.group_counts(b)).sum() >= len(np.intersect1d(a, b))
+            assert np.minimum(J.group_counts(a, 64), J.group_counts(b, 64)).sum() >= len(np.intersect1d(a, b))
+
+
+def test_candidates_hold_every_link_at_all_sizes():
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in (5, 60, 511, 512, 513, 620, 1024, 1030, 5000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for share in (0, 0.05, 0.1, 0.19, 0.4):
+            sets.append(np.unique(np.concatenate([base[int(share * n):], rng.integers(0, 1 << 63, int(share * n) // 8, dtype=np.uint64)])))
+    pairs = {(int(min(i, j)), int(max(i, j))) for q, p in J.candidate_pairs([J.group_counts(s) for s in sets], 80) for i, j in zip(q, p)}
+    linked = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+              if 100 * (same := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - same)}
+    assert linked <= pairs and len(pairs) < 3 * len(linked)
+    found = {frozenset(map(int, e)) for e in J.tree_links(sets, 80)}
+    assert found <= {frozenset(e) for e in linked}
+    assert (J.fold(J.group_counts(sets[-1]), 64) == J.group_counts(sets[-1], 64)).all()
 
 
 def test_nulls_repeats_and_clashes(spark):
