@@ -122,10 +122,10 @@ def q_class_probabilities(spark, d):
 # ------------------------------------------------------------------ reports
 
 @register("full_export", W() + f"""
-SELECT row_number() OVER (ORDER BY entity_id, period, rating) AS position, {COLS} FROM decomp""", OUT_DOUBLES)
+SELECT row_number() OVER (ORDER BY entity_id, period, rating) AS position, {COLS} FROM decomp ORDER BY position""", OUT_DOUBLES)
 def q_full_export(spark, d):
     """All rows with their place in the export's order."""
-    return with_position(_decomp(spark, d), tb.ENTITY, tb.PERIOD, "rating").select("position", *OUT)
+    return with_position(_decomp(spark, d), tb.ENTITY, tb.PERIOD, "rating").select("position", *OUT).orderBy("position")
 
 
 @register("near_slices", W() + f"""
