@@ -27,7 +27,7 @@ facts AS (
 CTE["panel"] = """
 panel AS (
   SELECT entity_id, period, unit_code, sum(qty) AS measure
-  FROM facts WHERE (entity_id + period) IS NOT NULL AND unit_code IS NOT NULL GROUP BY ALL
+  FROM facts WHERE entity_id IS NOT NULL AND period IS NOT NULL AND unit_code IS NOT NULL GROUP BY ALL
 )"""
 
 # every entity-period as one row with the list of its units

@@ -108,9 +108,9 @@ def q_match_rate(spark, d):
 
 
 @register("coverage_summary", WITH("rate_exposure") + """
-SELECT period, len(c) AS groups, len(list_filter(c, lambda x: x = 0))::BIGINT AS out_of_scope_count,
-       list_avg(c) AS avg_coverage, list_min(c) AS min_coverage, list_max(c) AS max_coverage
-FROM (SELECT period, list(coverage_weight_share) AS c FROM rate_exposure GROUP BY period)""",
+SELECT period, count(*) AS groups, count(*) FILTER (coverage_weight_share = 0) AS out_of_scope_count,
+       avg(coverage_weight_share) AS avg_coverage, min(coverage_weight_share) AS min_coverage, max(coverage_weight_share) AS max_coverage
+FROM rate_exposure GROUP BY period""",
           ["avg_coverage", "min_coverage", "max_coverage"])
 def q_coverage_summary(spark, d):
     return ex.coverage_summary(P.rate_exposure(spark, d), tb.PERIOD)
@@ -206,9 +206,8 @@ def q_band_counts(spark, d):
 
 
 @register("band_means", WITH("near") + """
-SELECT period, threshold_band, list_avg(x) AS mean_value, list_dot_product(x, t) / list_sum(t) AS weighted_mean_value
-FROM (SELECT period, threshold_band, list(rate_exposure ORDER BY entity_id) AS x, list(total_measure ORDER BY entity_id) AS t
-      FROM near GROUP BY ALL)""", ["mean_value", "weighted_mean_value"])
+SELECT period, threshold_band, avg(rate_exposure) AS mean_value, sum(rate_exposure * total_measure) / sum(total_measure) AS weighted_mean_value
+FROM near GROUP BY period, threshold_band""", ["mean_value", "weighted_mean_value"])
 def q_band_means(spark, d):
     return th.band_means(P.near_threshold(spark, d), tb.PERIOD, "rate_exposure")
 
