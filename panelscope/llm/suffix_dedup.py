@@ -17,9 +17,13 @@ another place, in this or any other document.
    neighbours are verified on the bytes.  A window with l bytes before its
    anchor is repeated when another run shares l bytes to the left and
    ``length - l`` to the right, which is a look at the two orders.
-4. An anchor with more distinct runs than ``group_rows`` is sorted in salted
-   parts.  A window without a partner in its part is counted by its hash over
-   all parts.
+4. An anchor with more distinct runs than ``group_rows`` is cut by content.
+   The number of bytes before the anchor is cut at fixed places in halves, a
+   run's windows go to their halves, and all windows of a half hold the same
+   stretch around the anchor.  That stretch names the new group: equal windows
+   stay together, and a run whose stretch reaches into text of its own is
+   alone.  Halves that are still too large are halved again; in the last step
+   a half is one window and its stretch the whole of it.
 
 Counting is pre-aggregated in every task, and no step gathers all places of an
 anchor.
@@ -27,12 +31,14 @@ anchor.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelscope.llm.common import U64, prefix_hash, range_hash, slices, stage_table, texts_of
+from panelscope.llm.common import U64, drop_stages, mix, prefix_hash, range_hash, slices, stage_table, texts_of
 
 LENGTH, GROUP_ROWS = 200, 2048
 
@@ -208,50 +214,23 @@ def repeated_windows(runs: list[bytes], windows: np.ndarray, offset: np.ndarray,
 
 
 def _sort_groups(length: int, batch_rows: int = 4096):
-    """A task function over runs sorted by (anchor, salt): ranges of repeated
-    windows, and of salted groups the windows to be counted over all parts."""
-    names = ["k1", "k2", "first", "last", "anchor", "window", "open"]
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int16()), ("first", pa.int32()), ("last", pa.int32()),
-                        ("anchor", pa.int64()), ("window", pa.int64()), ("open", pa.bool_())])
+    """A task function over runs sorted by anchor: ranges of repeated windows
+    of the runs that occur once."""
 
     def work(t: pa.Table):
-        anchor, salt, salted, single = (t.column(c).to_numpy() for c in ("anchor", "salt", "salted", "single"))
+        anchor, single = (t.column(c).to_numpy() for c in ("anchor", "single"))
         runs = t.column("bytes").to_pylist()
         start, windows, offset, k1, k2 = (t.column(c).to_numpy().astype(np.int64) for c in ("start", "windows", "offset", "k1", "k2"))
-        group = np.cumsum(np.concatenate(([0], (anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1]))))
-        again = repeated_windows(runs, windows, offset, group, length)
-        before = np.arange(again.shape[1])
-        has = (before <= offset[:, None]) & (before > (offset - windows)[:, None])
-        # runs that occur once: stretches of repeated windows
-        found = again & single[:, None]
+        group = np.cumsum(np.concatenate(([0], anchor[1:] != anchor[:-1])))
+        found = repeated_windows(runs, windows, offset, group, length) & single[:, None]
         edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         i, hi = np.nonzero(edge == -1)
         _, lo = np.nonzero(edge == 1)
         # more bytes before the anchor: an earlier window
-        ranges = [k1[i], k2[i], start[i] + offset[i] - (hi - 1), start[i] + offset[i] - lo, anchor[i],
-                  k1[i] + start[i] - lo, np.zeros(len(i), bool)]
-        # salted groups: every window by its hash; those without a partner stay open
-        i, l = np.nonzero(has & salted[:, None])
-        if len(i):
-            stop = np.cumsum([len(r) for r in runs])
-            h = prefix_hash(np.frombuffer(b"".join(runs), dtype=np.uint8))
-            at = (stop - [len(r) for r in runs])[i] + offset[i] - l
-            value = range_hash(h, at, at + length).view(np.int64)
-            lone = ~again[i, l]
-            # of windows with a partner in this part one goes on
-            _, one = np.unique(np.stack([group[i], value]), axis=1, return_index=True)
-            keep = lone.copy()
-            keep[one] = True
-            i, l, value, lone = i[keep], l[keep], value[keep], lone[keep]
-            first = start[i] + offset[i] - l
-            more = [k1[i], k2[i], first, first, anchor[i], value, lone & single[i]]
-            counted = [np.ones(len(i), bool)]
-            ranges = [np.concatenate(x) for x in zip(ranges, more)]
-        else:
-            counted = [np.zeros(0, bool)]
-        mark = np.concatenate((np.zeros(len(ranges[0]) - len(counted[0]), bool), counted[0]))
-        batch = pa.RecordBatch.from_arrays([pa.array(v).cast(f.type) for v, f in zip(ranges, schema)], names=names)
-        return batch.append_column("counted", pa.array(mark))
+        first, last = start[i] + offset[i] - (hi - 1), start[i] + offset[i] - lo
+        return pa.RecordBatch.from_arrays(
+            [pa.array(k1[i]), pa.array(k2[i], pa.int16()), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
+            names=["k1", "k2", "first", "last"])
 
     def run(batches):
         held: pa.Table | None = None
@@ -259,23 +238,22 @@ def _sort_groups(length: int, batch_rows: int = 4096):
             t = pa.Table.from_batches([batch])
             held = t if held is None else pa.concat_tables([held, t])
             if len(held) >= batch_rows:
-                a, s = held.column("anchor").to_numpy(), held.column("salt").to_numpy()
-                cut = len(a) - int(np.argmax(np.append((a[::-1] != a[-1]) | (s[::-1] != s[-1]), True)))
+                a = held.column("anchor").to_numpy()
+                cut = len(a) - int(np.argmax(np.append(a[::-1] != a[-1], True)))
                 if 0 < cut:
-                    for lo, hi in _even_cuts(a[:cut], s[:cut], batch_rows):
+                    for lo, hi in _even_cuts(a[:cut], batch_rows):
                         yield work(held.slice(lo, hi - lo))
                     held = held.slice(cut)
         if held is not None and len(held):
-            a, s = held.column("anchor").to_numpy(), held.column("salt").to_numpy()
-            for lo, hi in _even_cuts(a, s, batch_rows):
+            for lo, hi in _even_cuts(held.column("anchor").to_numpy(), batch_rows):
                 yield work(held.slice(lo, hi - lo))
 
     return run
 
 
-def _even_cuts(anchor: np.ndarray, salt: np.ndarray, rows: int):
+def _even_cuts(anchor: np.ndarray, rows: int):
     """Ranges of about ``rows`` rows that keep the groups whole."""
-    edge = np.flatnonzero(np.append((anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1]), True)) + 1
+    edge = np.flatnonzero(np.append(anchor[1:] != anchor[:-1], True)) + 1
     first = 0
     for e in edge.tolist():
         if e - first >= rows or e == len(anchor):
@@ -283,6 +261,82 @@ def _even_cuts(anchor: np.ndarray, salt: np.ndarray, rows: int):
             first = e
 
 
+#: A run with its bytes; ``single``: it occurs once, so its windows are asked for.
+PIECE = "k1 long, k2 short, start int, windows short, offset short, anchor long, single boolean, bytes binary"
+PIECE_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int16()), ("start", pa.int32()), ("windows", pa.int16()),
+                          ("offset", pa.int16()), ("anchor", pa.int64()), ("single", pa.bool_()), ("bytes", pa.binary())])
+
+
+def split_runs(length: int, width: int):
+    """A task function that cuts runs by the number of bytes before the anchor,
+    in cells of ``width`` numbers.  What all windows of a cell share names the
+    group of the part, with the anchor and the cell; ``run`` is the hash of the
+    part."""
+    most = length - max(1, length // 4)
+
+    def run(batches):
+        for batch in batches:
+            runs = batch.column(7).to_pylist()
+            for lo, hi in slices(runs):
+                yield cut(batch.slice(lo, hi - lo), runs[lo:hi])
+
+    def cut(batch, runs):
+        k1, k2, start, windows, offset, anchor = (batch.column(c).to_numpy().astype(np.int64) for c in range(6))
+        single = batch.column(6).to_numpy(zero_copy_only=False)
+        joined = b"".join(runs)
+        h = prefix_hash(np.frombuffer(joined, dtype=np.uint8))
+        size = np.array([len(r) for r in runs], dtype=np.int64)
+        at = np.cumsum(size) - size + offset
+        low = offset - windows + 1
+        count = offset // width - low // width + 1
+        i = np.repeat(np.arange(len(runs)), count)
+        cell = (low // width)[i] + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+        floor, top = cell * width, np.minimum(cell * width + width - 1, most)
+        # the windows of the part have `less` to `more` bytes before the anchor
+        less, more = np.maximum(low[i], floor), np.minimum(offset[i], top)
+        at, i64 = at[i], U64(1) << U64(20)
+        shared = range_hash(h, at - floor, at + length - top)
+        first, end = at - more, at + length - less
+        key = mix(mix(shared + cell.astype(U64) * i64) ^ mix(anchor[i].astype(U64) + U64(width)))
+        part = mix(range_hash(h, first, end) + (more * (most + 1) + less).astype(U64) * i64)
+        return pa.RecordBatch.from_arrays([
+            pa.array(k1[i]), pa.array(k2[i], pa.int16()), pa.array(start[i] + offset[i] - more, pa.int32()),
+            pa.array(more - less + 1, pa.int16()), pa.array(more, pa.int16()), pa.array(key.view(np.int64)), pa.array(single[i]),
+            pa.array([joined[a:b] for a, b in zip(first.tolist(), end.tolist())], pa.binary()), pa.array(part.view(np.int64))],
+            names=[*PIECE_SCHEMA.names, "run"])
+
+    return run
+
+
+def _to_compare(runs: DataFrame) -> DataFrame:
+    """(anchor, distinct_runs) of the groups of ``runs`` (anchor, single) that
+    hold a run that occurs once and another to share windows with."""
+    stat = runs.groupBy("anchor").agg(F.count("*").alias("distinct_runs"), F.count_if("single").alias("singles"))
+    return stat.filter("distinct_runs > 1 and singles > 0").select("anchor", "distinct_runs")
+
+
+def cut_large(large: DataFrame, length: int, group_rows: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """The runs of large groups, cut by content until no group has more than
+    ``group_rows`` runs: pieces to sort, and ranges (k1, k2, first, last) of
+    parts that occur again as a whole."""
+    small, whole = [], []
+    width = 1 << (length - max(1, length // 4)).bit_length()
+    place = F.struct("k1", "k2", "start", "windows", "offset", "bytes")
+    while width > 1 and not large.isEmpty():
+        width //= 2
+        parts = stage_table(large.select(*PIECE_SCHEMA.names).mapInArrow(split_runs(length, width), f"{PIECE}, run long"), "parts")
+        # one row for each distinct part; a part that occurs again is settled and stays as a partner
+        runs = stage_table(parts.groupBy("anchor", "run").agg(
+            F.count("*").alias("n"), F.min(place).alias("place"), F.bool_or("single").alias("asked")).select(
+            "place.*", "anchor", "run", "n", F.expr("n = 1 and asked").alias("single")), "part-runs")
+        whole.append(parts.filter("single").join(runs.filter("n > 1").select("anchor", "run"), ["anchor", "run"]).select(
+            "k1", "k2", F.col("start").alias("first"), (F.col("start") + F.col("windows") - 1).alias("last")))
+        asked = runs.join(_to_compare(runs), "anchor")
+        small.append(asked.filter(F.col("distinct_runs") <= group_rows).select(*PIECE_SCHEMA.names))
+        large = asked.filter(F.col("distinct_runs") > group_rows)
+    return small, whole
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, *, text: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
     """``docs`` with ``spans`` (array of start and end, the maximal removed
     runs in UTF-8 bytes) and ``kept`` (the remaining bytes, joined); columns of
@@ -303,20 +357,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, *, text: str = "text",
     again = stage_table(a.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "again")
     # equal texts have equal runs: a row for each place, whatever its text's copies
     d = stage_table(a.join(again, "anchor"), "repeated-anchors")
+    drop_stages(a, again)
     place = F.struct(*keys, "start", "windows", "offset")
     runs = d.groupBy("anchor", "run").agg(F.count("*").alias("n"), F.min(place).alias("place"))
     runs = stage_table(runs, "runs")
     whole = d.join(runs.filter("n > 1").select("anchor", "run"), ["anchor", "run"]).select(
         *keys, F.col("start").alias("first"), (F.col("start") + F.col("windows") - 1).alias("last"))
 
-    # anchors with a run that occurs once and another to share windows with
-    stat = runs.groupBy("anchor").agg(F.count("*").alias("distinct_runs"), F.count_if(F.col("n") == 1).alias("single"))
-    stat = stat.filter("distinct_runs > 1 and single > 0").select("anchor", "distinct_runs")
-    parts = F.ceil(F.col("distinct_runs") / group_rows).cast("int")
-    part = runs.join(stat, "anchor").select(
-        "place.*", "anchor", F.pmod(F.xxhash64("run"), parts).cast("int").alias("salt"),
-        (parts > 1).alias("salted"), (F.col("n") == 1).alias("single"))
-    wanted = part.groupBy(*keys).agg(F.collect_list(F.struct("start", "windows", "offset", "anchor", "salt", "salted", "single")).alias("wanted"))
+    stat = stage_table(_to_compare(runs.withColumn("single", F.col("n") == 1)), "groups")
+    part = runs.join(stat.select("anchor"), "anchor").select("place.*", "anchor", (F.col("n") == 1).alias("single"))
+    wanted = part.groupBy(*keys).agg(F.collect_list(F.struct("start", "windows", "offset", "anchor", "single")).alias("wanted"))
 
     def cut(batches):
         for batch in batches:
@@ -327,22 +377,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, *, text: str = "text",
                     out.append(w | {"k1": batch.column(len(names))[i].as_py(), "k2": batch.column(len(names) + 1)[i].as_py(),
                                     "bytes": texts[i][w["start"]:w["start"] + w["windows"] + length - 1]})
             if out:
-                yield pa.RecordBatch.from_pylist(out, schema=cut_schema)
+                yield pa.RecordBatch.from_pylist(out, schema=PIECE_SCHEMA)
 
     at = names.index(text)
-    cut_schema = pa.schema([("k1", pa.int64()), ("k2", pa.int16()), ("start", pa.int32()), ("windows", pa.int16()), ("offset", pa.int16()),
-                            ("anchor", pa.int64()), ("salt", pa.int32()), ("salted", pa.bool_()), ("single", pa.bool_()), ("bytes", pa.binary())])
     # all columns go along: the shuffle of the texts is the one of the last join
-    pieces = rows.join(wanted, keys).select(*rows.columns, "wanted").mapInArrow(
-        cut, "k1 long, k2 short, start int, windows short, offset short, anchor long, salt int, salted boolean, single boolean, bytes binary")
+    pieces = rows.join(wanted, keys).select(*rows.columns, "wanted").mapInArrow(cut, PIECE)
     # copies of a text cut the same pieces
-    pieces = pieces.dropDuplicates(["anchor", "salt", "k1", "k2", "start"])
-    shares = pieces.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(
-        _sort_groups(length), "k1 long, k2 short, first int, last int, anchor long, window long, open boolean, counted boolean")
-    # one row for each part of an anchor that holds the window: at most as many as there are parts
-    seen = F.count("*").over(Window.partitionBy("anchor", "window", "counted"))
-    shares = shares.withColumn("parts", seen).filter("not counted or (open and parts > 1)")
-    ranges = whole.unionByName(shares.select(*keys, "first", "last"))
+    pieces = pieces.dropDuplicates(["anchor", "k1", "k2", "start"])
+    ranges = whole
+    crowded = stat.filter(F.col("distinct_runs") > group_rows).select("anchor")
+    if not crowded.isEmpty():
+        pieces = stage_table(pieces, "pieces")
+        small, settled = cut_large(pieces.join(crowded, "anchor", "left_semi"), length, group_rows)
+        pieces = reduce(DataFrame.unionByName, small, pieces.join(crowded, "anchor", "left_anti"))
+        ranges = reduce(DataFrame.unionByName, settled, ranges)
+    shares = pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
+        _sort_groups(length), "k1 long, k2 short, first int, last int")
+    ranges = ranges.unionByName(shares)
     # a text's ranges are at most its bytes
     gone = ranges.groupBy(*keys).agg(F.collect_set(F.struct("first", "last")).alias("gone"))
 

@@ -46,7 +46,7 @@ def texts():
     return out + [base, base, base, shared[0] * 2]
 
 
-@pytest.mark.parametrize("length,group_rows", [(40, 2048), (40, 4), (9, 2048)])
+@pytest.mark.parametrize("length,group_rows", [(40, 2048), (40, 4), (40, 2), (9, 2048), (9, 3)])
 def test_brute_force(spark, texts, length, group_rows):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: ([(s["start"], s["end"]) for s in r["spans"]], bytes(r["kept"]))
@@ -55,6 +55,52 @@ def test_brute_force(spark, texts, length, group_rows):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_crowded_anchor(spark):
+    """One passage in many texts, whole and in part, between words of their own:
+    far more distinct runs at its anchors than a group may hold."""
+    rng = random.Random(5)
+
+    def own(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    passage = own(130)
+    texts = []
+    for i in range(120):
+        a, b = (0, 130) if i % 3 else (rng.randint(0, 40), rng.randint(70, 130))
+        # some contexts are shared as well, for a few bytes or for many
+        texts.append(own(rng.randint(0, 60)) + passage[:20 * (i % 5 == 0)] + passage[a:b] + rng.choice(["", "zz", passage[50:90]]) + own(rng.randint(0, 60)))
+    texts += texts[:5] + [passage, passage + "z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want = brute([t.encode() for t in texts], 40)
+    for group_rows in (8, 1):
+        got = {r["doc_id"]: ([(s["start"], s["end"]) for s in r["spans"]], bytes(r["kept"]))
+               for r in S.remove_repeats(docs, 40, group_rows=group_rows).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
+def test_parts_keep_every_window_once():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(50):
+        offset = rng.randint(0, 30)
+        windows = rng.randint(1, offset + 1)
+        rows.append({"k1": i, "k2": 0, "start": rng.randint(0, 9), "windows": windows, "offset": offset, "anchor": 5, "single": True,
+                     "bytes": bytes(rng.choice(b"ab") for _ in range(windows + 39))})
+    batch = pa.RecordBatch.from_pylist(rows, schema=S.PIECE_SCHEMA)
+    for width in (16, 4, 1):
+        parts = [p for out in S.split_runs(40, width)([batch]) for p in out.to_pylist()]
+        got = sorted((p["k1"], p["start"] + j, p["bytes"][j:j + 40]) for p in parts for j in range(p["windows"]))
+        assert got == sorted((r["k1"], r["start"] + j, r["bytes"][j:j + 40]) for r in rows for j in range(r["windows"]))
+        # equal windows at equal places of the anchor share a group
+        group = {}
+        for p in parts:
+            for j in range(p["windows"]):
+                assert group.setdefault((p["offset"] - j, p["bytes"][j:j + 40]), p["anchor"]) == p["anchor"]
+            assert len(p["bytes"]) == p["windows"] + 39
+
+
 def test_long_text_in_chunks(spark, monkeypatch):
     rng = random.Random(3)
     long = "".join(rng.choice("abc ") for _ in range(9000))
