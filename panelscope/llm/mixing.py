@@ -6,11 +6,16 @@ draws the exponential key ``-ln(u) / quality``, documents are sorted by key
 within their source and taken while their running sum fits what is left.
 
 The running sum is built from buckets of the key, so a source holding a third
-of all rows is sorted in ``buckets`` parts, not in one task.
+of all rows is sorted in ``buckets`` parts, not in one task.  A source's keys
+are exponential with its qualities as rates, so the rank of a key is about the
+mean of ``1 - exp(-quality * key)`` over the source's documents; cut evenly,
+this rank gives buckets of equal size whatever the qualities are.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +51,13 @@ def sample_key(quality: Column, *identity: Column, seed: int = 0) -> Column:
     return -F.log(u) / quality
 
 
+def key_rank(key: Column, shares: Column, rates: list[float]) -> Column:
+    """About the share of a source's documents whose key is ``key`` or less;
+    ``shares`` are those of the qualities ``rates``.  Every term grows with the
+    key, and so does their sum."""
+    return reduce(Column.__add__, [shares[i] * (1 - F.exp(-q * key)) for i, q in enumerate(rates)])
+
+
 def mix_sources(docs: DataFrame, labels: DataFrame | None = None, *, weights=SOURCE_WEIGHTS, share: float = 1.5,
                 epochs: float = 2.0, seed: int = 17, buckets: int = 1024) -> DataFrame:
     """``docs`` (doc_id, source, text, ...) with ``size``, ``source_size``,
@@ -65,21 +77,24 @@ def mix_sources(docs: DataFrame, labels: DataFrame | None = None, *, weights=SOU
         rows = rows.join(known, "doc_id", "left")
     else:
         rows = rows.withColumn("_quality", F.lit(None).cast("int"))
+    rates = sorted(set(QUALITY.values()))
     quality = F.when(F.col("_quality") == 1, QUALITY[1]).when(F.col("_quality") == 0, QUALITY[0]).otherwise(QUALITY[None])
     rows = stage_table(
-        rows.withColumn("_key", sample_key(quality, F.col("doc_id"), F.col("_text"), seed=seed)).drop("_quality"), "mix")
+        rows.withColumn("_key", sample_key(quality, F.col("doc_id"), F.col("_text"), seed=seed)).withColumn("_quality", quality), "mix")
 
-    sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    per_rate = [F.avg((F.col("_quality") == q).cast("double")).alias(f"w{i}") for i, q in enumerate(rates)]
+    sums = rows.groupBy("source").agg(F.sum("size").alias("n"), *per_rate).collect()
+    sizes = {r["source"]: r["n"] for r in sums}
     targets = source_targets(sizes, weights, share, epochs)
     spark = docs.sparkSession
     # a row for each source
     table = F.broadcast(spark.createDataFrame(
-        [(s, n, float(targets[s])) for s, n in sizes.items()], "s string, source_size long, target double"))
-    rows = rows.join(table, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+        [(r["source"], r["n"], float(targets[r["source"]]), [r[f"w{i}"] for i in range(len(rates))]) for r in sums],
+        "s string, source_size long, target double, _share array<double>"))
+    rows = rows.join(table, F.col("source").eqNullSafe(F.col("s"))).drop("s", "_quality")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    # exp(-key) lies in (0, 1] and falls as the key grows
-    bucket = F.floor((1 - F.exp(-F.col("_key"))) * buckets).cast("int")
-    rows = rows.withColumn("_whole", whole.cast("long")).withColumn("_bucket", bucket)
+    bucket = F.floor(key_rank(F.col("_key"), F.col("_share"), rates) * buckets).cast("int")
+    rows = rows.withColumn("_whole", whole.cast("long")).withColumn("_bucket", bucket).drop("_share")
     sums = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     # at most `buckets` rows for each source
     before = sums.withColumn("_before", F.sum("_sum").over(
