@@ -71,9 +71,11 @@ def shard_ring(docs: DataFrame, n_shards: int = 8, *, text: str = "text", key: s
     ``size`` (bytes + 1), ``text_crc32``, ``shard`` and ``slot`` (0, 1, ...
     within the shard); columns of these names in ``docs`` are replaced.  A null text is an empty one.  Rows with equal texts
     share a shard as far as the capacity allows; rows equal in every column
-    are interchangeable.  An empty table gives an empty result.
+    are interchangeable, and many of them (null ids, say) are told apart by
+    their place in the staged rows.  A text longer than a shard's capacity
+    fills its shard beyond it.  An empty table gives an empty result.
 
-    ``slot`` orders a shard by ``buckets`` hash buckets of the key, so no task
+    ``slot`` orders a shard by ``buckets`` hash buckets of the rows, so no task
     sorts a whole shard."""
     own = [c for c in docs.columns if c not in (text, "size", "text_crc32", "shard", "slot")]
     body = F.coalesce(F.col(text), F.lit(""))
@@ -83,7 +85,8 @@ def shard_ring(docs: DataFrame, n_shards: int = 8, *, text: str = "text", key: s
             (utf8_bytes(text) + 1).alias("size"),
             F.crc32(body.cast("binary")).alias("text_crc32"),
             F.md5(body.cast("binary")).alias("_group"),
-            F.xxhash64(F.col(key), F.lit(7)).alias("_spread"),
+            F.xxhash64(F.col(key), *[F.col(c) for c in own if c != key and "map<" not in dict(docs.dtypes)[c]], F.lit(7)).alias("_spread"),
+            F.monotonically_increasing_id().alias("_id"),
         ), "shard-rows")
     groups = rows.groupBy("_group").agg(F.sum("size").alias("_bytes"))
     total = groups.agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]
@@ -95,7 +98,12 @@ def shard_ring(docs: DataFrame, n_shards: int = 8, *, text: str = "text", key: s
 
     # the few groups above the bound: at most n_shards / piece_share of them
     large = groups.filter(F.col("_bytes") > piece).select("_group", F.ceil(F.col("_bytes") / piece).alias("_n"))
-    rows = rows.join(F.broadcast(large), "_group", "left").withColumn(
+    rows = rows.join(F.broadcast(large), "_group", "left")
+    # equal rows of a large group that are too many for a piece: at most n_shards / piece_share kinds of them
+    equal = rows.filter("_n is not null").groupBy("_group", "_spread").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
+    equal = equal.filter((F.col("_bytes") > piece) & (F.col("_rows") > 1)).select("_group", "_spread", F.lit(True).alias("_many"))
+    rows = rows.join(F.broadcast(equal), ["_group", "_spread"], "left").withColumn(
+        "_spread", F.when(F.col("_many"), F.xxhash64("_spread", "_id")).otherwise(F.col("_spread"))).withColumn(
         "_piece", F.pmod("_spread", F.coalesce("_n", F.lit(1))).cast("int"))
     cell = F.pmod(F.conv(F.substring("_group", 1, 12), 16, 10).cast("long"), F.lit(cells)).cast("int")
     keys = stage_table(
@@ -110,14 +118,15 @@ def shard_ring(docs: DataFrame, n_shards: int = 8, *, text: str = "text", key: s
     table = spark.createDataFrame(ranges, "_cell int, _first long, _end long, shard int")
     placed = keys.join(F.broadcast(table), "_cell").filter(
         (F.col("_at") >= F.col("_first")) & (F.col("_at") < F.col("_end"))).select("_group", "_piece", "shard")
-    rows = stage_table(rows.join(placed, ["_group", "_piece"]).drop("_n", "_piece"), "shard-placed")
+    rows = stage_table(rows.join(placed, ["_group", "_piece"]).drop("_n", "_piece", "_many"), "shard-placed")
 
-    rows = rows.withColumn("_bucket", F.pmod("_spread", F.lit(buckets)).cast("int"))
+    # the group as well: rows without a key are spread by their texts
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_spread", "_group"), F.lit(buckets)).cast("int"))
     counts = rows.groupBy("shard", "_bucket").agg(F.count("*").alias("_count"))
     # n_shards * buckets rows at most
     offsets = counts.withColumn("_offset", F.sum("_count").over(
         Window.partitionBy("shard").orderBy("_bucket")) - F.col("_count")).drop("_count")
-    within = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("_spread", "_group"))
+    within = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("_spread", "_group", "_id"))
     out = rows.withColumn("_nth", within - 1).join(F.broadcast(offsets), ["shard", "_bucket"])
     mine = ["_row.*"] if own else []
     return out.select(*mine, "size", "text_crc32", "shard", (F.col("_offset") + F.col("_nth")).cast("long").alias("slot"))

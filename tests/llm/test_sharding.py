@@ -1,4 +1,8 @@
+import random
 from collections import Counter, defaultdict
+from hashlib import md5
+
+import pytest
 
 from panelscope.llm import sharding as S
 
@@ -53,6 +57,68 @@ def test_limited_movement(spark):
     assert sum(a[i] != b[i] for i in a) < 0.6 * len(a)  # hashing anew would move 8 of 9
 
 
+def ring_by_hand(rows, n_shards, per_shard=64, cells=1 << 14, slack=0.005):
+    """The bounded-load walk over single texts, without Spark: {text: shard},
+    where no text is large enough to be cut."""
+    nodes = S.virtual_nodes(n_shards, per_shard, cells)
+    size = Counter()
+    for text in rows:
+        size[md5((text or "").encode()).hexdigest()] += len((text or "").encode()) + 1
+    capacity = (1 + slack) * sum(size.values()) / n_shards + 1
+    cell = {g: int(g[:12], 16) % cells for g in size}
+    at, place = Counter(), {}
+    for g in sorted(size):
+        place[g] = at[cell[g]]
+        at[cell[g]] += size[g]
+    # a text belongs where its first byte falls
+    room, out = dict.fromkeys(range(n_shards), capacity), {}
+    waiting = [(c, 0, n, next((i for i, v in enumerate(nodes) if v[0] >= c), 0)) for c, n in sorted(at.items())]
+    while waiting:
+        later = []
+        for c, first, end, node in waiting:
+            take = min(end - first, int(room[nodes[node][1]]))
+            room[nodes[node][1]] -= take
+            for g in (g for g in size if cell[g] == c and first <= place[g] < first + take):
+                out[g] = nodes[node][1]
+            if first + take < end:
+                node = (node + 1) % len(nodes)
+                while int(room[nodes[node][1]]) <= 0:
+                    node = (node + 1) % len(nodes)
+                later.append((c, first + take, end, node))
+        waiting = later
+    return {text: out[md5((text or "").encode()).hexdigest()] for text in rows}
+
+
+def test_against_a_walk_by_hand(spark):
+    rng = random.Random(3)
+    texts = [f"text {rng.randint(0, 900)} " * rng.randint(1, 9) for _ in range(1500)] + ["", None]
+    d = spark.createDataFrame([(t, t) for t in texts], "doc_id string, text string")
+    got = {r["doc_id"]: r["shard"] for r in S.shard_ring(d, 5).collect()}
+    assert got == ring_by_hand(texts, 5)
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_many_equal_rows_without_a_key(spark, key):
+    """A third of the rows, equal in every column, on their own more than a shard holds."""
+    d = spark.createDataFrame([(key if i % 3 == 0 else i, ("copy " * 40) if i % 3 == 0 else f"text {i} " * (1 + i % 23)) for i in range(4000)],
+                              "doc_id long, text string").repartition(6)
+    out = S.shard_ring(d, 8).collect()
+    load, slots = Counter(), defaultdict(list)
+    for r in out:
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(load.values()) / 8
+    assert len(out) == 4000 and all(abs(n - mean) <= 0.05 * mean for n in load.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_extra_columns_of_any_type(spark):
+    d = spark.createDataFrame([(1, "a", {"k": 1}, "c"), (2, "b", None, None)], "doc_id long, text string, m map<string,int>, size string")
+    out = S.shard_ring(d, 2)
+    assert out.columns == ["doc_id", "m", "size", "text_crc32", "shard", "slot"]
+    assert sorted((r["doc_id"], r["size"]) for r in out.collect()) == [(1, 2), (2, 2)]
+
+
 def test_edges(spark):
     d = spark.createDataFrame([(None, None), (1, ""), (1, "é"), (1, "é"), (2, "x" * 100_000)], "doc_id long, text string")
     out = S.shard_ring(d, 8).collect()
