@@ -1,25 +1,28 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and test items that share seeds, runs of ``min_match`` words, meet
-inside the task that reads the document.  For each such pair the longest run
-of words common to both, not yet marked in either, is found by Karp-Rabin
-hashes of running windows (binary search over the length) and marked; this
-repeats until no common run of ``min_match`` words is left.  The marked share
-of the item is its coverage: passages in another order, or cut apart, still
-cover it.
-
-The items travel to the tasks in blocks of at most ``block_bytes``; every
-block is held against all documents.  Documents are never shuffled.
+Documents and test items that share seeds, runs of a few words, meet inside
+the task that reads the document.  For each such pair the longest run of words
+common to both, not yet marked in either, is found by Karp-Rabin hashes of
+running windows (binary search over the length) and marked; this repeats until
+no common run of a seed's length is left.  The marked share of the item is its
+coverage: passages in another order, or cut apart, still cover it.  A seed has
+``min_match`` words, fewer for short items (:func:`seed_words`).
+
+The items travel to the tasks in blocks of about ``block_bytes``, a job for
+each: all documents are held against one block, what they leak is written to
+the shared folder, and the block is released before the next.  So the driver
+and a task hold one block at a time, whatever the number of items.  Documents
+are never shuffled for the search.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelscope.llm.common import NOT_ALNUM, U64, Words, mix, slices, texts_of, utf8_bytes
+from panelscope.llm.common import NOT_ALNUM, U64, Words, mix, slices, stage_path, texts_of, utf8_bytes
 
 MIN_MATCH, THRESHOLD, BLOCK_BYTES = 5, 0.8, 8 << 20
 MATCH = "struct<item_id:bigint,item_words:bigint,covered_words:bigint,n_tiles:bigint,coverage:double>"
@@ -27,6 +30,16 @@ MATCH = "struct<item_id:bigint,item_words:bigint,covered_words:bigint,n_tiles:bi
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
 
 
+def seed_words(n: int, min_match: int = MIN_MATCH) -> int:
+    """Words of a seed of an item of ``n`` words: ``min_match``; an item of
+    2 * ``min_match`` words or fewer has one run as a seed if it is shorter than
+    that; in between a fifth of the item, 3 at least, so that one changed word
+    in a short item does not hide its neighbours."""
+    if n <= 2 * min_match:
+        return min(n, min_match)
+    return min(min_match, max(3, n // 5))
+
+
 def normal_words(texts: list[bytes]) -> Words:
     """Words as test items are compared: runs of letters and digits in lower
     case, so punctuation and capitals hide nothing."""
@@ -98,10 +111,11 @@ class Items:
         self.ids = [i for i, _ in rows]
         self.words = [w.hash[w.offset[i]:w.offset[i + 1]] for i in range(len(rows))]
         self.seeds = {}
-        for k in sorted({min(min_match, len(x)) for x in self.words} - {0}):
+        size = np.array([seed_words(len(x), min_match) for x in self.words], dtype=np.int64)
+        for k in sorted(set(size.tolist()) - {0}):
             values, offset = w.shingles(k)
             owner = np.repeat(np.arange(len(rows)), np.diff(offset))
-            mine = np.array([min(min_match, len(x)) == k for x in self.words])[owner]
+            mine = (size == k)[owner]
             place = np.arange(len(values)) - offset[owner]
             order = np.lexsort((place[mine], owner[mine], values[mine]))
             self.seeds[k] = (values[mine][order], owner[mine][order], place[mine][order])
@@ -151,7 +165,7 @@ class Items:
         return self.ids[item], len(target), covered, len(found), covered / len(target)
 
 
-def blocks_of(items: DataFrame, block_bytes: int) -> list[list[tuple]]:
+def blocks_of(items: DataFrame, block_bytes: int):
     """The test items in blocks of about ``block_bytes``, one after another."""
     total = items.agg(F.coalesce(F.sum(utf8_bytes("text") + 16), F.lit(0))).first()[0]
     n = max(1, -(-total // block_bytes))
@@ -161,35 +175,59 @@ def blocks_of(items: DataFrame, block_bytes: int) -> list[list[tuple]]:
         yield [tuple(r) for r in mine.collect()]
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, *, text: str = "text", min_match: int = MIN_MATCH,
-               threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``leaks``: an array of (item_id, item_words,
-    covered_words, n_tiles, coverage) of the test items (item_id, text) whose
-    words the document covers to ``threshold`` or more; a column of that name
-    is replaced.
-
-    A null or empty text, or an item without words, matches nothing; an item
-    of fewer than ``min_match`` words must be covered by one run.  Repeated
-    items are reported each.  Empty tables give no leaks."""
-    names = [c for c in docs.columns if c != "leaks"]
-    at = names.index(text)
-    out = docs.select(*names).toDF(*[f"c{i}" for i in range(len(names))])
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema)
-    out = out.withColumn("leaks", F.array().cast(f"array<{MATCH}>"))
+def leaks_by_text(docs: DataFrame, items: DataFrame, *, text: str = "text", min_match: int = MIN_MATCH,
+                  threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, leaks) for every different text of ``docs`` that covers a test
+    item: ``key`` is :func:`text_key`, ``leaks`` as in :func:`find_leaks`."""
+    spark = docs.sparkSession
+    path = stage_path(spark, "leaks")
+    texts = docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("t")).filter("t <> ''")
     fields = ["item_id", "item_words", "covered_words", "n_tiles", "coverage"]
     kind = pa.list_(pa.struct([(f, pa.int64()) for f in fields[:4]] + [("coverage", pa.float64())]))
-    for block in blocks_of(items, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(block)  # block_bytes at most
+    schema = f"block int, key string, leaks array<{MATCH}>"
+    for number, block in enumerate(blocks_of(items, block_bytes)):
+        shared = spark.sparkContext.broadcast(block)  # about block_bytes
 
-        def tile(batches, shared=shared):
+        def tile(batches, shared=shared, number=number):
             index = Items(shared.value, min_match)
             for batch in batches:
-                texts, found = texts_of(batch.column(at)), batch.column(len(names)).to_pylist()
+                texts, keys = texts_of(batch.column(1)), batch.column(0)
+                rows, leaks = [], []
                 for first, last in slices(texts):
-                    for i, more in enumerate(index.matches(normal_words(texts[first:last]), threshold)):
-                        if more:
-                            found[first + i] = (found[first + i] or []) + [dict(zip(fields, m)) for m in more]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, kind)], names=batch.schema.names)
+                    for i, found in enumerate(index.matches(normal_words(texts[first:last]), threshold)):
+                        if found:
+                            rows.append(first + i)
+                            leaks.append([dict(zip(fields, m)) for m in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number] * len(rows), pa.int32()), keys.take(pa.array(rows, pa.int64())), pa.array(leaks, kind)],
+                    names=["block", "key", "leaks"])
+
+        texts.mapInArrow(tile, schema).write.mode("append").parquet(path)
+        shared.destroy()
+    # equal texts leak the same: one row of each block
+    found = spark.read.schema(schema).parquet(path).groupBy("key", "block").agg(F.first("leaks").alias("leaks"))
+    return found.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
 
-        out = out.mapInArrow(tile, f"{schema}, leaks array<{MATCH}>")
-    return out.toDF(*names, "leaks")
+
+def text_key(text: Column) -> Column:
+    """What names a text: its SHA-256."""
+    return F.sha2(text, 256)
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, *, text: str = "text", min_match: int = MIN_MATCH,
+               threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with ``leaks``: an array of (item_id, item_words,
+    covered_words, n_tiles, coverage), sorted, of the test items (item_id,
+    text) whose words the document covers to ``threshold`` or more; a column of
+    that name is replaced.
+
+    A null or empty text, or an item without words, matches nothing; an item of
+    fewer than ``min_match`` words must be covered by one run.  Very long texts
+    are read whole.  Repeated items are reported each.  Empty tables give no
+    leaks.  What covers less than ``threshold``, or lies in runs shorter than a
+    seed, is not found."""
+    names = [c for c in docs.columns if c != "leaks"]
+    found = leaks_by_text(docs, items, text=text, min_match=min_match, threshold=threshold, block_bytes=block_bytes)
+    found = found.select(F.col("key").alias("_key"), F.col("leaks").alias("_leaks"))
+    out = docs.select(*names).join(found, text_key(F.col(text)) == F.col("_key"), "left")
+    return out.select(*names, F.coalesce("_leaks", F.array().cast(f"array<{MATCH}>")).alias("leaks"))

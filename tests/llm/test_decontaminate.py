@@ -96,3 +96,34 @@ def test_short_items_and_empty_tables(spark):
     assert {r["doc_id"]: len(r["leaks"]) for r in D.find_leaks(docs, items).collect()} == {1: 1, 2: 0}
     assert [len(r["leaks"]) for r in D.find_leaks(docs, items.limit(0)).collect()] == [0, 0]
     assert D.find_leaks(docs.limit(0), items).collect() == []
+
+
+def test_one_changed_word_in_a_short_item(spark):
+    item = ITEM[:15]
+    texts = [NOISE(9) + item[:n] + ["other"] + item[n + 1:] + NOISE(9) for n in range(15)] + [NOISE(9) + item[:11] + NOISE(9)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: [x["covered_words"] for x in r["leaks"]] for r in D.find_leaks(docs, items).collect()}
+    for i, t in enumerate(texts):
+        covered = greedy(item, t, 3)
+        assert got[i] == ([covered] if covered >= 12 else [])
+    assert sum(map(bool, got.values())) == 15
+    assert [D.seed_words(n) for n in (0, 3, 10, 11, 20, 25, 90)] == [0, 3, 5, 3, 4, 5, 5]
+
+
+def test_equal_texts_and_clashing_columns(spark):
+    text = " ".join(ITEM)
+    docs = spark.createDataFrame([(i % 7 or None, text, 5, "k") for i in range(300)] + [(None, None, None, None)],
+                                 "doc_id long, text string, block int, key string")
+    items = spark.createDataFrame([(1, text), (None, text)], "item_id long, text string")
+    out = D.find_leaks(docs, items, block_bytes=100)
+    assert out.columns == ["doc_id", "text", "block", "key", "leaks"]
+    got = out.collect()
+    assert len(got) == 301 and {tuple(x["item_id"] for x in r["leaks"]) for r in got if r["text"]} == {(None, 1)}
+
+
+def test_a_task_holds_one_block(spark):
+    docs = spark.createDataFrame([(1, " ".join(ITEM))], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(ITEM[i:])) for i in range(10)], "item_id long, text string")
+    plan = D.find_leaks(docs, items, block_bytes=300)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and len(list(D.blocks_of(items, 300))) > 3
