@@ -74,6 +74,11 @@ def test_boosting_separates_patterns():
     assert score(0b01) > 0.9 and score(0b11) > 0.9 and score(0b10) < 0.1 and score(0b00) < 0.1
     limit = P.thresholds(counts, score, precision=0.9)
     assert score(0b11) >= limit[0] > score(0b10) and limit[1] == 2.0
+    # a kind with three cases leans on the others, one with many wrong ones does not
+    few = [(1 << len(P.FEATURES), 3, 3), (2 << len(P.FEATURES), 60, 30)]
+    level = {0b01: 0.99, 0b11: 0.98, few[0][0]: 0.97, few[1][0]: 0.96}
+    limit = P.thresholds(counts[::2] + few, level.get, precision=0.9)
+    assert limit[0] == 0.98 and limit[1] == 0.97 and limit[2] == 2.0
     assert P.boost([])(5) == 0.5
 
 
@@ -98,3 +103,54 @@ def test_query_matches_its_digest_and_runs_no_python(spark, tmp_path):
         want = base(FIXED[r["doc_id"]])
         assert r["base_sha256"] == sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
         assert [r[f"n_{k}"] for k in P.KINDS] == [sum(w[0] == k for w in want) for k in P.KINDS]
+
+
+def digits(rng, n, valid):
+    while True:
+        c = "".join(rng.choice("123456789") for _ in range(n))
+        if check_sum(c) == valid:
+            return c
+
+
+def test_parts_of_failed_matches_are_decided_by_the_trees(spark):
+    """Numbers that run into each other make one base match that fails; the
+    whole ones among their parts are added, with few right ones refused and
+    few wrong ones let through."""
+    rng = random.Random(12)
+    phone = lambda: f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+    ip = lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4))
+    texts, truth = [], []
+
+    def add(*pieces):
+        text, own = "", []
+        for p, kind in pieces:
+            if kind:
+                own.append((kind, len(text), len(text) + len(p)))
+            text += p
+        texts.append(text)
+        truth.append(own)
+
+    for i in range(120):
+        add(("see ", None), (phone(), "phone"), (f" or {i} of them, ", None), (digits(rng, 16, True), "card"), (" done.", None))
+        add(("number ", None), (digits(rng, 16, False), None), (" is none", None))
+    for _ in range(6):
+        add(("see ", None), (phone(), "phone"), (" ", None), (ip(), "ip"), (" there", None))
+        add(("see ", None), (digits(rng, 16, True), "card"), (" ", None), (digits(rng, 16, True), "card"), (" there", None))
+        add(("see ", None), (digits(rng, 16, True), "card"), (" ", None), (digits(rng, 16, False), None), (" there", None))
+    got = spans_of(spark, texts)
+    found = {(i, s["kind"], s["start"], s["end"]) for i in got for s in got[i]}
+    added = {(i, s["kind"], s["start"], s["end"]) for i in got for s in got[i] if not s["base"]}
+    want = {(i, *t) for i, own in enumerate(truth) for t in own}
+    assert len(added) >= 20 and added <= want  # precision
+    assert want <= found  # recall
+
+
+def test_many_numbers_in_one_text(spark):
+    """Positions are summed up in blocks: no growth with the square."""
+    from time import monotonic
+
+    text = " x ".join(f"{i}.1.2.3" for i in range(20_000)) + " a@b.co"
+    t = monotonic()
+    spans = spans_of(spark, [text])[0]
+    assert [(s["kind"], s["start"], s["end"]) for s in spans] == base(text)
+    assert monotonic() - t < 30
