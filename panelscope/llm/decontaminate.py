@@ -8,21 +8,21 @@ no common run of a seed's length is left.  The marked share of the item is its
 coverage: passages in another order, or cut apart, still cover it.  A seed has
 ``min_match`` words, fewer for short items (:func:`seed_words`).
 
-The items travel to the tasks in blocks of about ``block_bytes``, a job for
-each: all documents are held against one block, what they leak is written to
-the shared folder, and the block is released before the next.  So the driver
-and a task hold one block at a time, whatever the number of items.  Documents
-are never shuffled for the search.
+The items travel to the tasks in blocks of about ``block_bytes``, one after
+another: all documents are held against a block, and before the next one they
+are written to the shared folder with what they leak, and the block is
+released.  So the driver and a task hold one block at a time, whatever the
+number of items.  Documents are never shuffled.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelscope.llm.common import NOT_ALNUM, U64, Words, mix, slices, stage_path, texts_of, utf8_bytes
+from panelscope.llm.common import NOT_ALNUM, U64, Words, drop_stages, mix, slices, stage_table, texts_of, utf8_bytes
 
 MIN_MATCH, THRESHOLD, BLOCK_BYTES = 5, 0.8, 8 << 20
 MATCH = "struct<item_id:bigint,item_words:bigint,covered_words:bigint,n_tiles:bigint,coverage:double>"
@@ -142,7 +142,7 @@ class Items:
                                     words.hash[words.offset[t]:words.offset[t + 1]], threshold)
                 if found:
                     out[t].append(found)
-        return [sorted(x, key=lambda m: (m[0] is None, m[0])) for x in out]
+        return [sorted(x, key=lambda m: (m[0] is not None, m[0] or 0)) for x in out]
 
     def _cover(self, item: int, k: int, places, wheres, doc, threshold):
         target = self.words[item]
@@ -175,45 +175,6 @@ def blocks_of(items: DataFrame, block_bytes: int):
         yield [tuple(r) for r in mine.collect()]
 
 
-def leaks_by_text(docs: DataFrame, items: DataFrame, *, text: str = "text", min_match: int = MIN_MATCH,
-                  threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(key, leaks) for every different text of ``docs`` that covers a test
-    item: ``key`` is :func:`text_key`, ``leaks`` as in :func:`find_leaks`."""
-    spark = docs.sparkSession
-    path = stage_path(spark, "leaks")
-    texts = docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("t")).filter("t <> ''")
-    fields = ["item_id", "item_words", "covered_words", "n_tiles", "coverage"]
-    kind = pa.list_(pa.struct([(f, pa.int64()) for f in fields[:4]] + [("coverage", pa.float64())]))
-    schema = f"block int, key string, leaks array<{MATCH}>"
-    for number, block in enumerate(blocks_of(items, block_bytes)):
-        shared = spark.sparkContext.broadcast(block)  # about block_bytes
-
-        def tile(batches, shared=shared, number=number):
-            index = Items(shared.value, min_match)
-            for batch in batches:
-                texts, keys = texts_of(batch.column(1)), batch.column(0)
-                rows, leaks = [], []
-                for first, last in slices(texts):
-                    for i, found in enumerate(index.matches(normal_words(texts[first:last]), threshold)):
-                        if found:
-                            rows.append(first + i)
-                            leaks.append([dict(zip(fields, m)) for m in found])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * len(rows), pa.int32()), keys.take(pa.array(rows, pa.int64())), pa.array(leaks, kind)],
-                    names=["block", "key", "leaks"])
-
-        texts.mapInArrow(tile, schema).write.mode("append").parquet(path)
-        shared.destroy()
-    # equal texts leak the same: one row of each block
-    found = spark.read.schema(schema).parquet(path).groupBy("key", "block").agg(F.first("leaks").alias("leaks"))
-    return found.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
-
-
-def text_key(text: Column) -> Column:
-    """What names a text: its SHA-256."""
-    return F.sha2(text, 256)
-
-
 def find_leaks(docs: DataFrame, items: DataFrame, *, text: str = "text", min_match: int = MIN_MATCH,
                threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``leaks``: an array of (item_id, item_words,
@@ -227,7 +188,33 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, text: str = "text", min_mat
     leaks.  What covers less than ``threshold``, or lies in runs shorter than a
     seed, is not found."""
     names = [c for c in docs.columns if c != "leaks"]
-    found = leaks_by_text(docs, items, text=text, min_match=min_match, threshold=threshold, block_bytes=block_bytes)
-    found = found.select(F.col("key").alias("_key"), F.col("leaks").alias("_leaks"))
-    out = docs.select(*names).join(found, text_key(F.col(text)) == F.col("_key"), "left")
-    return out.select(*names, F.coalesce("_leaks", F.array().cast(f"array<{MATCH}>")).alias("leaks"))
+    at = names.index(text)
+    out = docs.select(*names).toDF(*[f"c{i}" for i in range(len(names))])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema)
+    out = out.withColumn("leaks", F.array().cast(f"array<{MATCH}>"))
+    fields = ["item_id", "item_words", "covered_words", "n_tiles", "coverage"]
+    kind = pa.list_(pa.struct([(f, pa.int64()) for f in fields[:4]] + [("coverage", pa.float64())]))
+    shared = written = None
+    for block in blocks_of(items, block_bytes):
+        if shared is not None:
+            # what the block before found is written, then its items go
+            last, written = written, stage_table(out, "leaks")
+            shared.destroy()
+            if last is not None:
+                drop_stages(last)
+            out = written
+        shared = docs.sparkSession.sparkContext.broadcast(block)  # about block_bytes
+
+        def tile(batches, shared=shared):
+            index = Items(shared.value, min_match)
+            for batch in batches:
+                texts, found = texts_of(batch.column(at)), batch.column(len(names)).to_pylist()
+                for first, last in slices(texts):
+                    for i, more in enumerate(index.matches(normal_words(texts[first:last]), threshold)):
+                        if more:
+                            leaks = (found[first + i] or []) + [dict(zip(fields, m)) for m in more]
+                            found[first + i] = sorted(leaks, key=lambda m: (m["item_id"] is not None, m["item_id"] or 0))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, kind)], names=batch.schema.names)
+
+        out = out.mapInArrow(tile, f"{schema}, leaks array<{MATCH}>")
+    return out.toDF(*names, "leaks")
