@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,19 @@ def top_k_sum(df: DataFrame, keys: Sequence[str], value: str, tiebreak: str, k:
     return top.groupBy(*keys).agg(F.sum(value).alias(out))
 
 
+def top_k_floor(value: Column, tiebreak: str, k: int = 5, salt_buckets: int = 8) -> Column:
+    """Aggregate: a value no larger than the ``k``-th largest of the group, so
+    that the rows from it upwards hold the top ``k``.
+
+    The maxima of ``salt_buckets`` hash buckets are rows of the group, hence the
+    ``k``-th largest of them is such a value, and a close one: few rows reach it
+    unless they are tied.  Null where fewer than ``k`` buckets have a row, and
+    all rows count.  Plain maxima add up map-side and need no sort."""
+    salt = F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(salt_buckets))
+    maxima = F.array(*[F.max(F.when(salt == b, value)) for b in range(salt_buckets)])
+    return F.get(F.sort_array(maxima, asc=False), F.lit(k - 1))
+
+
 def concentration_aggs(weight: str = "weight") -> list:
     """HHI, entropy, top-1 share and unit count over positive weights, as
     aggregate expressions (shareable with other per-key aggregates)."""

@@ -64,7 +64,8 @@ def attach_packed(weights: DataFrame, packed: DataFrame, value: str, unit: str =
     columns, and ``has_`` flags (0 for a unit without a row)."""
     static = [c for c in packed.columns if c not in ("_u", "by_period")]
     key = F.col(period) - F.lit(lag)
-    joined = weights.join(packed, F.col(unit) == F.col("_u"), "left")
+    # a row a unit: its side of a partition is hashed, the weights need no sort
+    joined = weights.join(packed.hint("shuffle_hash"), F.col(unit) == F.col("_u"), "left")
     return joined.select(*weights.columns, F.try_element_at("by_period", key).alias(value),
                          F.coalesce(F.map_contains_key("by_period", key), F.lit(False)).cast("int").alias(f"has_{value}"),
                          *[F.coalesce(F.col(c), F.lit(0)).alias(c) if c.startswith("has_") else F.col(c) for c in static])

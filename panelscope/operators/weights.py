@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,8 +23,20 @@ def aggregate_panel(rows: DataFrame, keys: Sequence[str], measure: str, out: str
     return keep.groupBy(*keys).agg(*aggs)
 
 
+def positive(measure: str = "measure") -> Column:
+    """The measure where it has a weight, else null."""
+    return F.when(F.col(measure) > 0, F.col(measure))
+
+
+def group_totals(panel: DataFrame, group: Sequence[str], measure: str = "measure",
+                 total: str = "total_measure", extra: dict | None = None) -> DataFrame:
+    """Total of the positive measures of every group (null without one);
+    ``extra`` adds named aggregates of the same pass, over all rows."""
+    return panel.groupBy(*group).agg(F.sum(positive(measure)).alias(total), *[c.alias(n) for n, c in (extra or {}).items()])
+
+
 def share_weights(panel: DataFrame, group: Sequence[str], measure: str = "measure",
-                  total: str = "total_measure", weight: str = "weight") -> DataFrame:
+                  total: str = "total_measure", weight: str = "weight", totals: DataFrame | None = None) -> DataFrame:
     """Share of the group total, after dropping null and non-positive
     measures (W1).
 
@@ -32,9 +44,13 @@ def share_weights(panel: DataFrame, group: Sequence[str], measure: str = "measur
     pre-aggregated, entity-period sized table, AQE may broadcast it when it
     is measured small at run time, and a sort-merge join can be split by AQE's
     skew handling when one group holds a large share of rows.  A window
-    partitioned by the group would put a hot group into one task."""
+    partitioned by the group would put a hot group into one task.
+
+    ``totals``, of :func:`group_totals` and written before, has a size that is
+    known when the join is planned; its further columns are carried along."""
     pos = panel.filter(F.col(measure).isNotNull() & (F.col(measure) > 0))
-    totals = pos.groupBy(*group).agg(F.sum(measure).alias(total))
+    if totals is None:
+        totals = pos.groupBy(*group).agg(F.sum(measure).alias(total))
     return (
         pos.join(totals, list(group))
         .withColumn(weight, F.col(measure).cast("double") / F.col(total).cast("double"))

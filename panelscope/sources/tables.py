@@ -8,7 +8,9 @@ tables; only the needed columns are read (column pruning reaches the scan).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import pad_code
@@ -47,13 +49,28 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: entity, period, unit (the ordering customer),
-    quantity and flag.  These are the 'plan rows' that A1 sums."""
+def unit_code(customer: str) -> Column:
+    """The code of a unit: a customer's key, padded."""
+    return pad_code(customer, UNIT_WIDTH)
+
+
+def unit_key(customer: str) -> Column:
+    """A number for each unit code, for plans that join and group by units and
+    put out none: eight bytes, sorted by themselves, where the padded codes of a
+    table begin with the same characters.  Codes are cut at ``UNIT_WIDTH``
+    characters, so keys of 19 digits and a sign share theirs with a shorter one."""
+    return F.expr(f"if({customer} <= -1000000000000000000L, {customer} div 10, {customer})")
+
+
+def fact_rows(spark: SparkSession, sf_dir: str, unit: Callable[[str], Column] = unit_code) -> DataFrame:
+    """One row per line item: entity, period, unit (the ordering customer, by
+    its code or :func:`unit_key`), quantity and flag.  These are the 'plan rows'
+    that A1 sums."""
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_returnflag")
     od = read(spark, sf_dir, "orders").select(
-        "o_orderkey", F.year("o_orderdate").alias(PERIOD), pad_code("o_custkey", UNIT_WIDTH).alias(UNIT))
-    return li.join(od, li.l_orderkey == od.o_orderkey).select(
+        "o_orderkey", F.year("o_orderdate").alias(PERIOD), unit("o_custkey").alias(UNIT))
+    # an order is a few bytes: its side of a partition is hashed, the line items need no sort
+    return li.join(od.hint("shuffle_hash"), li.l_orderkey == od.o_orderkey).select(
         F.col("l_suppkey").alias(ENTITY), PERIOD, UNIT,
         F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"))
 
@@ -75,7 +92,7 @@ def ratings_from_counts(counts: DataFrame) -> DataFrame:
     return per.select(ENTITY, PERIOD, rating.alias("rating"))
 
 
-def period_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def period_rates(spark: SparkSession, sf_dir: str, unit: Callable[[str], Column] = unit_code) -> DataFrame:
     """Period-varying unit rate (the lagged indicator): per customer and
     year, 100 x share of urgent orders among those not pending.  A customer
     without orders in a year has no row, one with pending orders alone a
@@ -83,11 +100,11 @@ def period_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     settled = F.col("o_orderstatus") != PENDING_STATUS
     urgent = F.when(F.col("o_orderpriority") == URGENT_PRIORITY, 1.0).otherwise(0.0)
-    return (od.groupBy(F.year("o_orderdate").alias(PERIOD), pad_code("o_custkey", UNIT_WIDTH).alias(UNIT))
+    return (od.groupBy(F.year("o_orderdate").alias(PERIOD), unit("o_custkey").alias(UNIT))
             .agg((F.lit(100.0) * F.avg(F.when(settled, urgent))).alias("rate")))
 
 
-def unit_attributes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unit_attributes_long(spark: SparkSession, sf_dir: str, unit: Callable[[str], Column] = unit_code) -> DataFrame:
     """Long attribute rows per unit, values as text (input of the pivot A10):
     CODE, the band of a balance that is not negative, and POP, the number of
     orders of a customer that has any."""
@@ -100,14 +117,14 @@ def unit_attributes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("POP").alias("attribute"), F.col("pop").cast("string").alias("value")),
     )
     return base.select(
-        pad_code("c_custkey", UNIT_WIDTH).alias(UNIT),
+        unit("c_custkey").alias(UNIT),
         F.col("c_nationkey").cast("string").alias("state"),
         F.translate("c_name", "uo#", "üö°").alias("unit_name"),
         F.inline(F.filter(rows, lambda r: r["value"].isNotNull())),
     )
 
 
-def scored_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored_areas(spark: SparkSession, sf_dir: str, unit: Callable[[str], Column] = unit_code) -> DataFrame:
     """Scored-area rows (the orders of a unit) for the weighted score with
     fallback: finished orders are designated, open ones withdrawn, pending
     ones have no status; a negative balance is no population."""
@@ -115,7 +132,7 @@ def scored_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
     status = F.when(F.col("o_orderstatus") == "F", "Designated").when(F.col("o_orderstatus") == "O", "Withdrawn")
     return od.join(cu, od.o_custkey == cu.c_custkey).select(
-        pad_code("o_custkey", UNIT_WIDTH).alias(UNIT),
+        unit("o_custkey").alias(UNIT),
         F.col("c_mktsegment").alias("area_class"),
         status.alias("status"),
         F.col("o_orderpriority").alias("area_type"),
