@@ -102,6 +102,73 @@ def test_split_groups_lose_no_link(spark):
         assert {i: comp.get(i, i) for i, _ in docs} == {i: c for i, (_, c) in want.items()}, many
 
 
+def split_links(spark, monkeypatch, docs, group_members):
+    """Components of ``docs`` (id, text), all of one block, by way of split
+    groups; with the members, and the lost and gained elements, that each round
+    compares with their centres."""
+    sets = list(L.shingle_sets([t.encode() for _, t in docs], 4))
+    texts = spark.createDataFrame(docs, "node long, body string")
+    members = spark.createDataFrame([(0, i, len(s)) for (i, _), s in zip(docs, sets)], "block long, node long, n long")
+    rounds, compare = [], L.compare_with_centre
+
+    def counted(*args):
+        out = compare(*args)
+        rounds.append(tuple(out.selectExpr("count(*)", "coalesce(sum(size(lost) + size(gained)), 0)").first()))
+        return out
+
+    monkeypatch.setattr(L, "compare_with_centre", counted)
+    links = L.link_blocks(members, texts, 4, 80, group_members=group_members)
+    comp = {r["node"]: r["comp"] for r in N.components(links).collect()}
+    return {i: comp.get(i, i) for i, _ in docs}, rounds, sum(map(len, sets))
+
+
+def test_near_copies_are_settled_in_one_round(spark, monkeypatch):
+    """Copies of one text around a centre that is none too good: a fifth or more
+    of them are not linked with it."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base, other = [word() for _ in range(160)], [word() for _ in range(30)]
+    docs = []
+    for i in range(150):
+        w = list(base)
+        for at in rng.sample(range(160), 5 if i == 0 else rng.randint(0, 8)):
+            w[at:at + 1] = rng.choice([[], [word()], [rng.choice(other)], [w[at], word()]])
+        docs.append((i, " ".join(w)))
+    want = {i: c for i, (_, c) in brute(docs, 4).items()}
+    near = {i: shingles(t, 4) for i, t in docs}
+    away = sum(100 * len(near[0] & s) < 80 * len(near[0] | s) for s in near.values())
+    got, rounds, _ = split_links(spark, monkeypatch, docs, 20)
+    assert away > 30 and got == want and len(rounds) == 1
+
+
+def test_split_of_sets_that_share_a_passage(spark, monkeypatch):
+    """Unrelated texts with two common passages, some in pairs: far from any centre."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    passages, docs = [[word() for _ in range(25)] for _ in range(2)], []
+    for i in range(40):
+        own = [word() for _ in range(80)]
+        docs.append((2 * i, " ".join(passages[0] + own + passages[1])))
+        docs.append((2 * i + 1, " ".join(passages[0] + own[:-2] + [word() for _ in range(2 if i % 2 else 60)] + passages[1])))
+    want = {i: c for i, (_, c) in brute(docs, 4).items()}
+    got, rounds, _ = split_links(spark, monkeypatch, docs, 10)
+    assert len(set(want.values())) == 60 and got == want and len(rounds) == 1
+
+
+def test_excerpts_of_a_long_centre(spark, monkeypatch):
+    """What members lost against a long centre is not written out for each."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    long = [word() for _ in range(6000)]
+    docs = [(0, " ".join(long))]
+    for i in range(30):
+        at = rng.randrange(5900)
+        docs += [(2 * i + 1, " ".join(long[at:at + 60])), (2 * i + 2, " ".join(long[at + 2:at + 62]))]
+    want = {i: c for i, (_, c) in brute(docs, 4).items()}
+    got, rounds, elements = split_links(spark, monkeypatch, docs, 40)
+    assert got == want and sum(x for _, x in rounds) <= 4 * elements
+
+
 def test_path_of_links(spark):
     links = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(0, 60)] + [(b"\xf0", b"\xf1")], "centre binary, node binary")
     got = {bytes(r["node"]): bytes(r["comp"]) for r in N.components(links).collect()}
