@@ -47,6 +47,9 @@ SPREAD = 8
 #: Points of a leaf and children of a box.
 FANOUT = 16
 
+#: Pairs of points that a task holds at a time.
+PAIRS = 1 << 18
+
 
 def group_counts(shingles: np.ndarray, groups: int | None = None) -> np.ndarray:
     """The point of a set: of ``GROUPS`` coordinates, or twice, four times, ...
@@ -119,9 +122,11 @@ class CountTree:
         keep = self._may(q, self.points[point], self.size[point], self.size[point])
         return q[keep], point[keep]
 
-    def search_all(self, count: int | None = None, many: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """:meth:`search` for the first ``count`` points, some at a time."""
+    def search_all(self, count: int | None = None, many: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`search` for the first ``count`` points, some at a time: so
+        many that no more than ``PAIRS`` are found, whatever the bound leaves."""
         count = len(self.points) if count is None else count
+        many = max(PAIRS // len(self.points), 1) if many is None else many
         for at in range(0, count, many):
             yield self.search(np.arange(at, min(at + many, count)))
 

@@ -62,11 +62,15 @@ def shingle_sets(texts: list[bytes], k: int):
 class Sets:
     """The sets of one group, and which of them are connected."""
 
+    #: Elements compared with a set at a time.
+    COMPARED = 1 << 19
+
     def __init__(self, sets: list[np.ndarray], percent: int):
         self.percent = percent
         self.n = np.array([len(s) for s in sets])
         self.offset = np.concatenate(([0], np.cumsum(self.n)))
-        values, self.item = np.unique(np.concatenate(sets), return_inverse=True)
+        values, item = np.unique(np.concatenate(sets), return_inverse=True)
+        self.item = item.astype(np.int32)
         self.mark = np.zeros(len(values), dtype=bool)
         self.label = np.arange(len(sets))
 
@@ -74,10 +78,14 @@ class Sets:
         """Sizes of the intersections of set ``i`` with ``others``."""
         own = self.item[self.offset[i]:self.offset[i + 1]]
         self.mark[own] = True
-        n = self.n[others]
-        ends = np.cumsum(n)
-        at = np.arange(ends[-1]) + np.repeat(self.offset[others] - (ends - n), n)
-        same = np.add.reduceat(self.mark[self.item[at]].astype(np.int64), ends - n)
+        same = np.zeros(len(others), dtype=np.int64)
+        size = np.cumsum(self.n[others]) // self.COMPARED
+        cuts = [0, *np.flatnonzero(np.diff(size)) + 1, len(others)]
+        for first, last in zip(cuts[:-1], cuts[1:]):
+            n = self.n[others[first:last]]
+            ends = np.cumsum(n)
+            at = np.arange(ends[-1]) + np.repeat(self.offset[others[first:last]] - (ends - n), n)
+            same[first:last] = np.add.reduceat(self.mark[self.item[at]].astype(np.int64), ends - n)
         self.mark[own] = False
         return same
 

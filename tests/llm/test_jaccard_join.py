@@ -99,3 +99,10 @@ def test_name_filter_passes_all_wanted(spark):
     got = {bytes(r["name"]) for r in J.named(docs, "t", 5, wanted).collect()}
     assert set(names[:9]) <= got and len(got) < 15
     assert J.named(docs, "t", 5, J.name_filter(spark.createDataFrame([], "name binary"))).collect() == []
+
+
+def test_search_holds_few_pairs_at_a_time():
+    """Points that are all alike: every pair passes the bound."""
+    tree = J.CountTree(np.full((1500, 64), 3, dtype=np.int32), 80)
+    found = [len(q) for q, _ in tree.search_all()]
+    assert sum(found) == 1500 * 1500 and max(found) <= 1 << 18
